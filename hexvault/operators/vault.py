@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hexvault.functions.hashing import composite_key, hash_key
-from hexvault.functions.spatial import hexcell, point_wkb
+from hexvault.functions.spatial import point_wkb, with_cells
 from hexvault.schemas import RECORD_SOURCES
 
 CLICK_SRC = RECORD_SOURCES["clickstream"]
@@ -63,43 +63,40 @@ def link_interaction(clicks: DataFrame) -> DataFrame:
                          F.lit(CLICK_SRC).alias("record_source"))
 
 
+def _cells(df: DataFrame) -> DataFrame:
+    return with_cells(df, "latitude", "longitude", {7: "h3_res7", 9: "h3_res9"})
+
+
 def sat_interaction(clicks: DataFrame, with_wkb: bool = True) -> DataFrame:
     wkb = (point_wkb("latitude", "longitude") if with_wkb
            else F.lit(None).cast("binary"))
-    return clicks.select(
+    return _cells(clicks).select(
         interaction_key().alias("hk_interaction_id"), _load_date(clicks).alias("load_date"),
         "event_type", "device_type", "dwell_time_ms", "referrer_page", "latitude", "longitude",
-        hexcell("latitude", "longitude", 7).alias("h3_res7"),
-        hexcell("latitude", "longitude", 9).alias("h3_res9"),
-        wkb.alias("geom_wkb"), F.lit(CLICK_SRC).alias("record_source"))
+        "h3_res7", "h3_res9", wkb.alias("geom_wkb"), F.lit(CLICK_SRC).alias("record_source"))
 
 
 def sat_courier(pings: DataFrame, with_wkb: bool = True) -> DataFrame:
     wkb = (point_wkb("latitude", "longitude") if with_wkb
            else F.lit(None).cast("binary"))
-    return pings.select(
+    return _cells(pings).select(
         hash_key("courier_id").alias("hk_courier_id"), _load_date(pings).alias("load_date"),
-        "latitude", "longitude", "speed_kmh", "bearing_deg", "status",
-        hexcell("latitude", "longitude", 7).alias("h3_res7"),
-        hexcell("latitude", "longitude", 9).alias("h3_res9"),
+        "latitude", "longitude", "speed_kmh", "bearing_deg", "status", "h3_res7", "h3_res9",
         wkb.alias("geom_wkb"), F.lit(TELEMETRY_SRC).alias("record_source"))
 
 
 def courier_live_rows(pings: DataFrame) -> DataFrame:
     """Rows for the keyed live table (before the latest-per-key upsert)."""
-    return pings.select(
+    return _cells(pings).select(
         hash_key("courier_id").alias("hk_courier_id"), "courier_id", "latitude", "longitude",
-        "speed_kmh", "bearing_deg", "status",
-        hexcell("latitude", "longitude", 7).alias("h3_res7"),
-        hexcell("latitude", "longitude", 9).alias("h3_res9"), "event_ts_ms")
+        "speed_kmh", "bearing_deg", "status", "h3_res7", "h3_res9", "event_ts_ms")
 
 
 def clickstream_log(clicks: DataFrame) -> DataFrame:
-    return clicks.select(
+    return _cells(clicks).select(
         interaction_key().alias("hk_interaction_id"), "user_id", "merchant_id", "event_type",
-        "device_type", "dwell_time_ms", "latitude", "longitude",
-        hexcell("latitude", "longitude", 7).alias("h3_res7"),
-        hexcell("latitude", "longitude", 9).alias("h3_res9"), "event_ts_ms")
+        "device_type", "dwell_time_ms", "latitude", "longitude", "h3_res7", "h3_res9",
+        "event_ts_ms")
 
 
 CLICK_SINKS = {

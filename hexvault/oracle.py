@@ -8,15 +8,15 @@ the same way on both sides (``floor(x·10^d + 0.5) / 10^d``).
 
 from __future__ import annotations
 
-from hexvault.functions.hashing import STRIP_PATTERN
+from hexvault.functions.hashing import PY_WHITESPACE
 from hexvault.functions.spatial import (AXIS_BITS, AXIS_OFFSET, EARTH_RADIUS_EQUAL_AREA,
                                         RES_SHIFT, SPHERE_RADIUS_M, SQRT3_OVER_3, hex_size)
 
-_STRIP = STRIP_PATTERN.replace("'", "''")
+_WS = "".join(f"' || chr({ord(ch)}) || '" for ch in PY_WHITESPACE)
 
 
 def strip(x: str) -> str:
-    return f"regexp_replace(CAST({x} AS VARCHAR), '{_STRIP}', '', 'g')"
+    return f"trim(CAST({x} AS VARCHAR), '{_WS}')"
 
 
 def hk(x: str) -> str:
@@ -223,3 +223,80 @@ def with_chain(select: str, extra: list[tuple[str, str]] | None = None) -> str:
     ctes = base_ctes() + list(extra or [])
     body = ",\n".join(f"{name} AS ({sql})" for name, sql in ctes)
     return f"WITH {body}\n{select}"
+
+
+# ---------------------------------------------------------------------------------
+# Quality tests (twins of hexvault.operators.quality).
+
+MODEL_VIEWS = {
+    "hub_user": "hub_user_v", "hub_merchant": "hub_merchant_v", "hub_courier": "hub_courier_v",
+    "link_user_merchant_interaction": "link_v", "sat_interaction_context_spatial": "sat_i_v",
+    "sat_courier_telemetry_spatial": "sat_c_v",
+}
+
+
+def view(model: str) -> str:
+    return MODEL_VIEWS.get(model, model)
+
+
+def _lit(v) -> str:
+    return f"'{v}'" if isinstance(v, str) else str(v)
+
+
+SINGULAR_SQL = {
+    "valid_interaction_coordinates": """SELECT hk_interaction_id FROM stg_interactions
+        WHERE coalesce(latitude IS NULL OR longitude IS NULL OR NOT (latitude BETWEEN -90 AND 90)
+              OR NOT (longitude BETWEEN -180 AND 180) OR dwell_time_ms < 0, false)""",
+    "valid_courier_coordinates": """SELECT hk_courier_id FROM stg_courier_telemetry
+        WHERE coalesce(latitude IS NULL OR longitude IS NULL OR NOT (latitude BETWEEN -90 AND 90)
+              OR NOT (longitude BETWEEN -180 AND 180) OR speed_kmh < 0 OR bearing_deg < 0
+              OR bearing_deg >= 360, false)""",
+    "fact_preserves_interactions": """SELECT s.hk_interaction_id FROM stg_interactions s
+        WHERE NOT EXISTS (SELECT 1 FROM fct_interactions f WHERE f.hk_interaction_id = s.hk_interaction_id)""",
+    "h3_rollup_conserves_counts": """SELECT e.resolution FROM
+        (SELECT 7 AS resolution, count(h3_res7) AS events FROM fct_interactions
+         UNION ALL SELECT 9, count(h3_res9) FROM fct_interactions) e
+        LEFT JOIN (SELECT resolution, sum(event_count) AS events FROM mart_h3_demand_hourly
+                   GROUP BY resolution) a ON e.resolution = a.resolution
+        WHERE e.events <> coalesce(a.events, 0)""",
+}
+
+_DUCK_TYPES = {"VARCHAR": "STRING", "BIGINT": "BIGINT", "INTEGER": "INT", "DOUBLE": "DOUBLE",
+               "TIMESTAMP": "TIMESTAMP", "BLOB": "VARBINARY"}
+
+
+def violation_rows_sql(test) -> str:
+    m = view(test.model)
+    if test.kind == "not_null":
+        return f"SELECT * FROM {m} WHERE {test.column} IS NULL"
+    if test.kind == "unique":
+        return (f"SELECT {test.column} AS unique_field, count(*) AS n_records FROM {m} "
+                f"WHERE {test.column} IS NOT NULL GROUP BY {test.column} HAVING count(*) > 1")
+    if test.kind == "unique_combination":
+        cols = ", ".join(test.args["columns"])
+        return f"SELECT {cols}, count(*) AS row_count FROM {m} GROUP BY {cols} HAVING count(*) > 1"
+    if test.kind == "accepted_values":
+        vals = ", ".join(_lit(v) for v in test.args["values"])
+        return (f"SELECT value_field, n_records FROM (SELECT {test.column} AS value_field, "
+                f"count(*) AS n_records FROM {m} GROUP BY {test.column}) "
+                f"WHERE value_field IS NOT NULL AND value_field NOT IN ({vals})")
+    if test.kind == "relationships":
+        p, f = view(test.args["to"]), test.args["field"]
+        return (f"SELECT c.{test.column} AS from_field FROM {m} c WHERE c.{test.column} IS NOT NULL "
+                f"AND NOT EXISTS (SELECT 1 FROM {p} p WHERE p.{f} = c.{test.column})")
+    if test.kind == "schema_conforms":
+        checks = []
+        for name, allowed in test.args["types"].items():
+            mapped = " ".join(f"WHEN typeof({name}) = '{d}' THEN '{s}'" for d, s in _DUCK_TYPES.items())
+            allowed_sql = ", ".join(f"'{a}'" for a in allowed)
+            checks.append(f"(CASE {mapped} ELSE typeof({name}) END) NOT IN ({allowed_sql})")
+        return f"SELECT 1 FROM (SELECT * FROM {m} LIMIT 1) WHERE {' OR '.join(checks)}"
+    if test.kind == "singular":
+        return SINGULAR_SQL[test.model]
+    raise ValueError(test)
+
+
+def gate_sql(tests) -> str:
+    parts = [f"SELECT '{t.name}' AS test_name, '{t.kind}' AS kind, '{t.model}' AS model, "
+             f"count(*) AS violations FROM ({violation_rows_sql(t)})" for t in tests]
+    return with_chain(" UNION ALL ".join(parts))

@@ -268,3 +268,8 @@ def _q(c: Context):
 def _q(c: Context):
     """Row counts of the six raw vault tables."""
     return c.raw.stats()
+
+
+# Further query groups register themselves on import.
+from hexvault.plans import quality_queries  # noqa: E402,F401
+from hexvault.plans import monitor_queries  # noqa: E402,F401
