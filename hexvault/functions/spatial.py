@@ -79,52 +79,51 @@ def hexcell(lat, lon, res: int) -> Column:
     return F.when(lat.isNull() | lon.isNull(), F.lit(None).cast("bigint")).otherwise(cell)
 
 
+def _d(x: float) -> str:
+    """A double literal in Spark SQL text (a bare decimal would parse as DECIMAL)."""
+    return f"{x!r}D"
+
+
 def with_cells(df, lat: str, lon: str, outputs: dict[int, str]):
     """Add one cell-id column per resolution (``{res: name}``) in staged projections.
 
     Same arithmetic as ``hexcell`` but every intermediate (projection, axial
     coordinates, rounding deltas) is its own column, so each is evaluated once per
     row. The optimizer keeps non-trivial columns that are referenced more than once
-    in separate projections, all inside one whole-stage-codegen span.
+    in separate projections, all inside one whole-stage-codegen span. Each stage is
+    one SQL-expression projection (one planner call instead of one per operator).
     """
-    base = df.columns
-    la, lo = F.col(lat), F.col(lon)
-    st = df.select("*", (F.lit(EARTH_RADIUS_EQUAL_AREA) * F.radians(lo)).alias("_hx_x"),
-                   (F.lit(EARTH_RADIUS_EQUAL_AREA) * F.sin(F.radians(la))).alias("_hx_y"))
-    x, y = F.col("_hx_x"), F.col("_hx_y")
-    cols = []
-    for res in outputs:
-        sz = hex_size(res)
-        cols += [((F.lit(SQRT3_OVER_3) * x - y / F.lit(3.0)) / F.lit(sz)).alias(f"_qf{res}"),
-                 ((F.lit(2.0 / 3.0) * y) / F.lit(sz)).alias(f"_rf{res}")]
-    st = st.select("*", *cols)
-    cols = []
-    for res in outputs:
-        qf, rf = F.col(f"_qf{res}"), F.col(f"_rf{res}")
-        cols += [(-qf - rf).alias(f"_sf{res}"), F.floor(qf + F.lit(0.5)).alias(f"_rq{res}"),
-                 F.floor(rf + F.lit(0.5)).alias(f"_rr{res}")]
-    st = st.select("*", *cols)
-    cols = []
-    for res in outputs:
-        cols += [F.floor(F.col(f"_sf{res}") + F.lit(0.5)).alias(f"_rs{res}")]
-    st = st.select("*", *cols)
-    cols = []
+    base = [f"`{c}`" for c in df.columns]
+    R = _d(EARTH_RADIUS_EQUAL_AREA)
+    st = df.selectExpr("*", f"{R} * radians(`{lon}`) AS _hx_x", f"{R} * sin(radians(`{lat}`)) AS _hx_y")
+    e = []
     for res in outputs:
-        qf, rf, sf = F.col(f"_qf{res}"), F.col(f"_rf{res}"), F.col(f"_sf{res}")
-        rq, rr, rs = F.col(f"_rq{res}"), F.col(f"_rr{res}"), F.col(f"_rs{res}")
-        cols += [F.abs(rq - qf).alias(f"_dq{res}"), F.abs(rr - rf).alias(f"_dr{res}"),
-                 F.abs(rs - sf).alias(f"_ds{res}")]
-    st = st.select("*", *cols)
-    cols = []
-    for res, name in outputs.items():
-        rq, rr, rs = F.col(f"_rq{res}"), F.col(f"_rr{res}"), F.col(f"_rs{res}")
-        dq, dr, ds = F.col(f"_dq{res}"), F.col(f"_dr{res}"), F.col(f"_ds{res}")
-        q_wins = (dq > dr) & (dq > ds)
-        q = F.when(q_wins, -rs - rr).otherwise(rq).cast("bigint")
-        r = F.when(q_wins, rr).when(dr > ds, -rq - rs).otherwise(rr).cast("bigint")
-        cols.append(F.when(la.isNull() | lo.isNull(), F.lit(None).cast("bigint"))
-                    .otherwise(pack_cell(res, q, r)).alias(name))
-    return st.select(*[F.col(c) for c in base], *cols)
+        sz = _d(hex_size(res))
+        e += [f"({_d(SQRT3_OVER_3)} * _hx_x - _hx_y / 3.0D) / {sz} AS _qf{res}",
+              f"({_d(2.0 / 3.0)} * _hx_y) / {sz} AS _rf{res}"]
+    st = st.selectExpr("*", *e)
+    e = []
+    for r in outputs:
+        e += [f"-_qf{r} - _rf{r} AS _sf{r}", f"floor(_qf{r} + 0.5D) AS _rq{r}",
+              f"floor(_rf{r} + 0.5D) AS _rr{r}"]
+    st = st.selectExpr("*", *e)
+    st = st.selectExpr("*", *[f"floor(_sf{r} + 0.5D) AS _rs{r}" for r in outputs])
+    e = []
+    for r in outputs:
+        e += [f"abs(_rq{r} - _qf{r}) AS _dq{r}", f"abs(_rr{r} - _rf{r}) AS _dr{r}",
+              f"abs(_rs{r} - _sf{r}) AS _ds{r}"]
+    st = st.selectExpr("*", *e)
+    e = []
+    for r, name in outputs.items():
+        win = f"(_dq{r} > _dr{r} AND _dq{r} > _ds{r})"
+        q = f"CAST(CASE WHEN {win} THEN -_rs{r} - _rr{r} ELSE _rq{r} END AS BIGINT)"
+        rr = (f"CAST(CASE WHEN {win} THEN _rr{r} WHEN _dr{r} > _ds{r} THEN -_rq{r} - _rs{r} "
+              f"ELSE _rr{r} END AS BIGINT)")
+        packed = (f"CAST({r} AS BIGINT) * {2 ** RES_SHIFT}L + ({q} + {AXIS_OFFSET}L) * {2 ** AXIS_BITS}L"
+                  f" + ({rr} + {AXIS_OFFSET}L)")
+        e.append(f"CASE WHEN `{lat}` IS NULL OR `{lon}` IS NULL THEN CAST(NULL AS BIGINT) "
+                 f"ELSE {packed} END AS `{name}`")
+    return st.selectExpr(*base, *e)
 
 
 def cell_resolution(cell) -> Column:

@@ -123,24 +123,31 @@ class Vault:
     NAMES = ("hub_user", "hub_merchant", "hub_courier", "link_user_merchant_interaction",
              "sat_interaction_context_spatial", "sat_courier_telemetry_spatial")
 
-    def __init__(self, tables: dict[str, DataFrame]):
+    def __init__(self, tables: dict):
+        """``tables`` maps each name to a DataFrame or a zero-argument builder."""
         missing = [n for n in self.NAMES if n not in tables]
         if missing:
             raise ValueError(f"Vault tables missing: {missing}")
         self.tables = dict(tables)
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.tables[name]
+        value = self.tables[name]
+        if callable(value):  # built on first use
+            value = self.tables[name] = value()
+        return value
 
     @classmethod
-    def from_events(cls, clicks: DataFrame, pings: DataFrame, with_wkb: bool = True) -> "Vault":
+    def from_events(cls, clicks, pings, with_wkb: bool = True) -> "Vault":
+        """Vault over two event frames (each a DataFrame or a zero-argument builder)."""
+        c = clicks if callable(clicks) else (lambda: clicks)
+        p = pings if callable(pings) else (lambda: pings)
         return cls({
-            "hub_user": hub_user(clicks),
-            "hub_merchant": hub_merchant(clicks),
-            "hub_courier": hub_courier(pings),
-            "link_user_merchant_interaction": link_interaction(clicks),
-            "sat_interaction_context_spatial": sat_interaction(clicks, with_wkb),
-            "sat_courier_telemetry_spatial": sat_courier(pings, with_wkb),
+            "hub_user": lambda: hub_user(c()),
+            "hub_merchant": lambda: hub_merchant(c()),
+            "hub_courier": lambda: hub_courier(p()),
+            "link_user_merchant_interaction": lambda: link_interaction(c()),
+            "sat_interaction_context_spatial": lambda: sat_interaction(c(), with_wkb),
+            "sat_courier_telemetry_spatial": lambda: sat_courier(p(), with_wkb),
         })
 
     @classmethod

@@ -33,7 +33,7 @@ class Context:
 
     @cached_property
     def vault(self) -> Vault:
-        return Vault.from_events(self.clicks, self.pings)
+        return Vault.from_events(lambda: self.clicks, lambda: self.pings)
 
     @cached_property
     def models(self) -> Models:

@@ -25,10 +25,22 @@ ORACLES: dict[str, str] = {}
 PROBE_LAT, PROBE_LON = 10.775, 106.7
 
 
+_CONTEXTS: dict[tuple[int, str], Context] = {}
+
+
+def context_for(spark: SparkSession, sf_dir: str) -> Context:
+    """One lazily-built Context per (session, folder): plans are shared, no data is cached."""
+    key = (id(spark), sf_dir)
+    ctx = _CONTEXTS.get(key)
+    if ctx is None or ctx.spark is not spark:
+        ctx = _CONTEXTS[key] = Context(spark, sf_dir)
+    return ctx
+
+
 def register(name: str, oracle: str | None = None):
     def deco(fn: Callable[[Context], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Context(spark, sf_dir))
+            return fn(context_for(spark, sf_dir))
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
