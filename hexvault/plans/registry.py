@@ -20,6 +20,8 @@ from hexvault.plans.context import Context, round_doubles
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLES: dict[str, str] = {}
+# Queries checked by row counts only (no SQL twin): stateful streaming, iterative models.
+ROWS_ONLY: list[str] = []
 
 # Fixed request parameters of the serving probes (the release verification point).
 PROBE_LAT, PROBE_LON = 10.775, 106.7
@@ -46,6 +48,8 @@ def register(name: str, oracle: str | None = None):
         QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
+        else:
+            ROWS_ONLY.append(name)
         return fn
     return deco
 
