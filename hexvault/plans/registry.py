@@ -289,3 +289,4 @@ def _q(c: Context):
 # Further query groups register themselves on import.
 from hexvault.plans import quality_queries  # noqa: E402,F401
 from hexvault.plans import monitor_queries  # noqa: E402,F401
+from hexvault.plans import contract_queries  # noqa: E402,F401
