@@ -27,6 +27,18 @@ class Context:
     def clicks(self) -> DataFrame:
         return with_event_time(tables.clickstream(self.spark, self.sf_dir))
 
+    @cached_property
+    def clicks_once(self) -> DataFrame:
+        """Clickstream without the at-least-once replays (one row per event)."""
+        return with_event_time(tables.clickstream(self.spark, self.sf_dir, replay=False))
+
+    @cached_property
+    def clicks_with_category(self) -> DataFrame:
+        """Events with their item category (item k ↔ part k + 1, category = part type)."""
+        part = self.table("part").select((F.col("p_partkey") - 1).alias("_k"), F.col("p_type").alias("category"))
+        c = self.clicks_once
+        return c.join(part, F.substring("item_id", 5, 5).cast("bigint") == F.col("_k"), "left").drop("_k")
+
     @cached_property
     def pings(self) -> DataFrame:
         return with_event_time(tables.telemetry(self.spark, self.sf_dir))

@@ -291,3 +291,4 @@ from hexvault.plans import quality_queries  # noqa: E402,F401
 from hexvault.plans import monitor_queries  # noqa: E402,F401
 from hexvault.plans import contract_queries  # noqa: E402,F401
 from hexvault.plans import streaming_queries  # noqa: E402,F401
+from hexvault.plans import designed_queries  # noqa: E402,F401
