@@ -342,3 +342,69 @@ def _r(c: Context):
     """Daily service indicators (error, purchase, replay rates) against objective and alert limits."""
     m = D.sli_status(D.daily_indicators(c.clicks))
     return m.withColumn("value", F.floor(F.col("value") * 1e6 + 0.5) / 1e6)
+
+
+# --- designed vault entities -------------------------------------------------------------------
+
+from hexvault.operators import vault_ext as VX  # noqa: E402
+
+_OID = "'ORD_' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0')"
+
+
+@register("d_hub_item", _q(f"SELECT {O.hk('item_id')} AS hk_item_id, item_id, min({O.load_date()}) AS first_seen_at "
+                           f"FROM clickstream GROUP BY 1, 2"))
+def _r(c: Context):
+    """Item hub from the delivered clickstream (replays collapse)."""
+    return VX.hub_item(c.clicks)
+
+
+@register("d_link_user_item", _q(
+    f"SELECT {_std(['event_ts_ms', 'item_id', 'user_id'])} AS hk_interaction_id, {O.hk('user_id')} AS hk_user_id, "
+    f"{O.hk('item_id')} AS hk_item_id, min({O.load_date()}) AS first_seen_at FROM clickstream GROUP BY 1, 2, 3"))
+def _r(c: Context):
+    """User–item interaction link keyed by the documented hashing standard."""
+    return VX.link_user_item(c.clicks)
+
+
+@register("d_hub_order", _q(f"SELECT {O.hk(_OID)} AS hk_order_id, {_OID} AS order_id, o_orderdate AS load_date "
+                            f"FROM orders"))
+def _r(c: Context):
+    """Order hub."""
+    return VX.hub_order(c.table("orders"))
+
+
+@register("d_delivery_trips", _q(
+    f"SELECT {O.composite('order_id', 'courier_id')} AS hk_trip_id, {O.hk('order_id')} AS hk_order_id, "
+    f"{O.hk('courier_id')} AS hk_courier_id, min({O.load_date()}) AS first_ping, max({O.load_date()}) AS last_ping, "
+    f"count(*) AS pings FROM telemetry WHERE order_id IS NOT NULL GROUP BY 1, 2, 3"))
+def _r(c: Context):
+    """Order ↔ courier delivery trips with first/last ping."""
+    return VX.delivery_trips(c.pings)
+
+
+@register("d_bridge", _q(
+    """SELECT l.hk_interaction_id, l.hk_user_id, l.hk_merchant_id, s.event_at FROM
+       (SELECT DISTINCT hk_user_id, hk_interaction_id, hk_merchant_id FROM link_v) l
+       JOIN (SELECT DISTINCT hk_interaction_id, load_date AS event_at FROM sat_i_v) s
+         ON l.hk_interaction_id = s.hk_interaction_id"""))
+def _r(c: Context):
+    """Bridge of the user → interaction → merchant path."""
+    return VX.bridge_user_merchant(c.vault["link_user_merchant_interaction"],
+                                   c.vault["sat_interaction_context_spatial"])
+
+
+@register("d_current_status", _q(
+    f"""SELECT hk_courier_id, load_date, status, hash_diff FROM (
+          SELECT *, row_number() OVER (PARTITION BY hk_courier_id ORDER BY load_date DESC NULLS LAST,
+            status ASC NULLS FIRST, hash_diff ASC NULLS FIRST) AS rn FROM (
+            SELECT hk_courier_id, load_date, status, hash_diff FROM (
+              SELECT *, lag(hash_diff) OVER (PARTITION BY hk_courier_id ORDER BY load_date ASC NULLS FIRST,
+                {', '.join(t + ' ASC NULLS FIRST' for t in _TIE)}) AS prev
+              FROM (SELECT *, {_std(['status'])} AS hash_diff FROM stg_courier_telemetry))
+            WHERE prev IS NULL OR prev <> hash_diff))
+        WHERE rn = 1"""))
+def _r(c: Context):
+    """Current-satellite view of the historised courier status satellite."""
+    h = D.historize(c.models["stg_courier_telemetry"], "hk_courier_id", "load_date", ["status"], _TIE)
+    h = h.select("hk_courier_id", "load_date", "status", "hash_diff")
+    return VX.current_view(h, "hk_courier_id", "load_date", ["status", "hash_diff"])
