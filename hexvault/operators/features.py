@@ -422,3 +422,68 @@ def sli_status(metrics: DataFrame) -> DataFrame:
     status = (F.when(F.col("kind") == "max", F.when(v > a, "alert").when(v > o, "objective_breach").otherwise("ok"))
                .otherwise(F.when(v < a, "alert").when(v < o, "objective_breach").otherwise("ok")))
     return j.select("day", "metric", "value", status.alias("status"))
+
+
+# --- D27, D29, D31: re-rank diversity, boost and stock filter, crypto-shredding ---------------------
+
+MAX_CATEGORY_RUN = 3
+NEW_ITEM_DAYS = 7
+NEW_ITEM_BOOST = 0.2
+
+
+def rerank_diversity(candidates: DataFrame, key: str = "user_id", max_run: int = MAX_CATEGORY_RUN) -> DataFrame:
+    """Greedy re-rank per user: highest score first, but never more than ``max_run``
+    consecutive items of one category while another category is available.
+
+    Runs per user with ``applyInPandas``; callers pass a bounded candidate list per
+    user (a top-N), so every group is small regardless of data size.
+    """
+    import pandas as pd
+
+    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
+        pool = pdf.sort_values(["score", "item_id"], ascending=[False, True]).to_dict("records")
+        out, run_cat, run = [], None, 0
+        while pool:
+            pick = 0
+            if run >= max_run:
+                alt = [i for i, r in enumerate(pool) if r["category"] != run_cat]
+                pick = alt[0] if alt else 0
+            r = pool.pop(pick)
+            run = run + 1 if r["category"] == run_cat else 1
+            run_cat = r["category"]
+            out.append({**r, "position": len(out) + 1})
+        return pd.DataFrame(out, columns=[*pdf.columns, "position"])
+
+    from pyspark.sql import types as T
+    schema = T.StructType(list(candidates.schema.fields) + [T.StructField("position", T.IntegerType())])
+    return candidates.groupBy(key).applyInPandas(greedy, schema)
+
+
+def boost_and_filter(scored: DataFrame, items_first_seen: DataFrame, in_stock: DataFrame,
+                     as_of: Column) -> DataFrame:
+    """Keep in-stock items (semi join) and boost items first seen within 7 days of ``as_of``."""
+    kept = scored.join(in_stock.select("item_id").distinct(), "item_id", "left_semi")
+    j = kept.join(items_first_seen.select("item_id", "first_seen_at"), "item_id", "left")
+    new = F.col("first_seen_at") >= as_of - F.expr(f"INTERVAL {NEW_ITEM_DAYS} DAYS")
+    return j.withColumn("boosted_score", F.when(new, F.col("score") * (1 + NEW_ITEM_BOOST)).otherwise(F.col("score")))
+
+
+def subject_keys(subjects: DataFrame, key: str) -> DataFrame:
+    """Per-subject 256-bit data keys (random; stored apart from the data)."""
+    return subjects.select(key).distinct().withColumn("data_key", F.unhex(F.sha2(F.uuid(), 256)))
+
+
+def shred_encrypt(df: DataFrame, keys: DataFrame, key: str, pii: list[str]) -> DataFrame:
+    """Replace PII columns by AES-GCM ciphertext under the subject's key."""
+    j = df.join(keys, key)
+    return j.select(*[c for c in df.columns if c not in pii],
+                    *[F.aes_encrypt(F.col(c).cast("string"), F.col("data_key"), F.lit("GCM")).alias(f"{c}_enc")
+                      for c in pii])
+
+
+def shred_decrypt(enc: DataFrame, keys: DataFrame, key: str, pii: list[str]) -> DataFrame:
+    """Readable view: subjects whose key was erased (row deleted) read back as null."""
+    j = enc.join(keys, key, "left")
+    return j.select(*[c for c in enc.columns if not c.endswith("_enc")],
+                    *[F.try_aes_decrypt(F.col(f"{c}_enc"), F.col("data_key"), F.lit("GCM")).cast("string").alias(c)
+                      for c in pii])

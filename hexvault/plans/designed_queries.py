@@ -408,3 +408,20 @@ def _r(c: Context):
     h = D.historize(c.models["stg_courier_telemetry"], "hk_courier_id", "load_date", ["status"], _TIE)
     h = h.select("hk_courier_id", "load_date", "status", "hash_diff")
     return VX.current_view(h, "hk_courier_id", "load_date", ["status", "hash_diff"])
+
+
+# --- model-based (iterative): rows-only checks -----------------------------------------------------
+
+from hexvault.operators import ml as ML  # noqa: E402
+
+
+@register("d_courier_clusters")
+def _r(c: Context):
+    """KMeans clusters of couriers by speed, activity and spatial spread (rows-only check)."""
+    return ML.courier_clusters(c.models["stg_courier_telemetry"])
+
+
+@register("d_als_item_factors")
+def _r(c: Context):
+    """Implicit-feedback ALS item factors from user × item interaction counts (rows-only check)."""
+    return ML.als_factors(c.clicks_once)
