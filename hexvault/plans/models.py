@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -85,25 +86,40 @@ class Models:
         """Models already written under ``root/<model>`` (a published release)."""
         return cls(vault, {n: spark.read.parquet(os.path.join(root, n)) for n in MODEL_GRAPH})
 
-    def build(self, root: str, names: list[str] | None = None) -> "Models":
-        """Write each model (dependency order) and return Models that read the files.
+    def build(self, root: str, names: list[str] | None = None, parallel: int = 4) -> "Models":
+        """Write each model and return Models that read the files.
 
-        Each model is read back from its files before its dependants are built, so
-        a failure re-runs from written tables rather than from the raw vault.
+        Models are written level by level in dependency order; the models of one
+        level are independent and are submitted as concurrent Spark jobs. Each model
+        is read back from its files before its dependants are built, so a failure
+        re-runs from written tables rather than from the raw vault.
         """
         spark = self.vault["hub_user"].sparkSession
         built: dict[str, DataFrame] = {}
-        todo = names or self.names()
-        for name in self.names():
-            if name not in todo:
-                continue
+        todo = [n for n in self.names() if n in (names or self.names())]
+
+        def write(name: str) -> None:
             deps, fn = MODEL_GRAPH[name]
-            inputs = [built[d] if d in built else self[d] for d in deps]
-            df = fn(*inputs)
-            path = os.path.join(root, name)
+            df = fn(*[built[d] if d in built else self[d] for d in deps])
             # Cluster rows by the distribution key inside each file (row-group min/max
             # pruning) without a hash repartition: a hot key must not become one task.
-            (df.sortWithinPartitions(DISTRIBUTED_BY[name])
-               .write.mode("overwrite").parquet(path))
-            built[name] = spark.read.parquet(path)
+            df.sortWithinPartitions(DISTRIBUTED_BY[name]).write.mode("overwrite").parquet(os.path.join(root, name))
+
+        for level in levels(todo):
+            with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(level)))) as pool:
+                list(pool.map(write, level))
+            for name in level:
+                built[name] = spark.read.parquet(os.path.join(root, name))
         return Models(self.vault, built)
+
+
+def levels(names: list[str]) -> list[list[str]]:
+    """Group models into dependency levels (a model's dependencies are in earlier levels)."""
+    depth: dict[str, int] = {}
+    for n in topological_order():
+        deps = [d for d in MODEL_GRAPH[n][0] if d in MODEL_GRAPH]
+        depth[n] = 1 + max((depth[d] for d in deps), default=-1)
+    out: dict[int, list[str]] = {}
+    for n in names:
+        out.setdefault(depth[n], []).append(n)
+    return [out[k] for k in sorted(out)]

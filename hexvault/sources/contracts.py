@@ -237,3 +237,37 @@ def check_evolution(previous: DataFrame, candidate: DataFrame) -> DataFrame:
              .when(F.col("p_type").isNotNull() & F.col("c_type").isNotNull() & ~F.col("p_def")
                    & (F.col("p_type") != F.col("c_type")), "required_field_retyped"))
     return both.select("name", rule.alias("rule")).filter(F.col("rule").isNotNull())
+
+
+# --- typed fixture loading -----------------------------------------------------------------------
+
+# Declared SQL type names accepted in fixture documents.
+FIXTURE_TYPES = {"VARCHAR": T.StringType(), "STRING": T.StringType(), "CHAR": T.StringType(),
+                 "BIGINT": T.LongType(), "INT": T.IntegerType(), "INTEGER": T.IntegerType(),
+                 "DOUBLE": T.DoubleType(), "DATETIME": T.TimestampNTZType(), "TIMESTAMP": T.TimestampNTZType(),
+                 "VARBINARY": T.BinaryType(), "BOOLEAN": T.BooleanType()}
+
+
+def load_fixture_tables(spark: SparkSession, fixture: dict) -> dict[str, DataFrame]:
+    """``{table: {"columns": [...], "types": [...], "rows": [[...]]}}`` → typed DataFrames.
+
+    Datetime values are ISO text (``YYYY-MM-DD HH:MM:SS``); type names may carry a
+    length suffix (``VARCHAR(64)``), which is ignored.
+    """
+    import datetime as _dt
+    out = {}
+    for name, spec in fixture.items():
+        types = [FIXTURE_TYPES[t.upper().split("(")[0]] for t in spec["types"]]
+        schema = T.StructType([T.StructField(c, t) for c, t in zip(spec["columns"], types)])
+        rows = []
+        for r in spec["rows"]:
+            vals = []
+            for v, t in zip(r, types):
+                if v is not None and isinstance(t, T.TimestampNTZType) and isinstance(v, str):
+                    v = _dt.datetime.fromisoformat(v)
+                if v is not None and isinstance(t, T.BinaryType) and isinstance(v, str):
+                    v = bytes.fromhex(v)
+                vals.append(v)
+            rows.append(tuple(vals))
+        out[name] = spark.createDataFrame(rows, schema)
+    return out

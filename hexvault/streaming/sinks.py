@@ -86,3 +86,16 @@ def read_live(spark, root: str, schema) -> DataFrame:
         return spark.createDataFrame([], schema)
     with open(pointer, encoding="utf-8") as fh:
         return spark.read.schema(schema).parquet(os.path.join(base, fh.read().strip()))
+
+
+def ensure_table(spark, root: str, name: str, schema) -> str:
+    """CREATE TABLE IF NOT EXISTS: an empty parquet folder with the declared schema."""
+    path = os.path.join(root, name)
+    if not os.path.isdir(path):
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(os.path.join(path, "batch=init"))
+    return path
+
+
+def live_point_read(spark, root: str, schema, n: int = 5) -> DataFrame:
+    """Projection of the live table with a small limit (a point-read probe)."""
+    return read_live(spark, root, schema).select("courier_id", "status", "h3_res7", "event_ts_ms").limit(n)
