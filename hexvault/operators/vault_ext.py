@@ -49,3 +49,35 @@ def bridge_user_merchant(links: DataFrame, sat: DataFrame) -> DataFrame:
 def current_view(sat: DataFrame, key: str, ts: str, tie_break: list[str]) -> DataFrame:
     """Current row per key of a historised satellite (latest ``ts``, ties ascending)."""
     return latest_by(sat, key, ts, tie_break, sat.columns)
+
+
+def sat_merchant_location(fact: DataFrame) -> DataFrame:
+    """Daily merchant location satellite: mean interaction point and its res-7 cell per day."""
+    from hexvault.functions.numeric import exact_mean
+    from hexvault.functions.spatial import with_cells
+    daily = fact.groupBy(hash_key("merchant_id").alias("hk_merchant_id"),
+                         F.to_date("event_at").alias("load_day")).agg(
+        exact_mean("latitude").alias("latitude"), exact_mean("longitude").alias("longitude"),
+        F.count(F.lit(1)).alias("interactions"))
+    return with_cells(daily, "latitude", "longitude", {7: "h3_res7"})
+
+
+def dim_merchants(stg_merchants: DataFrame, fact: DataFrame) -> DataFrame:
+    """Merchant dimension: id, first seen, interactions, purchases, last interaction."""
+    f = fact.groupBy("hk_merchant_id").agg(
+        F.count(F.lit(1)).alias("interactions"),
+        F.sum((F.col("event_type") == "purchase").cast("long")).alias("purchases"),
+        F.max("event_at").alias("last_interaction_at"))
+    return stg_merchants.join(f, "hk_merchant_id", "left").select(
+        "hk_merchant_id", "merchant_id", "first_seen_at", F.coalesce("interactions", F.lit(0)).alias("interactions"),
+        F.coalesce("purchases", F.lit(0)).alias("purchases"), "last_interaction_at")
+
+
+def dim_couriers(stg_couriers: DataFrame, telemetry: DataFrame, positions: DataFrame) -> DataFrame:
+    """Courier dimension: id, first seen, pings, current status and cell."""
+    p = telemetry.groupBy("hk_courier_id").agg(F.count(F.lit(1)).alias("pings"))
+    cur = positions.select("hk_courier_id", F.col("status").alias("current_status"),
+                           F.col("h3_res7").alias("current_h3_res7"))
+    return (stg_couriers.join(p, "hk_courier_id", "left").join(cur, "hk_courier_id", "left")
+            .select("hk_courier_id", "courier_id", "first_seen_at", F.coalesce("pings", F.lit(0)).alias("pings"),
+                    "current_status", "current_h3_res7"))

@@ -425,3 +425,39 @@ def _r(c: Context):
 def _r(c: Context):
     """Implicit-feedback ALS item factors from user × item interaction counts (rows-only check)."""
     return ML.als_factors(c.clicks_once)
+
+
+@register("d_sat_merchant_location", _q(
+    f"""SELECT {O.hk('merchant_id')} AS hk_merchant_id, load_day, {O.rnd('latitude', 6)} AS latitude,
+          {O.rnd('longitude', 6)} AS longitude, interactions, {O.hexcell('latitude', 'longitude', 7)} AS h3_res7
+        FROM (SELECT merchant_id, CAST(event_at AS DATE) AS load_day, {O.emean('latitude')} AS latitude,
+                     {O.emean('longitude')} AS longitude, count(*) AS interactions
+              FROM fct_interactions GROUP BY 1, 2)"""))
+def _r(c: Context):
+    """Daily merchant location satellite (mean interaction point and its cell)."""
+    return round_doubles(VX.sat_merchant_location(c.models["fct_interactions"]), 6)
+
+
+@register("d_dim_merchants", _q(
+    """SELECT m.hk_merchant_id, m.merchant_id, m.first_seen_at, coalesce(f.interactions, 0) AS interactions,
+         coalesce(f.purchases, 0) AS purchases, f.last_interaction_at
+       FROM stg_merchants m LEFT JOIN (SELECT hk_merchant_id, count(*) AS interactions,
+         CAST(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS purchases,
+         max(event_at) AS last_interaction_at FROM fct_interactions GROUP BY hk_merchant_id) f
+       ON m.hk_merchant_id = f.hk_merchant_id"""))
+def _r(c: Context):
+    """Merchant dimension."""
+    return VX.dim_merchants(c.models["stg_merchants"], c.models["fct_interactions"])
+
+
+@register("d_dim_couriers", _q(
+    """SELECT c.hk_courier_id, c.courier_id, c.first_seen_at, coalesce(t.pings, 0) AS pings,
+         p.status AS current_status, p.h3_res7 AS current_h3_res7
+       FROM stg_couriers c
+       LEFT JOIN (SELECT hk_courier_id, count(*) AS pings FROM stg_courier_telemetry GROUP BY 1) t
+         ON c.hk_courier_id = t.hk_courier_id
+       LEFT JOIN current_courier_positions p ON c.hk_courier_id = p.hk_courier_id"""))
+def _r(c: Context):
+    """Courier dimension with the current status."""
+    return VX.dim_couriers(c.models["stg_couriers"], c.models["stg_courier_telemetry"],
+                           c.models["current_courier_positions"])

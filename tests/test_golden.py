@@ -116,3 +116,28 @@ def test_raw_and_mart_modes_agree_on_edge(spark):
 
 def test_schema_names_cover_vault():
     assert set(S.VAULT_TABLES) == set(S.SOURCE_TYPE_RULES)
+
+
+def test_hexagon_feature_shape(spark):
+    from hexvault.operators.serving import courier_response, hexagon_features
+    v = FX.vault(spark, edge=True)
+    src = ServingSource(v, Models(v), "mart")
+    feats = hexagon_features(src.hexagons("interactions", 7, 100)).collect()
+    near = next(f for f in feats if f["count"] == 4)
+    assert abs(near["centroid"][1] - 10.77575) < 1e-6 and abs(near["properties"]["avg_dwell_ms"] - 275) < 1e-3
+    rows = courier_response(src.live_couriers()).collect()
+    assert all(r["speed_kmh"] is not None and r["bearing_deg"] is not None for r in rows)
+
+
+def test_monitor_error_replaces_green_report(spark, workdir):
+    import json
+    import os
+    path = os.path.join(workdir, "r.json")
+    MON.write_report(path, {"state": "complete"})
+
+    class Broken:
+        def __getitem__(self, name):
+            raise RuntimeError("source unavailable")
+    with pytest.raises(RuntimeError):
+        MON.run_monitor(Broken(), dt.date(2026, 10, 8), path, now=dt.datetime(2026, 10, 15, tzinfo=dt.timezone.utc))
+    assert json.load(open(path))["state"] == "error"
