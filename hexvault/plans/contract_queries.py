@@ -81,5 +81,5 @@ def _q(c: Context):
     framed = ev.select("event_id", C.wire_frame(F.col("props"), F.col("event_id") % 5).alias("frame"))
     h = C.decode_frames(framed).select("event_id", "header.*")
     fmt = F.when(F.col("valid"), F.lit("avro")).otherwise(F.lit("json"))
-    return h.select("event_id", "magic", "schema_id", F.length("body").alias("body_bytes"), "valid",
+    return h.select("event_id", "magic", "schema_id", F.length("body").cast("bigint").alias("body_bytes"), "valid",
                     C.route_topic(F.lit("events.clickstream"), fmt).alias("topic"))
