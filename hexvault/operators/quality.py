@@ -257,3 +257,18 @@ def assert_gate(models, tests: list[Test] | None = None) -> list[tuple[str, int]
     if failed:
         raise QualityGateError(failed)
     return rows
+
+
+def require_test_failure(models, test_name: str) -> int:
+    """Assert that the named declared test fails (for fault-injection checks); returns its count.
+
+    Raises ``AssertionError`` when the test passes or does not exist, so a
+    corruption is only accepted as caught by the test that should catch it.
+    """
+    tests = [t for t in DECLARED_TESTS if t.name == test_name]
+    if not tests:
+        raise AssertionError(f"Unknown test {test_name}")
+    n = gate_results(models, tests).first()["violations"]
+    if not n:
+        raise AssertionError(f"{test_name} did not fail")
+    return int(n)
