@@ -51,12 +51,11 @@ class Context:
     def models(self) -> Models:
         return Models(self.vault)
 
-    @cached_property
-    def built_models(self) -> Models:
-        """Models written once into a fresh folder under the shared checkpoint dir.
+    def build_models(self) -> Models:
+        """Write every model into a fresh folder under the shared checkpoint dir.
 
         Used where many checks read the same models (the quality gate): each model
-        is computed once and its lineage is cut by the written files.
+        is computed once per call and its lineage is cut by the written files.
         """
         import uuid
         from hexvault.session import checkpoint_path

@@ -27,7 +27,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 @register("dq_gate_summary", O.gate_sql(T))
 def _q(c: Context):
     """All 97 declared tests with their violation counts, over a materialised build."""
-    return Q.gate_results(c.built_models)
+    return Q.gate_results(c.build_models())
 
 
 @register("dq_not_null", O.with_chain(" UNION ALL ".join(

@@ -286,6 +286,51 @@ def _q(c: Context):
     return c.raw.stats()
 
 
+# --- the same serving shapes in the other mode / resolution ------------------------------
+
+@register("recommend_merchants_raw", O.with_chain(_recommend_sql("raw_interactions", None, 10)))
+def _q(c: Context):
+    """Top-10 merchants for the probe point over the raw vault (deduplicated before joins)."""
+    return c.raw.recommendations(PROBE_LAT, PROBE_LON, 10)
+
+
+@register("hexagons_raw_res9", O.with_chain(f"""SELECT {O.hexl('h3_res9')} AS h3_hex, count(*) AS metric_count,
+        {O.rnd(O.emean('latitude'), 6)} AS centroid_lat, {O.rnd(O.emean('longitude'), 6)} AS centroid_lon,
+        {O.rnd(O.emean('dwell_time_ms'), 6)} AS avg_dwell_ms
+        FROM (SELECT DISTINCT hk_interaction_id, load_date, latitude, longitude, h3_res7, h3_res9,
+                     dwell_time_ms, event_type, device_type, referrer_page FROM sat_i_v)
+        WHERE h3_res9 IS NOT NULL GROUP BY h3_res9 ORDER BY metric_count DESC, h3_hex LIMIT 100"""))
+def _q(c: Context):
+    return round_doubles(c.raw.hexagons("interactions", 9, 100), 6)
+
+
+@register("hexagons_couriers_res9", O.with_chain(f"""SELECT {O.hexl('h3_res9')} AS h3_hex,
+        count(*) AS metric_count, {O.rnd(O.emean('latitude'), 6)} AS centroid_lat,
+        {O.rnd(O.emean('longitude'), 6)} AS centroid_lon, {O.rnd(O.emean('speed_kmh'), 6)} AS avg_speed_kmh,
+        count(*) AS active_couriers
+        FROM raw_couriers WHERE h3_res9 IS NOT NULL
+        GROUP BY h3_res9 ORDER BY metric_count DESC, h3_hex LIMIT 100"""))
+def _q(c: Context):
+    """Courier cells at res 9 from the raw vault (latest ping per courier, total order)."""
+    return round_doubles(c.raw.hexagons("couriers", 9, 100), 6)
+
+
+@register("live_couriers_delivering", _live_sql("delivering"))
+def _q(c: Context):
+    return c.mart.live_couriers("delivering", 50)
+
+
+@register("table_stats_mart", O.with_chain(" UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {t}" for n, t in [
+        ("hub_user", "stg_users"), ("hub_merchant", "stg_merchants"), ("hub_courier", "stg_couriers"),
+        ("link_user_merchant_interaction", "stg_interaction_links"),
+        ("sat_interaction_context_spatial", "stg_interactions"),
+        ("sat_courier_telemetry_spatial", "stg_courier_telemetry")])))
+def _q(c: Context):
+    """Row counts of the staged tables (mart mode: replays collapsed)."""
+    return c.mart.stats()
+
+
 # Further query groups register themselves on import.
 from hexvault.plans import quality_queries  # noqa: E402,F401
 from hexvault.plans import monitor_queries  # noqa: E402,F401
