@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from hexvault.functions.hashing import hash_diff, hash_key_std
 from hexvault.functions.numeric import exact_mean
-from hexvault.functions.spatial import haversine_m, neighbours, round_half_up, with_cells
+from hexvault.functions.spatial import haversine_m, neighbours, with_cells
 from hexvault.operators.marts import latest_by
 from hexvault.operators.sequence import sequence_features
 

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from hexvault import oracle as O
 from hexvault.functions.spatial import neighbour_cells_py
-from hexvault.operators import marts as M
 from hexvault.operators import vault as V
 from hexvault.plans.context import Context, round_doubles
 

@@ -8,7 +8,6 @@ import os
 
 from pyspark.sql import functions as F
 
-import fixtures as FX
 from hexvault.operators import features as D
 from hexvault.operators import ml as ML
 from hexvault.plans import maintenance as MT

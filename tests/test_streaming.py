@@ -6,7 +6,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from hexvault.plans.context import Context
 from hexvault.operators.vault import Vault
