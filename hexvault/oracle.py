@@ -282,8 +282,9 @@ def violation_rows_sql(test) -> str:
                 f"WHERE value_field IS NOT NULL AND value_field NOT IN ({vals})")
     if test.kind == "relationships":
         p, f = view(test.args["to"]), test.args["field"]
-        return (f"SELECT c.{test.column} AS from_field FROM {m} c WHERE c.{test.column} IS NOT NULL "
-                f"AND NOT EXISTS (SELECT 1 FROM {p} p WHERE p.{f} = c.{test.column})")
+        return (f"SELECT c.{test.column} AS from_field, count(*) AS n_records FROM {m} c "
+                f"WHERE c.{test.column} IS NOT NULL "
+                f"AND NOT EXISTS (SELECT 1 FROM {p} p WHERE p.{f} = c.{test.column}) GROUP BY c.{test.column}")
     if test.kind == "schema_conforms":
         checks = []
         for name, allowed in test.args["types"].items():
@@ -297,6 +298,8 @@ def violation_rows_sql(test) -> str:
 
 
 def gate_sql(tests) -> str:
+    def count(t) -> str:
+        return "CAST(coalesce(sum(n_records), 0) AS BIGINT)" if t.kind == "relationships" else "count(*)"
     parts = [f"SELECT '{t.name}' AS test_name, '{t.kind}' AS kind, '{t.model}' AS model, "
-             f"count(*) AS violations FROM ({violation_rows_sql(t)})" for t in tests]
+             f"{count(t)} AS violations FROM ({violation_rows_sql(t)})" for t in tests]
     return with_chain(" UNION ALL ".join(parts))

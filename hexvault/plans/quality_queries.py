@@ -69,10 +69,10 @@ def _q(c: Context):
 
 
 @register("dq_relationships", O.with_chain(" UNION ALL ".join(
-    f"SELECT '{t.name}' AS test_name, from_field FROM ({O.violation_rows_sql(t)})" for t in _RL)))
+    f"SELECT '{t.name}' AS test_name, from_field, n_records FROM ({O.violation_rows_sql(t)})" for t in _RL)))
 def _q(c: Context):
-    """Orphan child keys of the 4 referential declarations."""
-    return _union([Q.violations(t, c.models).select(F.lit(t.name).alias("test_name"), "from_field")
+    """Orphan child keys (with their row counts) of the 4 referential declarations."""
+    return _union([Q.violations(t, c.models).select(F.lit(t.name).alias("test_name"), "from_field", "n_records")
                    for t in _RL])
 
 
