@@ -52,14 +52,18 @@ class Context:
         return Models(self.vault)
 
     def build_models(self) -> Models:
-        """Write every model into a fresh folder under the shared checkpoint dir.
+        """Write the vault and every model into a fresh folder under the shared checkpoint dir.
 
-        Used where many checks read the same models (the quality gate): each model
-        is computed once per call and its lineage is cut by the written files.
+        Used where many checks read the same tables (the quality gate): the vault
+        and each model are computed once per call, and lineage is cut by the files.
         """
+        import os
         import uuid
+        from hexvault.plans.models import materialize_vault
         from hexvault.session import checkpoint_path
-        return self.models.build(checkpoint_path(self.spark, "builds", uuid.uuid4().hex))
+        root = checkpoint_path(self.spark, "builds", uuid.uuid4().hex)
+        vault = materialize_vault(self.vault, os.path.join(root, "vault"))
+        return Models(vault).build(os.path.join(root, "models"))
 
     @cached_property
     def raw(self) -> ServingSource:

@@ -86,7 +86,7 @@ class Models:
         """Models already written under ``root/<model>`` (a published release)."""
         return cls(vault, {n: spark.read.parquet(os.path.join(root, n)) for n in MODEL_GRAPH})
 
-    def build(self, root: str, names: list[str] | None = None, parallel: int = 4) -> "Models":
+    def build(self, root: str, names: list[str] | None = None, parallel: int = 6) -> "Models":
         """Write each model and return Models that read the files.
 
         Models are written level by level in dependency order; the models of one
@@ -113,6 +113,25 @@ class Models:
         return Models(self.vault, built)
 
 
+def materialize_vault(vault: Vault, root: str, drop: tuple[str, ...] = ("geom_wkb",),
+                      parallel: int = 6) -> Vault:
+    """Write the six vault tables once (concurrent jobs) and return a Vault over the files.
+
+    Columns in ``drop`` are left out (the WKB point is not read by any model or
+    test), so every downstream model and source test reads stored tables instead
+    of re-deriving the vault from the raw events.
+    """
+    spark = vault["hub_user"].sparkSession
+
+    def write(name: str) -> None:
+        df = vault[name]
+        df.drop(*[c for c in drop if c in df.columns]).write.mode("overwrite").parquet(os.path.join(root, name))
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        list(pool.map(write, Vault.NAMES))
+    return Vault({n: spark.read.parquet(os.path.join(root, n)) for n in Vault.NAMES})
+
+
 def levels(names: list[str]) -> list[list[str]]:
     """Group models into dependency levels (a model's dependencies are in earlier levels)."""
     depth: dict[str, int] = {}
