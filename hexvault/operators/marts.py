@@ -46,9 +46,13 @@ def latest_positions(telemetry: DataFrame) -> DataFrame:
     return latest_by(telemetry, "hk_courier_id", "load_date", POSITION_TIE_BREAK, cols)
 
 
-def current_courier_positions(stg_courier_telemetry: DataFrame, stg_couriers: DataFrame) -> DataFrame:
-    """Latest position joined to the courier hub (conflicting ids multiply, and tests catch it)."""
-    latest = latest_positions(stg_courier_telemetry)
+def current_courier_positions(telemetry: DataFrame, stg_couriers: DataFrame) -> DataFrame:
+    """Latest position joined to the courier hub (conflicting ids multiply, and tests catch it).
+
+    ``telemetry`` may be the staged (distinct) telemetry or the raw satellite: the
+    latest row under a total order is the same with or without exact replays.
+    """
+    latest = latest_positions(telemetry)
     couriers = stg_couriers.select("hk_courier_id", "courier_id")
     return latest.join(couriers, "hk_courier_id", "inner").select(*POSITION_COLUMNS)
 

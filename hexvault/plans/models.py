@@ -24,7 +24,9 @@ MODEL_GRAPH: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] = {
     "stg_interaction_links": (("link_user_merchant_interaction",), staging.stg_interaction_links),
     "stg_interactions": (("sat_interaction_context_spatial",), staging.stg_interactions),
     "stg_courier_telemetry": (("sat_courier_telemetry_spatial",), staging.stg_courier_telemetry),
-    "current_courier_positions": (("stg_courier_telemetry", "stg_couriers"),
+    # Latest row per courier read straight from the satellite: exact replays cannot
+    # change a minimum, so the staging DISTINCT (a full shuffle) is not needed here.
+    "current_courier_positions": (("sat_courier_telemetry_spatial", "stg_couriers"),
                                   marts.current_courier_positions),
     "fct_interactions": (("stg_interactions", "stg_interaction_links", "stg_users", "stg_merchants"),
                          marts.fct_interactions),
