@@ -28,3 +28,19 @@ def test_sequence_features_match_windows(spark):
         sorted(map(tuple, exp.select(*got.columns).collect()), key=lambda r: (r[0], r[1]))
     # the hot key really spans several chunks (12 buckets of 250 ticks)
     assert df.filter("k = 'hot'").select(F.floor(F.col("t") / 250)).distinct().count() > 1
+
+
+def test_hot_key_operators_combine_before_the_shuffle(spark):
+    """Latest-row selection aggregates map-side; top-k ranks inside salted groups first."""
+    from hexvault.operators.features import top_k_per_key
+    from hexvault.operators.marts import latest_by
+    rows = [("hot", i, i % 7) for i in range(2000)] + [(f"k{i}", i, 1) for i in range(50)]
+    df = spark.createDataFrame(rows, "k string, t long, v int").withColumn("ts", F.timestamp_seconds("t"))
+    latest = latest_by(df, "k", "ts", ["v"], ["k", "t", "v"])
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan
+    assert latest.filter("k = 'hot'").first()["t"] == 1999
+    top = top_k_per_key(df, "k", [F.col("t").desc()], 3, salt_col="t")
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in plan
+    assert [r["t"] for r in top.filter("k = 'hot'").orderBy("rank").collect()] == [1999, 1998, 1997]
