@@ -42,7 +42,8 @@ def als_factors(clicks: DataFrame, rank: int = 8, max_iter: int = 5) -> DataFram
     als = ALS(userCol="u", itemCol="i", ratingCol="n", implicitPrefs=True, rank=rank, maxIter=max_iter,
               seed=SEED, coldStartStrategy="drop")
     model = als.fit(data)
-    labels = idx.stages[1].labels
-    items = model.itemFactors.select(F.col("id").alias("i"), "features")
-    return items.select(F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("i") + 1).alias("item_id"),
-                        F.col("features").alias("factors"))
+    # index → item id through a join with the indexed items (no driver-side label list)
+    ids = idx.stages[1].transform(counts.select("item_id").distinct()) \
+             .select("item_id", F.col("i").cast("int").alias("i"))
+    items = model.itemFactors.select(F.col("id").alias("i"), F.col("features").alias("factors"))
+    return items.join(ids, "i").select("item_id", "factors")
