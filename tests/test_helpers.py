@@ -73,3 +73,21 @@ def test_mart_refresh_stream_publishes(spark, workdir):
     q.stop()
     assert errors == []
     assert REL.read_state(os.path.join(workdir, "m.json")).previous is None
+
+
+def test_file_stats_and_metric_lines(spark, workdir):
+    path = os.path.join(workdir, "t")
+    spark.range(1000).repartition(3).write.parquet(path)
+    stats = REL.file_stats(spark, {"t": path})
+    row = stats.first()
+    assert row["data_file_count"] == 3 and row["total_data_size_mb"] >= 0
+    lines = sorted(r["value"] for r in REL.metrics_lines(stats).collect())
+    assert lines[0] == 'table_data_files{table="t"} 3'
+
+
+def test_cut_lineage_uses_reliable_checkpoint(spark):
+    from hexvault.session import cut_lineage
+    df = spark.range(100).withColumn("x", F.col("id") * 2)
+    cut = cut_lineage(df)
+    assert cut.count() == 100
+    assert "LogicalRDD" in cut._jdf.queryExecution().analyzed().toString()
