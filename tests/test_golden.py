@@ -141,3 +141,11 @@ def test_monitor_error_replaces_green_report(spark, workdir):
     with pytest.raises(RuntimeError):
         MON.run_monitor(Broken(), dt.date(2026, 10, 8), path, now=dt.datetime(2026, 10, 15, tzinfo=dt.timezone.utc))
     assert json.load(open(path))["state"] == "error"
+
+
+def test_readiness_probe_reads_schemas_only(spark):
+    v = FX.vault(spark)
+    raw = {r["table_name"]: r["column_count"] for r in ServingSource(v, Models(v), "raw").readiness().collect()}
+    mart = {r["table_name"]: r["column_count"] for r in ServingSource(v, Models(v), "mart").readiness().collect()}
+    assert len(raw) == 6 and raw["hub_user"] == 4 and raw["sat_interaction_context_spatial"] == 12
+    assert len(mart) == 9 and mart["hub_user"] == 3 and mart["fct_interactions"] == 14
