@@ -96,3 +96,16 @@ def test_h3_bit_fields(spark):
     assert (r["m"], r["r"], r["b"], r["v"]) == (1, 9, 20, True)
     bad = spark.createDataFrame([(609777061401198591,)], "c long").select(SP.h3_is_valid_cell("c")).first()[0]
     assert bad is False
+
+
+def test_cell_guards(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        SP.hex_size(16)
+    assert abs(SP.hex_size(8) - 1409.0 / math.sqrt(7)) < 1e-9
+    if not SP.h3_available():
+        with pytest.raises(RuntimeError):
+            SP.h3_cell("lat", "lon", 9)
+    df = spark.createDataFrame([(SP.neighbour_cells_py(10.775, 106.7, 7)[0],)], "c long")
+    r = df.select(SP.cell_resolution("c").alias("res"), SP.cell_q("c").alias("q"), SP.cell_r("c").alias("r")).first()
+    assert r["res"] == 7 and abs(r["q"]) < 2 ** 27 and abs(r["r"]) < 2 ** 27
