@@ -47,13 +47,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared, durable folder; it is
-    used as is. Only a session without it (tests, laptops) gets a fresh temp dir.
+    used as is. Only a local session without it (tests, laptops) gets a fresh temp
+    dir; on a cluster a missing setting is an error.
     """
+    context = spark.sparkContext
+    already = context._jsc.sc().getCheckpointDir()
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if already.isDefined():  # the caller's own folder stays
+            return already.get()
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         current = tempfile.mkdtemp(prefix="hexvault-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if not already.isDefined():
+        context.setCheckpointDir(current)
     return current
 
 

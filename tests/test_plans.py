@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import __spark_entry__ as E
+from hexvault.plans import registry
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
@@ -10,7 +10,7 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
 
 def test_no_cross_joins_or_row_udfs_in_any_query(spark):
     bad = {}
-    for name, q in E.queries().items():
+    for name, q in registry.QUERIES.items():
         plan = q(spark, SF)._jdf.queryExecution().executedPlan().toString()
         found = [op for op in FORBIDDEN if op in plan]
         if found:
