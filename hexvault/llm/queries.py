@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hexvault.llm import mixing, packing, quality_rules, secret_scan, simhash
+from hexvault.llm import (
+    ann, mixing, packing, pii, quality_cnn, quality_rules, secret_scan, simhash, substring_dedup, warc)
 from hexvault.llm.common import table
 
 #: Public vocabulary used by the packing query.
@@ -34,17 +35,43 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest of every fiftieth vector among all vectors."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), query_every=50, k=5)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings of the documents at 97 % of the largest entropy, at most four readings a source."""
     return mixing.mixture(table(spark, sf_dir, "documents"), entropy_share=0.97, max_repeats=4.0,
                           budget="corpus")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages through WARC records in ZIP archives and back."""
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
+def op7_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by the byte-level network."""
+    return quality_cnn.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document left after repeated 20-word windows are removed."""
+    return substring_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents packed into sequences of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary_files())
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op3_simhash, op5_mixing, op9_packing)}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, plain and disguised."""
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_secret_scan, op2_quality_rules, op3_simhash, op4_nearest, op5_mixing, op6_warc, op7_quality_cnn,
+    op8_substring_dedup, op9_packing, op10_pii)}
 ORACLES: dict[str, str] = {}
