@@ -30,13 +30,41 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def whole_row(df: DataFrame, name: str = "doc") -> Column:
-    """All columns of ``df`` as one struct, so that added names cannot clash with them."""
-    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name)
+def keyed(docs: DataFrame, *columns: str) -> DataFrame:
+    """``docs`` as ``doc`` (all its columns) and ``k0, k1, ...``, with texts as ``text_key`` does."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+                       *[F.col(c).alias(f"k{i}") for i, c in enumerate(columns[:-1])],
+                       text_key(columns[-1]).alias(f"k{len(columns) - 1}"))
 
 
-def unpack(df: DataFrame, columns: list[str], name: str = "doc") -> DataFrame:
-    return df.select(*[F.col(f"{name}.`{c}`").alias(c) for c in columns])
+def text_key(text: str) -> Column:
+    """64 bits that stand for a text beside its id: rows equal in both are one document."""
+    return F.xxhash64(F.col(text))
+
+
+def by_key(left: DataFrame, right: DataFrame, keys: int, how: str = "inner") -> DataFrame:
+    """Null-safe join on ``k0 ..``; ``right`` keeps its other columns only."""
+    names = [f"k{i}" for i in range(keys)]
+    right = right.select(*[F.col(n).alias(f"_r{n}") for n in names], *[c for c in right.columns if c not in names])
+    cond = F.lit(True)
+    for n in names:
+        cond = cond & left[n].eqNullSafe(right[f"_r{n}"])
+    joined = left.join(right, cond, how)
+    return joined if how == "left_semi" else joined.drop(*[f"_r{n}" for n in names])
+
+
+def unpack(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.select(*[F.col(f"doc.`{c}`").alias(c) for c in columns])
+
+
+def with_text(df: DataFrame, columns: list[str], text: str, new: Column, length: str) -> DataFrame:
+    """``columns`` of ``doc`` with a new text; ``length`` (if it is a column) follows it."""
+    kind = df.schema["doc"].dataType
+    out = df.withColumn("doc", F.col("doc").withField(f"`{text}`", new))
+    if length in columns:
+        size = F.length(F.col(f"doc.`{text}`")).cast(kind[length].dataType)
+        out = out.withColumn("doc", F.col("doc").withField(f"`{length}`", size))
+    return unpack(out, columns)
 
 
 def salted_lookup(rows: DataFrame, lookup: DataFrame, on: list[str], row_id: str,

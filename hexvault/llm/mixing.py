@@ -21,7 +21,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hexvault.llm.common import salted_lookup, stored, unpack, whole_row, words_of
+from hexvault.llm.common import by_key, keyed, salted_lookup, stored, text_key, unpack, words_of
 
 #: Bisection levels, and how many of them one job decides (it sees all their midpoints).
 LEVELS, LEVELS_PER_JOB = 24, 4
@@ -29,13 +29,12 @@ LEVELS, LEVELS_PER_JOB = 24, 4
 RANGES = 1024
 
 
-def measured(docs: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id",
-             carry: bool = False) -> DataFrame:
-    """``row, id, source, tokens`` (and the row if ``carry``), stored."""
+def measured(docs: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id") -> DataFrame:
+    """``row, id, source, identity, tokens``, stored, without the text."""
     return stored(docs.select(
-        F.monotonically_increasing_id().alias("row"), *([whole_row(docs)] if carry else []),
-        F.col(id_col).alias("id"), F.col(source).cast("string").alias("source"),
-        (F.size(words_of(F.col(text))) + 1).cast("long").alias("tokens")), "mixing")
+        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(source).alias("source"),
+        text_key(text).alias("identity"), (F.size(words_of(F.col(text))) + 1).cast("long").alias("tokens")),
+        "mixing")
 
 
 def source_sizes(rows: DataFrame) -> DataFrame:
@@ -165,8 +164,18 @@ def mixture(docs: DataFrame, **options) -> DataFrame:
         "position", "weight", "exponent")
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The documents themselves, once per reading, in the columns of ``docs``."""
-    rows = measured(docs, carry=True)
-    readings = schedule(rows, **options).select("row", "epoch")
-    return unpack(rows.join(readings, "row"), docs.columns)
+def mixed(docs: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id",
+          **options) -> DataFrame:
+    """The documents themselves, once per reading, in the columns of ``docs``.
+
+    Rows equal in id, source and text are scheduled together, as one document of their
+    joint size, so that the text needs no row number: it is shuffled once, to its readings.
+    """
+    rows = measured(docs, text, source, id_col)
+    together = rows.groupBy("id", "source", "identity").agg(F.min("row").alias("row"), F.sum("tokens").alias("tokens"))
+    together = stored(together, "mixing-keys")
+    readings = (schedule(together, **options).select("row", "epoch")
+                .join(together, "row").groupBy("id", "source", "identity").agg(F.count("*").alias("times"))
+                .select(F.col("id").alias("k0"), F.col("source").alias("k1"), F.col("identity").alias("k2"), "times"))
+    found = by_key(keyed(docs, id_col, source, text), readings, 3)
+    return unpack(found.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))), docs.columns)

@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hexvault.llm.common import BLANK_RUN, BLANKS, salted_lookup, stored, unpack, whole_row, words_of
+from hexvault.llm.common import (
+    BLANK_RUN, BLANKS, by_key, keyed, salted_lookup, stored, text_key, with_text, words_of)
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -72,14 +73,12 @@ def _with_words(df: DataFrame) -> DataFrame:
             _line_hash(x).alias("h"), F.length(_normalised(x)).alias("n"))).alias("lines"))
 
 
-def profile(docs: DataFrame, text: str = "text", host: str = "source", carry: bool = False) -> DataFrame:
-    """One stored row per input row: base statistics and hashed lines (and the row if ``carry``)."""
+def profile(docs: DataFrame, text: str = "text", host: str = "source", id_col: str = "doc_id") -> DataFrame:
+    """One stored row per input row: base statistics and hashed lines, without the text."""
     base = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        *([whole_row(docs)] if carry else [F.col("doc_id").alias("id")]),
-        F.col(host).cast("string").alias("host"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    # Documents are told apart by their text, so an exact copy is no new document.
-    base = base.withColumn("identity", F.xxhash64("t"))
+        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(host).alias("host"),
+        # Documents are told apart by their text, so an exact copy is no new document.
+        text_key(text).alias("identity"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     return stored(_with_words(base), "quality-rules")
 
 
@@ -124,18 +123,18 @@ def verdicts(docs: DataFrame, text: str = "text", host: str = "source") -> DataF
         "base_failed", "kept", F.coalesce("removed_lines", F.lit(0)).cast("long").alias("n_removed_lines"))
 
 
-def cleaned(docs: DataFrame, text: str = "text", host: str = "source", length: str = "n_chars") -> DataFrame:
+def cleaned(docs: DataFrame, text: str = "text", host: str = "source", length: str = "n_chars",
+            id_col: str = "doc_id") -> DataFrame:
     """The kept documents with boilerplate lines taken out, in the columns of ``docs``.
 
-    ``length`` (if there is such a column) follows the shortened text.
+    ``length`` (if there is such a column) follows the shortened text. The text is
+    shuffled once, to the verdict of its id, host and content.
     """
-    kept = _judged(profile(docs, text, host, carry=True)).filter("kept")
+    verdict = (_judged(profile(docs, text, host, id_col)).filter("kept")
+               .groupBy(F.col("id").alias("k0"), F.col("host").alias("k1"), F.col("identity").alias("k2"))
+               .agg(F.first("removed").alias("removed")))
+    kept = by_key(keyed(docs, id_col, host, text), verdict, 3)
     old = F.col(f"doc.`{text}`")
     short = F.array_join(F.filter(F.split(old, "\n", -1), lambda x: (F.btrim(x, F.lit(BLANKS)) == "")
                                   | ~F.array_contains("removed", _line_hash(x))), "\n")
-    new = F.when(F.col("removed").isNull(), old).otherwise(short)
-    out = unpack(kept.withColumn("new_text", new).withColumn(
-        "doc", F.col("doc").withField(text, F.col("new_text"))), docs.columns)
-    if length in docs.columns:
-        out = out.withColumn(length, F.length(text).cast(docs.schema[length].dataType))
-    return out
+    return with_text(kept, docs.columns, text, F.when(F.col("removed").isNull(), old).otherwise(short), length)

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hexvault.llm.common import salted_lookup, stored, unpack, whole_row
+from hexvault.llm.common import by_key, keyed, salted_lookup, stored, text_key, with_text
 
 # The base rules, by kind, in the order in which kinds are listed.
 ASSIGN = ("((?i:password|passwd|secret|token|api_?key))[\"']?\\x20*[:=]\\x20*[\"']?"
@@ -62,23 +62,20 @@ def _as_spans(found: Column, kind: str) -> Column:
 
 
 def scan(docs: DataFrame, text: str = "text", owner: str = "source",
-         repository: Column | None = None, id_col: str = "doc_id", carry: bool = False) -> DataFrame:
+         repository: Column | None = None, id_col: str = "doc_id") -> DataFrame:
     """Base spans and hashed candidates of every row, one stored row per input row.
 
-    Returns ``row, id, owner, repository, base, candidates`` with ``candidates`` as
-    array<struct<start, end, from_rule, looks_live, digest>>. The text is not carried
-    on unless ``carry`` asks for the whole row (``doc`` in place of ``id``).
-    ``repository`` defaults to owner and language together.
+    Returns ``row, id, identity, owner, repository, base, candidates`` with
+    ``candidates`` as array<struct<start, end, from_rule, looks_live, digest>>; the
+    text is not carried on. ``repository`` defaults to owner and language together.
     """
     owned = F.col(owner).cast("string")
     repo = repository if repository is not None else F.concat_ws("/", owner, "lang")
-    ident = whole_row(docs) if carry else F.col(id_col).alias("id")
-    first = docs.select(F.monotonically_increasing_id().alias("row"), ident,
-                        owned.alias("owner"), repo.alias("repository"),
+    first = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
+                        text_key(text).alias("identity"), owned.alias("owner"), repo.alias("repository"),
                         F.coalesce(F.col(text), F.lit("")).alias("t"))
-    ident = "doc" if carry else "id"
     t = F.col("t")
-    first = first.select("row", ident, "owner", "repository",
+    first = first.select("row", "id", "identity", "owner", "repository",
                          F.filter(located(t, ASSIGN, 2),
                                   lambda x: F.length(x["value"]) >= MIN_ASSIGN_VALUE).alias("assign"),
                          located(t, ACCESS).alias("access"), located(t, HEX).alias("hex"),
@@ -96,7 +93,7 @@ def scan(docs: DataFrame, text: str = "text", owner: str = "source",
         looks_live(x["value"]).alias("looks_live"), F.sha2(x["value"], 256).alias("digest"))))
     base = F.array_sort(F.concat(_as_spans(F.col("assign"), "assign"), _as_spans(F.col("access"), "access"),
                                  _as_spans(F.col("hex"), "hex")))
-    return stored(first.select("row", ident, "owner", "repository", base.alias("base"),
+    return stored(first.select("row", "id", "identity", "owner", "repository", base.alias("base"),
                                candidates.alias("candidates")), "secret-scan")
 
 
@@ -159,18 +156,20 @@ def secret_spans(docs: DataFrame, **options) -> DataFrame:
 
 
 def redacted(docs: DataFrame, text: str = "text", length: str = "n_chars", mark: str = "[SECRET]",
-             **options) -> DataFrame:
+             id_col: str = "doc_id", **options) -> DataFrame:
     """All rows in the columns of ``docs``, with secret values replaced by ``mark``.
 
     Replaced are the values of base matches and the live-looking ones; values that
     many owners hold (copied examples) stay. Overlapping values become one mark.
     ``length`` (if there is such a column) follows the changed text.
     """
-    scanned = scan(docs, text, carry=True, **options)
+    scanned = scan(docs, text, id_col=id_col, **options)
     example, live = KINDS.index("example"), KINDS.index("live")
-    hidden = (judged(scanned).filter((F.col("ord") == live)
-                                     | (F.col("from_rule") & ~F.col("ord").eqNullSafe(F.lit(example))))
-              .groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("hidden")))
+    spans = (judged(scanned).filter((F.col("ord") == live)
+                                    | (F.col("from_rule") & ~F.col("ord").eqNullSafe(F.lit(example))))
+             .groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("hidden")))
+    hidden = (spans.join(scanned.select("row", "id", "identity"), "row")
+              .groupBy(F.col("id").alias("k0"), F.col("identity").alias("k1")).agg(F.first("hidden").alias("hidden")))
     old = F.col(f"doc.`{text}`")
 
     def step(acc, span):
@@ -181,9 +180,6 @@ def redacted(docs: DataFrame, text: str = "text", length: str = "n_chars", mark:
 
     new = F.aggregate("hidden", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
                       lambda a: F.concat(a["out"], F.substr(old, a["at"] + 1)))
-    both = scanned.join(hidden, "row", "left")
-    both = both.withColumn("new_text", F.when(F.col("hidden").isNull(), old).otherwise(new))
-    out = unpack(both.withColumn("doc", F.col("doc").withField(text, F.col("new_text"))), docs.columns)
-    if length in docs.columns:
-        out = out.withColumn(length, F.length(text).cast(docs.schema[length].dataType))
-    return out
+    # The few documents with secrets are stored, so the join sees how many there are.
+    both = by_key(keyed(docs, id_col, text), stored(hidden, "secret-values"), 2, "left")
+    return with_text(both, docs.columns, text, F.when(F.col("hidden").isNull(), old).otherwise(new), length)

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hexvault.llm.common import salted_lookup, stored, unpack, whole_row
+from hexvault.llm.common import by_key, keyed, salted_lookup, stored, text_key, unpack
 from hexvault.llm.components import connected_components
 
 BITS = 64
@@ -40,6 +40,8 @@ HEAVY_SHARE = 1 / 1024
 #: Cost of one probe row and of one verified candidate, in the same unit.
 PROBE_COST, VERIFY_COST = 8.0, 1.0
 BLOCK = 2048
+#: Value counts are kept for pieces of at most this many bits of a part.
+PIECE_BITS = 11
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -136,30 +138,31 @@ def part_values(fps: np.ndarray, bits: list[int]) -> np.ndarray:
     return out
 
 
-def _halves(width: int) -> tuple[int, int]:
-    return width // 2, width - width // 2
+def _pieces(width: int) -> list[tuple[int, int]]:
+    """(first bit, bits) of the near-equal pieces of a part for which counts are kept."""
+    sizes = [len(x) for x in np.array_split(np.arange(width), -(-width // PIECE_BITS))]
+    return [(sum(sizes[:i]), n) for i, n in enumerate(sizes)]
 
 
 class Estimator:
     """Estimated number of fingerprints within a distance of a part's value."""
 
-    def __init__(self, groups, rows: int, halves: dict, heavy: dict, radius: int):
+    def __init__(self, groups, rows: int, counts: dict, heavy: dict, radius: int):
         self.groups, self.rows, self.radius, self.heavy = groups, rows, radius, heavy
-        self.near = {}  # (part, half) -> counts[value, exact distance]
-        for (p, side), hist in halves.items():
+        self.near = {}  # (part, piece) -> share of fingerprints [value, exact distance]
+        for key, hist in counts.items():
             v = np.arange(len(hist))
             dist = np.bitwise_count((v[:, None] ^ v[None, :]).astype(np.uint64))
-            self.near[p, side] = np.stack([(dist == a) @ hist for a in range(radius + 1)], axis=1)
+            self.near[key] = np.stack([(dist == a) @ hist for a in range(radius + 1)], axis=1) / max(rows, 1)
 
     def within(self, part: int, values: np.ndarray) -> np.ndarray:
-        """Estimates[t, row] for the distances t = 0 .. radius."""
-        low, _ = _halves(len(self.groups[part]))
-        left = self.near[part, 0][values & ((1 << low) - 1)] / max(self.rows, 1)
-        right = self.near[part, 1][values >> low]
+        """Estimates[t, row] for the distances t = 0 .. radius (pieces taken as independent)."""
         exact = np.zeros((self.radius + 1, len(values)))
-        for a in range(self.radius + 1):
-            for b in range(self.radius + 1 - a):
-                exact[a + b] += left[:, a] * right[:, b]
+        exact[0] = self.rows
+        for k, (first, bits) in enumerate(_pieces(len(self.groups[part]))):
+            share = self.near[part, k][(values >> first) & ((1 << bits) - 1)]
+            exact = np.stack([sum(exact[a] * share[:, t - a] for a in range(t + 1))
+                              for t in range(self.radius + 1)])
         known = np.zeros_like(exact)
         for v, n in self.heavy.get(part, []):
             d = np.bitwise_count((values ^ v).astype(np.uint64))
@@ -207,28 +210,28 @@ def _neighbour_masks(width: int, radius: int) -> list[np.ndarray]:
 
 
 def _statistics(fps: DataFrame, groups: list[list[int]]) -> tuple[int, dict, dict]:
-    """Row count, histograms of each half part (fixed size) and the heavy part values."""
+    """Row count, value counts of each piece of a part (fixed size) and the heavy part values."""
+    pieces = {(p, k): piece for p, g in enumerate(groups) for k, piece in enumerate(_pieces(len(g)))}
 
     def run(batches):
-        hists = {(p, s): np.zeros(1 << w, dtype=np.int64)
-                 for p, g in enumerate(groups) for s, w in enumerate(_halves(len(g)))}
+        hists = {key: np.zeros(1 << bits, dtype=np.int64) for key, (_, bits) in pieces.items()}
         for batch in batches:
             fp = batch.column("fp").to_numpy()
             for p, g in enumerate(groups):
-                v, low = part_values(fp, g), _halves(len(g))[0]
-                hists[p, 0] += np.bincount(v & ((1 << low) - 1), minlength=len(hists[p, 0]))
-                hists[p, 1] += np.bincount(v >> low, minlength=len(hists[p, 1]))
-        for (p, s), h in hists.items():
+                v = part_values(fp, g)
+                for k, (first, bits) in enumerate(_pieces(len(g))):
+                    hists[p, k] += np.bincount((v >> first) & ((1 << bits) - 1), minlength=1 << bits)
+        for (p, k), h in hists.items():
             at = np.flatnonzero(h)
-            yield pa.RecordBatch.from_pydict({"p": np.full(len(at), p), "s": np.full(len(at), s),
+            yield pa.RecordBatch.from_pydict({"p": np.full(len(at), p), "s": np.full(len(at), k),
                                               "v": at, "n": h[at]})
 
-    halves = {(p, s): np.zeros(1 << w) for p, g in enumerate(groups) for s, w in enumerate(_halves(len(g)))}
+    counts = {key: np.zeros(1 << bits) for key, (_, bits) in pieces.items()}
     counted = fps.select("fp").mapInArrow(run, "p long, s long, v long, n long").groupBy("p", "s", "v").agg(
         F.sum("n").alias("n"))
-    for r in counted.collect():  # at most 2 * parts * 2 ** (half a part) rows
-        halves[r["p"], r["s"]][r["v"]] = r["n"]
-    rows = int(halves[0, 0].sum())
+    for r in counted.collect():  # at most pieces * 2 ** PIECE_BITS rows
+        counts[r["p"], r["s"]][r["v"]] = r["n"]
+    rows = int(counts[0, 0].sum())
 
     def values(batches):
         for batch in batches:
@@ -243,7 +246,7 @@ def _statistics(fps: DataFrame, groups: list[list[int]]) -> tuple[int, dict, dic
     if rows >= 1 / HEAVY_SHARE:  # below that every value is heavy and the estimate is good enough
         for r in common.collect():  # at most 1 / HEAVY_SHARE rows a part
             heavy.setdefault(r["p"], []).append((r["v"], r["n"]))
-    return rows, halves, heavy
+    return rows, counts, heavy
 
 
 # --- probing -----------------------------------------------------------------------------
@@ -319,8 +322,8 @@ def _links(values: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
 
 def links(fps: DataFrame, max_bits: int = 3, parts: int = 4, block: int = BLOCK) -> DataFrame:
     """``a, b``: links between distinct fingerprints (column ``fp``) that connect every near pair."""
-    if not 1 <= parts <= max_bits + 1:
-        raise ValueError("parts must lie between 1 and max_bits + 1")
+    if not 2 <= parts <= max_bits + 1:
+        raise ValueError("parts must lie between 2 and max_bits + 1")
     groups = group_bits(bit_correlation(fps), parts)
     est = Estimator(groups, *_statistics(fps, groups), radius=max_bits)
     rows = _bucket_rows(fps, groups, est, max_bits)
@@ -373,15 +376,15 @@ def components(docs: DataFrame, text: str = "text", id_col: str = "doc_id", shin
 def representatives(docs: DataFrame, text: str = "text", id_col: str = "doc_id", shingle: int = 3,
                     max_bits: int = 3, parts: int = 4) -> DataFrame:
     """One row of each component, in the columns of ``docs``: the smallest id, then the first row."""
-    columns = docs.columns
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), whole_row(docs),
-                           F.col(id_col).alias("id"), F.col(text).alias("t"))
-    marked = stored(with_fingerprints(numbered, "t", [F.col("row"), F.col("id"), F.col("doc")], shingle),
-                    "simhash-rows")
+    marked = stored(with_fingerprints(docs, text, [F.monotonically_increasing_id().alias("row"),
+                                                   F.col(id_col).alias("id"), text_key(text).alias("identity")],
+                                      shingle), "simhash-rows")
     firsts = marked.groupBy("fp").agg(
-        F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("row"))).alias("first"))
+        F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("row"), F.col("identity"))).alias("first"))
     roots = _grouped(marked, max_bits, parts)
     chosen = (firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
               .groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
-              .select(F.col("first.row").alias("row")))
-    return unpack(marked.join(chosen, "row", "left_semi"), columns)
+              .select(F.col("first.id").alias("k0"), F.col("first.identity").alias("k1")))
+    # Equal rows share their key: one of them stays.
+    found = by_key(keyed(docs, id_col, text), chosen, 2, "left_semi")
+    return unpack(found.groupBy("k0", "k1").agg(F.first("doc").alias("doc")), docs.columns)
