@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from hexvault.llm import (
     ann, mixing, packing, pii, quality_cnn, quality_rules, secret_scan, simhash, substring_dedup, warc)
 from hexvault.llm.common import table
+from hexvault.llm.oracles import ORACLES  # noqa: F401
 
 #: Public vocabulary used by the packing query.
 VOCABULARY = "byte_bpe_50k"
@@ -74,4 +75,3 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_secret_scan, op2_quality_rules, op3_simhash, op4_nearest, op5_mixing, op6_warc, op7_quality_cnn,
     op8_substring_dedup, op9_packing, op10_pii)}
-ORACLES: dict[str, str] = {}
