@@ -153,6 +153,17 @@ def neighbours(cell) -> Column:
     return F.when(cell.isNull(), F.lit(None)).otherwise(F.array(*items))
 
 
+def disk(cell, ring) -> Column:
+    """``grid_disk(cell, ring)`` for a column of ring widths, as array<bigint>.
+
+    A step of (dq, dr) adds ``dq * 2**AXIS_BITS + dr`` to the packed id.
+    """
+    cell, ring = _col(cell), _col(ring)
+    return F.flatten(F.transform(F.sequence(-ring, ring), lambda dq: F.transform(
+        F.sequence(F.greatest(-ring, -dq - ring), F.least(ring, -dq + ring)),
+        lambda dr: cell + dq.cast("bigint") * F.lit(2 ** AXIS_BITS) + dr)))
+
+
 def neighbour_cells_py(lat: float, lon: float, res: int = 7) -> list[int]:
     """Driver-side twin of ``neighbours(hexcell(lat, lon, res))`` for one request point.
 

@@ -9,14 +9,17 @@ processed by a single task.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hexvault.functions.hashing import hash_diff, hash_key_std
 from hexvault.functions.numeric import exact_mean
-from hexvault.functions.spatial import haversine_m, neighbours, with_cells
+from hexvault.functions.spatial import SPHERE_RADIUS_M, disk, haversine_m, hex_size, hexcell, with_cells
 from hexvault.operators.marts import latest_by
 from hexvault.operators.sequence import sequence_features
+from hexvault.sources.tables import id_number, padded_id
 
 # Fixed values (choices stated in the docstrings below).
 SESSION_GAP_S = 30 * 60
@@ -81,7 +84,7 @@ def order_pit(orders: DataFrame, pings: DataFrame) -> DataFrame:
                       F.lit(0).alias("kind"), F.col("o_orderdate").cast("timestamp_ntz").alias("header_ts"),
                       F.lit(None).cast("timestamp_ntz").alias("ping_ts"), F.lit(0).alias("n"))
     days = (pings.filter(F.col("order_id").isNotNull())
-            .select(F.substring("order_id", 5, 8).cast("bigint").alias("order_key"),
+            .select(id_number("order_id", "ORD_").alias("order_key"),
                     F.to_date("event_time").alias("day"), F.col("event_time"))
             .groupBy("order_key", "day").agg(F.max("event_time").alias("last_ping"), F.count(F.lit(1)).alias("n")))
     snap_end = F.date_add("day", 1).cast("timestamp_ntz")
@@ -285,10 +288,28 @@ def fct_daily_orders(pings: DataFrame) -> DataFrame:
 # --- D35, D36, D38: courier analytics and drift --------------------------------------------------
 
 def speed_percentiles(telemetry: DataFrame) -> DataFrame:
-    """Exact p50/p90 speed per courier (value-count aggregate: memory ∝ distinct speeds)."""
-    return telemetry.groupBy("hk_courier_id").agg(
-        F.count(F.lit(1)).alias("n"), F.percentile("speed_kmh", 0.5).alias("p50_speed"),
-        F.percentile("speed_kmh", 0.9).alias("p90_speed"))
+    """Exact p50/p90 speed per courier (interpolated), from counts per speed and running sums.
+
+    Equal speeds combine before the shuffle; a courier's distinct speeds stream through
+    a sorted window instead of sitting in one buffer.
+    """
+    counted = telemetry.groupBy("hk_courier_id", "speed_kmh").agg(F.count(F.lit(1)).alias("c"))
+    totals = counted.groupBy("hk_courier_id").agg(
+        F.sum("c").alias("n"), F.sum(F.when(F.col("speed_kmh").isNotNull(), F.col("c"))).alias("known"))
+    up_to = Window.partitionBy("hk_courier_id").orderBy("speed_kmh").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (counted.filter("speed_kmh IS NOT NULL").withColumn("hi", F.sum("c").over(up_to))
+              .withColumn("lo", F.col("hi") - F.col("c")).join(totals, "hk_courier_id", "right"))
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("lo") <= rank) & (rank < F.col("hi")), F.col("speed_kmh")))
+
+    def quantile(p: float) -> Column:
+        place = F.lit(p) * (F.col("known") - 1)
+        low, high = at(F.floor(place)), at(F.ceil(place))
+        return low + (high - low) * F.max(place - F.floor(place))
+
+    return ranked.groupBy("hk_courier_id").agg(F.max("n").alias("n"), quantile(0.5).alias("p50_speed"),
+                                               quantile(0.9).alias("p90_speed"))
 
 
 def travel_times(telemetry: DataFrame) -> DataFrame:
@@ -337,7 +358,7 @@ def cdc_users_from_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
         op = F.when(F.col("o_orderstatus") == s, o) if op is None else op.when(F.col("o_orderstatus") == s, o)
     ts = F.unix_millis(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey")
     j = orders.join(customer, orders.o_custkey == customer.c_custkey)
-    return j.select(F.concat(F.lit("USR_"), F.lpad(F.col("c_custkey").cast("string"), 6, "0")).alias("user_id"),
+    return j.select(padded_id("USR_", F.col("c_custkey"), 6).alias("user_id"),
                     op.alias("op"), ts.alias("event_ts_ms"),
                     F.concat_ws("/", "c_name", "o_orderpriority").alias("display_name"))
 
@@ -351,17 +372,31 @@ def cdc_apply(changes: DataFrame, key: str = "user_id") -> DataFrame:
 
 # --- D43, D44: neighbour-cell range joins ----------------------------------------------------------
 
+#: Widest ring of cells that a radius search may open.
+MAX_RING = 40
+
 def within_radius(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                   radius_m: float) -> DataFrame:
-    """Pairs closer than ``radius_m`` via an equi-join on res-7 neighbour cells + exact distance.
-
-    Exact when ``radius_m`` is below the res-7 hexagon side (1,409 m) after the
-    projection's scale distortion at the data's latitudes (about 2 % at 11°N, so the
-    1 km default is safe there): points closer than the side can never fall into
-    cells further apart than neighbours. Both sides need ``lat``, ``lon``, ``cell``.
+    """Pairs at most ``radius_m`` apart: an equi-join on the res-7 cells around each left point, then the distance.
+
+    The projection stretches a distance by at most 1 / cos(latitude), two points in one
+    cell are at most two cell sizes apart, and cells at grid distance k have centres at
+    least 1.5 * k sizes apart; so cells up to ``(radius / cos + 2 size) / (1.5 size)``
+    cover the circle. Points near the date line also search from the other side of it.
+    Raises where that ring is wider than ``MAX_RING`` (close to a pole, or a huge radius).
+    Both sides need ``lat``, ``lon``, ``cell``.
     """
-    l = left.select(F.col(left_key), F.col("lat").alias("l_lat"), F.col("lon").alias("l_lon"),
-                    F.explode(neighbours("cell")).alias("cell"))
+    size, degrees = hex_size(7), math.degrees(radius_m / SPHERE_RADIUS_M)
+    stretch = 1 / F.cos(F.radians(F.least(F.abs("lat") + degrees, F.lit(89.99))))
+    ring = F.floor((F.lit(radius_m) * stretch * 1.01 + 2 * size) / (1.5 * size)).cast("int")
+    ring = F.when(ring <= MAX_RING, ring).otherwise(
+        F.raise_error(F.lit("within_radius: the radius is too wide for res-7 cells at this latitude")))
+    other_side = F.when(F.abs("lon") + F.lit(degrees) * stretch * 1.01 > 180,
+                        hexcell(F.col("lat"), F.col("lon") - 360 * F.signum("lon"), 7))
+    centres = F.filter(F.array(F.col("cell"), other_side), lambda c: c.isNotNull())
+    l = (left.select(F.col(left_key), F.col("lat").alias("l_lat"), F.col("lon").alias("l_lon"),
+                     ring.alias("_ring"), F.explode(centres).alias("_centre"))
+         .select(left_key, "l_lat", "l_lon", F.explode(disk(F.col("_centre"), F.col("_ring"))).alias("cell")))
     r = right.select(F.col(right_key), F.col("lat").alias("r_lat"), F.col("lon").alias("r_lon"), "cell")
     j = l.join(r, "cell")
     d = haversine_m("l_lat", "l_lon", "r_lat", "r_lon")

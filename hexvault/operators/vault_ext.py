@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from hexvault.functions.hashing import composite_key, hash_key, hash_key_std
 from hexvault.operators.marts import latest_by
+from hexvault.sources.tables import padded_id
 
 
 def hub_item(clicks: DataFrame) -> DataFrame:
@@ -24,8 +25,8 @@ def link_user_item(clicks: DataFrame) -> DataFrame:
 
 
 def hub_order(orders: DataFrame) -> DataFrame:
-    """Order hub keyed by the order business key text (``ORD_`` + 8 digits)."""
-    oid = F.concat(F.lit("ORD_"), F.lpad(F.col("o_orderkey").cast("string"), 8, "0"))
+    """Order hub keyed by the order business key text (``ORD_`` + at least 8 digits)."""
+    oid = padded_id("ORD_", F.col("o_orderkey"), 8)
     return orders.select(hash_key(oid).alias("hk_order_id"), oid.alias("order_id"),
                          F.col("o_orderdate").cast("timestamp_ntz").alias("load_date"))
 

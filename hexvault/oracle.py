@@ -86,6 +86,12 @@ def _pick(index: str, values: list[str]) -> str:
     return f"(CASE {arms} END)"
 
 
+def padded(prefix: str, number: str, width: int) -> str:
+    """Twin of ``tables.padded_id``: pads up to the width, never cuts."""
+    text = f"CAST({number} AS VARCHAR)"
+    return f"'{prefix}' || lpad({text}, greatest(length({text}), {width})::INT, '0')"
+
+
 def base_ctes() -> list[tuple[str, str]]:
     from hexvault.sources.tables import (BASE_LAT, BASE_LON, COORD_MOD, COORD_STEP, DEVICE_TYPES,
                                          EVENT_TYPE_MAP, MERCHANT_MOD, REFERRER_PAGES,
@@ -95,9 +101,9 @@ def base_ctes() -> list[tuple[str, str]]:
     k = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
     click_once = f"""
         SELECT CAST(event_id AS VARCHAR) AS event_id,
-               'USR_' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS user_id,
-               'ITM_' || lpad(CAST({k} AS VARCHAR), 5, '0') AS item_id,
-               'MCH_' || lpad(CAST({k} % {MERCHANT_MOD} AS VARCHAR), 4, '0') AS merchant_id,
+               {padded('USR_', 'user_id', 6)} AS user_id,
+               {padded('ITM_', k, 5)} AS item_id,
+               {padded('MCH_', f'{k} % {MERCHANT_MOD}', 4)} AS merchant_id,
                {etype} AS event_type,
                {_pick('event_id % 3', DEVICE_TYPES)} AS device_type,
                CAST(floor(value * 100.0e0) AS BIGINT) AS dwell_time_ms,
@@ -116,9 +122,9 @@ def base_ctes() -> list[tuple[str, str]]:
         for rf, ls, v in STATUS_BY_FLAGS) + " END"
     telemetry = f"""
         SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS telemetry_id,
-               'DRV_' || lpad(CAST(l_suppkey AS VARCHAR), 4, '0') AS courier_id,
+               {padded('DRV_', 'l_suppkey', 4)} AS courier_id,
                CASE WHEN l_linenumber % 3 = 0 THEN NULL
-                    ELSE 'ORD_' || lpad(CAST(l_orderkey AS VARCHAR), 8, '0') END AS order_id,
+                    ELSE {padded('ORD_', 'l_orderkey', 8)} END AS order_id,
                {BASE_LAT!r} + (l_partkey % {COORD_MOD}) / {COORD_STEP!r} AS latitude,
                {BASE_LON!r} + (l_orderkey % {COORD_MOD}) / {COORD_STEP!r} AS longitude,
                CAST(l_quantity AS DOUBLE) AS speed_kmh,

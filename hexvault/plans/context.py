@@ -37,7 +37,7 @@ class Context:
         """Events with their item category (item k ↔ part k + 1, category = part type)."""
         part = self.table("part").select((F.col("p_partkey") - 1).alias("_k"), F.col("p_type").alias("category"))
         c = self.clicks_once
-        return c.join(part, F.substring("item_id", 5, 5).cast("bigint") == F.col("_k"), "left").drop("_k")
+        return c.join(part, tables.id_number("item_id", "ITM_") == F.col("_k"), "left").drop("_k")
 
     @cached_property
     def pings(self) -> DataFrame:

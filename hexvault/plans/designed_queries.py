@@ -18,7 +18,7 @@ def _std(cols: list[str]) -> str:
 
 
 _CAT = ("cwc AS (SELECT c.*, p.p_type AS category FROM click_once c LEFT JOIN part p "
-        "ON CAST(substring(c.item_id, 5, 5) AS BIGINT) = p.p_partkey - 1)")
+        "ON CAST(substring(c.item_id, 5) AS BIGINT) = p.p_partkey - 1)")
 
 
 def _q(select: str, extra: str = "") -> str:
@@ -62,7 +62,7 @@ def _r(c: Context):
         max(last_ping) OVER (PARTITION BY order_key ORDER BY day) AS delivery_load_date,
         CAST(sum(n) OVER (PARTITION BY order_key ORDER BY day) AS BIGINT) AS pings_to_date
        FROM pdays d""",
-    f"""pdays AS (SELECT CAST(substring(order_id, 5, 8) AS BIGINT) AS order_key, CAST({O.load_date()} AS DATE) AS day,
+    f"""pdays AS (SELECT CAST(substring(order_id, 5) AS BIGINT) AS order_key, CAST({O.load_date()} AS DATE) AS day,
         max({O.load_date()}) AS last_ping, count(*) AS n FROM telemetry WHERE order_id IS NOT NULL GROUP BY 1, 2)"""))
 def _r(c: Context):
     """Point-in-time table of the order hub: as-of header and delivery load dates per ping day."""
@@ -268,7 +268,7 @@ _CDC_OP = " ".join(f"WHEN o_orderstatus = '{s}' THEN '{o}'" for s, o in D.CDC_OP
 @register("d_cdc_current", _q(
     f"""SELECT user_id, display_name, event_ts_ms FROM (
           SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_ts_ms DESC, op ASC) AS rn FROM (
-            SELECT 'USR_' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS user_id, CASE {_CDC_OP} END AS op,
+            SELECT {O.padded('USR_', 'c_custkey', 6)} AS user_id, CASE {_CDC_OP} END AS op,
                    epoch_us(o_orderdate) // 1000 + o_orderkey AS event_ts_ms,
                    concat_ws('/', c_name, o_orderpriority) AS display_name
             FROM orders JOIN customer ON o_custkey = c_custkey))
@@ -348,7 +348,7 @@ def _r(c: Context):
 
 from hexvault.operators import vault_ext as VX  # noqa: E402
 
-_OID = "'ORD_' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0')"
+_OID = O.padded("ORD_", "o_orderkey", 8)
 
 
 @register("d_hub_item", _q(f"SELECT {O.hk('item_id')} AS hk_item_id, item_id, min({O.load_date()}) AS first_seen_at "

@@ -49,8 +49,16 @@ def _pick(index: Column, values: list[str]) -> Column:
     return expr
 
 
-def _lpad_id(prefix: str, c: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(c.cast("string"), width, "0"))
+def padded_id(prefix: str, c: Column, width: int) -> Column:
+    """Business key text: zero-padded up to ``width`` digits, longer numbers in full."""
+    digits = c.cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0")))
+
+
+def id_number(c: str | Column, prefix: str) -> Column:
+    """The number of a business key: all that follows its prefix."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.substr(c, F.lit(len(prefix) + 1)).cast("bigint")
 
 
 def clickstream_from_events(events: DataFrame) -> DataFrame:
@@ -65,9 +73,9 @@ def clickstream_from_events(events: DataFrame) -> DataFrame:
     ts = F.col("ts").cast("timestamp")  # NTZ → session-tz (UTC) instant
     return events.select(
         F.col("event_id").cast("string").alias("event_id"),
-        _lpad_id("USR_", F.col("user_id"), 6).alias("user_id"),
-        _lpad_id("ITM_", k, 5).alias("item_id"),
-        _lpad_id("MCH_", k % MERCHANT_MOD, 4).alias("merchant_id"),
+        padded_id("USR_", F.col("user_id"), 6).alias("user_id"),
+        padded_id("ITM_", k, 5).alias("item_id"),
+        padded_id("MCH_", k % MERCHANT_MOD, 4).alias("merchant_id"),
         mapped.alias("event_type"),
         _pick(F.col("event_id") % 3, DEVICE_TYPES).alias("device_type"),
         F.floor(F.col("value") * F.lit(100.0)).cast("bigint").alias("dwell_time_ms"),
@@ -101,9 +109,9 @@ def telemetry_from_lineitem(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("telemetry_id"),
-        _lpad_id("DRV_", F.col("l_suppkey"), 4).alias("courier_id"),
+        padded_id("DRV_", F.col("l_suppkey"), 4).alias("courier_id"),
         F.when(F.col("l_linenumber") % 3 == 0, F.lit(None).cast("string"))
-         .otherwise(_lpad_id("ORD_", F.col("l_orderkey"), 8)).alias("order_id"),
+         .otherwise(padded_id("ORD_", F.col("l_orderkey"), 8)).alias("order_id"),
         (F.lit(BASE_LAT) + (F.col("l_partkey") % COORD_MOD) / F.lit(COORD_STEP)).alias("latitude"),
         (F.lit(BASE_LON) + (F.col("l_orderkey") % COORD_MOD) / F.lit(COORD_STEP)).alias("longitude"),
         F.col("l_quantity").cast("double").alias("speed_kmh"),
