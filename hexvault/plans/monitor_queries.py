@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import functions as F
 
 from hexvault import oracle as O
@@ -10,6 +13,7 @@ from hexvault.operators import monitor as MON
 from hexvault.plans import release as REL
 from hexvault.plans.context import Context, round_doubles
 from hexvault.plans.registry import register
+from hexvault.session import checkpoint_path
 
 _COUNTS = """counts AS (
     SELECT 'interactions' AS stream, CAST(load_date AS DATE) AS event_day, count(*) AS event_count
@@ -64,6 +68,20 @@ def _q(c: Context):
     return MON.merge_status(MON.assess_volume(MON.stream_daily_counts(c.vault)))
 
 
+#: The day that the single-day monitor reads.
+MONITOR_DAY = dt.date(2024, 1, 10)
+
+
+@register("volume_day", _chain(
+    f"SELECT stream, target_day, current_count, baseline_days, baseline_total, "
+    f"{O.rnd('baseline_mean', 6)} AS baseline_mean, {O.rnd('relative_change', 6)} AS relative_change, status "
+    f"FROM assessed WHERE target_day = DATE '{MONITOR_DAY}'", "counts AS (SELECT * FROM (" + _COUNTS.split("(", 1)[1]
+    + f" WHERE event_day >= DATE '{MONITOR_DAY}' - 7 AND event_day <= DATE '{MONITOR_DAY}'),\n" + _ASSESS))
+def _q(c: Context):
+    """One day against its baseline, reading that range of days only."""
+    return round_doubles(MON.assess_day(c.vault, MONITOR_DAY), 6)
+
+
 @register("event_watermarks", O.with_chain(
     "SELECT 'interactions' AS stream, max(load_date) AS watermark FROM stg_interactions "
     "UNION ALL SELECT 'couriers', max(load_date) FROM stg_courier_telemetry"))
@@ -77,7 +95,7 @@ days AS (SELECT coalesce(ia.day, co.day) AS day, mi, mc FROM ia FULL JOIN co ON
 series AS (SELECT day, mi IS NOT NULL AS rel,
            max(mi) OVER (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS wm_interactions,
            max(mc) OVER (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS wm_couriers FROM days),
-rlog AS (SELECT 'vs_release_' || md5(CAST(day AS VARCHAR)) AS release_id, day,
+rlog AS (SELECT 'release-' || md5(CAST(day AS VARCHAR)) AS release_id, day,
          CAST(day + INTERVAL 1 DAY AS TIMESTAMP) AS built_at, wm_interactions, wm_couriers FROM series WHERE rel)"""
 
 
@@ -85,6 +103,13 @@ def _age(now: str, ts: str) -> str:
     return f"((epoch_us({now}) - epoch_us({ts})) / 1e6)"
 
 
+def _written_log(c: Context):
+    """A log with one activation per event day, written as events and read back."""
+    root = checkpoint_path(c.spark, "release-history", uuid.uuid4().hex)
+    REL.append_events(c.spark, root, REL.daily_activations(c.models))
+    return REL.read_log(c.spark, root)
+
+
 @register("release_freshness", _chain(
     f"""SELECT release_id, day, built_at, wm_interactions, wm_couriers, checked_at,
         {_age('checked_at', 'built_at')} AS build_age_seconds,
@@ -99,19 +124,20 @@ def _age(now: str, ts: str) -> str:
              ELSE 'ok' END AS freshness_status
         FROM (SELECT *, built_at + INTERVAL 3600 SECOND AS checked_at FROM rlog)""", _LOG))
 def _q(c: Context):
-    """Freshness (build 2 h, events 1 day) of a publish-per-day history, checked 1 h after each build."""
-    return REL.release_freshness(REL.daily_release_log(c.models))
+    """Freshness (build 2 h, events 1 day) of a publish-per-day log, checked 1 h after each build."""
+    return REL.freshness_after(_written_log(c))
 
 
 @register("release_prune_status", _chain(
     f"""SELECT release_id, built_at, retired_at,
-        CASE WHEN retired_at IS NULL THEN 'live'
+        CASE WHEN replaced_at IS NULL THEN 'active' WHEN retired_at IS NULL THEN 'previous'
              WHEN {_age('now_', 'retired_at')} < {3 * 86400} THEN 'grace_period' ELSE 'eligible' END AS status
-        FROM (SELECT release_id, built_at, lead(built_at, 2) OVER (ORDER BY built_at) AS retired_at,
+        FROM (SELECT release_id, built_at, lead(built_at, 1) OVER (ORDER BY built_at) AS replaced_at,
+                     lead(built_at, 2) OVER (ORDER BY built_at) AS retired_at,
                      max(built_at) OVER () AS now_ FROM rlog)""", _LOG))
 def _q(c: Context):
-    """Retention status (3-day grace) of each daily release, as of the latest build."""
-    return REL.prune_status(REL.daily_release_log(c.models))
+    """Retention status (3-day grace) of each release of the daily log, as of the latest build."""
+    return REL.states(_written_log(c), F.lit(None).cast("timestamp_ntz"), 3 * 86400)
 
 
 @register("snapshot_expiry", _chain(
@@ -120,7 +146,7 @@ def _q(c: Context):
         FROM (SELECT release_id, built_at, max(built_at) OVER () AS now_ FROM rlog)""", _LOG))
 def _q(c: Context):
     """Snapshots older than seven days before the latest, never the current one."""
-    return REL.snapshot_expiry(REL.daily_release_log(c.models))
+    return REL.snapshot_expiry(_written_log(c))
 
 
 @register("cell_bits", O.with_chain(

@@ -15,12 +15,11 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hexvault.operators.features import CLICK_ATTRIBUTION_S, CTR_SLIDE, CTR_WINDOW, SESSION_GAP_S
+from hexvault.sources import files
 
 DEDUP_STATE = "24 hours"
 FEATURE_WATERMARK = "15 seconds"
@@ -95,8 +94,10 @@ def impression_click_join(impressions: DataFrame, clicks: DataFrame, within_s: i
                           delay: str = FEATURE_WATERMARK) -> DataFrame:
     """Stream-stream left outer join on (user, item) with ``click ∈ [imp, imp + within]``.
 
-    Each impression is emitted once (label 1 with its first matching click, or
-    label 0 when the window closes). The join state is bounded by the watermarks.
+    Each impression is emitted once: label 1 with its first matching click, or label 0
+    when its window closes. The join emits a row per click; an aggregation keyed by the
+    impression and its event time reduces them, and is closed by the watermark, so the
+    state of both steps is bounded.
     """
     i = _ts(impressions).select(F.col("event_id").alias("imp_id"), F.col("user_id").alias("imp_user"),
                                 F.col("item_id").alias("imp_item"), F.col("event_time_ltz").alias("imp_ts")) \
@@ -106,41 +107,52 @@ def impression_click_join(impressions: DataFrame, clicks: DataFrame, within_s: i
     cond = ((F.col("imp_user") == F.col("clk_user")) & (F.col("imp_item") == F.col("clk_item"))
             & (F.col("clk_ts") >= F.col("imp_ts"))
             & (F.col("clk_ts") <= F.col("imp_ts") + F.expr(f"INTERVAL {within_s} SECONDS")))
-    return i.join(c, cond, "leftOuter").select("imp_id", "imp_user", "imp_item", "imp_ts", "clk_ts",
-                                                F.col("clk_ts").isNotNull().cast("int").alias("label"))
+    # The click time goes on as a plain number: the impression time alone carries the watermark.
+    pairs = i.join(c, cond, "leftOuter").select("imp_id", "imp_user", "imp_item", "imp_ts",
+                                                 F.unix_micros("clk_ts").alias("clk_us"))
+    first = pairs.groupBy("imp_id", "imp_user", "imp_item", "imp_ts").agg(F.min("clk_us").alias("clk_us"))
+    return first.select("imp_id", "imp_user", "imp_item", "imp_ts", F.timestamp_micros("clk_us").alias("clk_ts"),
+                        F.col("clk_us").isNotNull().cast("int").alias("label"))
 
 
 class FeatureSink:
     """Idempotent feature upsert: each batch writes a new version = previous ∪ batch,
     latest value per key by ``version_col`` (SET semantics). Replaying a batch id
-    starts again from the version before it, so the result is identical."""
+    starts again from the version before it, so the result is identical. Only versions
+    that Spark has finished count, and ``KEPT`` of them stay."""
+
+    KEPT = 3
 
     def __init__(self, root: str, key: str, version_col: str, value_cols: list[str]):
         self.root, self.key, self.version_col, self.value_cols = root, key, version_col, value_cols
 
-    def _versions(self) -> list[int]:
-        if not os.path.isdir(self.root):
-            return []
-        return sorted(int(d.split("=")[1]) for d in os.listdir(self.root) if d.startswith("v="))
+    def _path(self, version: int) -> str:
+        return f"{self.root}/v={version:012d}"
+
+    def _versions(self, spark) -> list[int]:
+        return [int(n.split("=")[1]) for n in files.committed_children(spark, self.root, "v=")]
 
-    def read(self, spark, schema: str | None = None) -> DataFrame | None:
-        vs = self._versions()
+    def read(self, spark, schema: str | None = None) -> DataFrame:
+        """The newest finished version; raises if there is none."""
+        vs = self._versions(spark)
         if not vs:
-            return None
+            raise FileNotFoundError(f"no finished version under {self.root}")
         reader = spark.read.schema(schema) if schema else spark.read
-        return reader.parquet(os.path.join(self.root, f"v={vs[-1]:012d}"))
+        return reader.parquet(self._path(vs[-1]))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         from hexvault.operators.marts import latest_by
         spark = batch.sparkSession
-        prior = [v for v in self._versions() if v < batch_id]
+        prior = [v for v in self._versions(spark) if v < batch_id]
         cols = [self.key, self.version_col, *self.value_cols]
         rows = batch.select(*cols)
         if prior:
-            rows = spark.read.parquet(os.path.join(self.root, f"v={prior[-1]:012d}")).select(*cols).unionByName(rows)
+            rows = spark.read.parquet(self._path(prior[-1])).select(*cols).unionByName(rows)
         rows = rows.withColumn("_t", F.timestamp_micros(F.col(self.version_col).cast("long")))
         latest = latest_by(rows, self.key, "_t", [], cols)
-        latest.write.mode("overwrite").parquet(os.path.join(self.root, f"v={batch_id:012d}"))
+        latest.write.mode("overwrite").parquet(self._path(batch_id))
+        for v in prior[:-(self.KEPT - 1)]:
+            files.delete(spark, self._path(v))
 
 
 class EmbeddingSink(FeatureSink):
@@ -154,8 +166,9 @@ class BucketedFeatureSink(FeatureSink):
     """``FeatureSink`` whose table is split into ``buckets`` by key hash; a micro-batch
     rewrites only the buckets it touches (``v=<batch>/_b=<bucket>``), so the cost of
     a batch follows the keys it carries, not the whole table. Readers take, per
-    bucket, the newest version folder holding it. Replays stay idempotent: a batch id
-    is rebuilt from the versions before it."""
+    bucket, the newest finished version folder holding it. Replays stay idempotent: a
+    batch id is rebuilt from the versions before it. A bucket keeps its ``KEPT`` newest
+    versions."""
 
     def __init__(self, root: str, key: str, version_col: str, value_cols: list[str], buckets: int = 64):
         super().__init__(root, key, version_col, value_cols)
@@ -164,23 +177,21 @@ class BucketedFeatureSink(FeatureSink):
     def _bucket(self):
         return F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.buckets))
 
-    def _latest_paths(self, before: int | None = None, only: set | None = None) -> list[str]:
-        chosen: dict[int, str] = {}
-        for v in self._versions():
-            if before is not None and v >= before:
-                continue
-            vdir = os.path.join(self.root, f"v={v:012d}")
-            for d in os.listdir(vdir):
-                if d.startswith("_b="):
-                    b = int(d.split("=")[1])
-                    if only is None or b in only:
-                        chosen[b] = os.path.join(vdir, d)
-        return [chosen[b] for b in sorted(chosen)]
-
-    def read(self, spark, schema: str | None = None) -> DataFrame | None:
-        paths = self._latest_paths()
+    def _held(self, spark, before: int | None = None) -> dict[int, list[str]]:
+        """Folders of each bucket, oldest first, in finished versions (before a batch)."""
+        held: dict[int, list[str]] = {}
+        for v in self._versions(spark):
+            if before is None or v < before:
+                for d in files.children(spark, self._path(v)):
+                    if d.startswith("_b="):
+                        held.setdefault(int(d.split("=")[1]), []).append(f"{self._path(v)}/{d}")
+        return held
+
+    def read(self, spark, schema: str | None = None) -> DataFrame:
+        """Every bucket at its newest finished version; raises if there is none."""
+        paths = [p[-1] for _, p in sorted(self._held(spark).items())]
         if not paths:
-            return None
+            raise FileNotFoundError(f"no finished version under {self.root}")
         reader = spark.read.schema(schema) if schema else spark.read
         return reader.parquet(*paths)
 
@@ -190,9 +201,13 @@ class BucketedFeatureSink(FeatureSink):
         cols = [self.key, self.version_col, *self.value_cols]
         rows = batch.select(*cols).withColumn("_b", self._bucket())
         touched = {r[0] for r in rows.select("_b").distinct().collect()}  # at most `buckets` ints
-        prior = self._latest_paths(before=batch_id, only=touched)
+        held = self._held(spark, batch_id)
+        prior = [held[b][-1] for b in sorted(touched) if b in held]
         if prior:
             rows = spark.read.parquet(*prior).select(*cols).withColumn("_b", self._bucket()).unionByName(rows)
         rows = rows.withColumn("_t", F.timestamp_micros(F.col(self.version_col).cast("long")))
         latest = latest_by(rows, self.key, "_t", [], [*cols, "_b"])
-        latest.write.mode("overwrite").partitionBy("_b").parquet(os.path.join(self.root, f"v={batch_id:012d}"))
+        latest.write.mode("overwrite").partitionBy("_b").parquet(self._path(batch_id))
+        for b in touched:
+            for old in held.get(b, [])[:-(self.KEPT - 1)]:
+                files.delete(spark, old)

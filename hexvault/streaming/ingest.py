@@ -15,7 +15,7 @@ is on the classpath (it is not in this build image).
 
 from __future__ import annotations
 
-import os
+import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,8 +50,12 @@ def kafka_source(spark: SparkSession, topic: str, bootstrap: str) -> DataFrame:
     return reader.load().select(F.col("value").cast("string").alias("value"))
 
 
-def avro_source(spark: SparkSession, topic: str, bootstrap: str, avro_schema_json: str) -> DataFrame:
-    """Confluent-framed Avro topic: split the 5-byte header, decode the body with ``from_avro``.
+def avro_source(spark: SparkSession, topic: str, bootstrap: str, avro_schema_json: str,
+                schema_id: int) -> DataFrame:
+    """Confluent-framed Avro topic as typed rows: check the 5-byte header, decode with ``from_avro``.
+
+    ``schema_id`` is the id of ``avro_schema_json``; frames of another id fail the query.
+    ``C.to_messages`` of the rows feeds ``start_vault_stream``.
 
     Needs the Kafka and Avro connector packages on the classpath (absent in this
     build image); the header split and contract → schema steps are tested alone.
@@ -60,9 +64,17 @@ def avro_source(spark: SparkSession, topic: str, bootstrap: str, avro_schema_jso
     raw = spark.readStream.format("kafka")
     for k, v in kafka_options(topic, bootstrap, "avro").items():
         raw = raw.option(k, v)
-    framed = C.decode_frames(raw.load().select(F.col("value").alias("frame")))
-    return framed.filter("header.valid").select(from_avro(F.col("header.body"), avro_schema_json).alias("e")) \
-                 .select("e.*")
+    bodies = strict_bodies(raw.load().select(F.col("value").alias("frame")), schema_id)
+    return bodies.select(from_avro(F.col("body"), avro_schema_json).alias("e")).select("e.*")
+
+
+def strict_bodies(frames: DataFrame, schema_id: int) -> DataFrame:
+    """``body`` of every framed message; a bad header or another schema id fails the read."""
+    h = C.decode_frames(frames).select("header")
+    known = F.col("header.valid") & (F.col("header.schema_id") == schema_id)
+    return h.select(F.when(known, F.col("header.body")).otherwise(F.raise_error(F.concat(
+        F.lit(f"frame without the header of schema {schema_id}: found "),
+        F.coalesce(F.col("header.schema_id").cast("string"), F.lit("none"))))).alias("body"))
 
 
 def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -120,6 +132,7 @@ class VaultSink:
                     sinks.upsert_live(spark, self.root, rows, batch_id, S.COURIER_LIVE)
                 else:
                     sinks.append_batch(rows, self.root, name, batch_id)
+            sinks.commit_batch(spark, self.root, self.topic, batch_id)
             self.written.append(batch_id)
         finally:
             batch.unpersist()
@@ -145,47 +158,92 @@ def start_vault_stream(spark: SparkSession, messages: DataFrame, topic: str, roo
     return writer.start()
 
 
-def read_vault(spark: SparkSession, root: str) -> V.Vault:
-    """The six vault tables written by the streaming sinks (all batches)."""
-    return V.Vault({n: sinks.read_appended(spark, root, n, S.VAULT_TABLES[n]) for n in V.Vault.NAMES})
+CLICKS, PINGS = "events.clickstream", "events.telemetry"
+
+
+def snapshot(spark: SparkSession, root: str, topics: tuple[str, ...] = (CLICKS, PINGS)) -> dict[str, list[str]]:
+    """The committed batches of each topic: what a pinned read sees, whatever is written meanwhile."""
+    return {t: sinks.committed_batches(spark, root, t) for t in topics}
+
+
+def read_vault(spark: SparkSession, root: str, topics: tuple[str, ...] = (CLICKS, PINGS),
+               pinned: dict[str, list[str]] | None = None) -> V.Vault:
+    """The vault tables of the topics, all from one list of committed batches.
+
+    Every table of a topic is read at the same batches, so a link and its satellite
+    agree. A topic without any committed batch raises, and so does a table of a topic
+    that was not asked for.
+    """
+    pinned = pinned or snapshot(spark, root, topics)
+
+    def not_read():
+        raise LookupError(f"only the tables of {topics} were asked for")
+
+    tables = {n: not_read for n in V.Vault.NAMES}
+    for topic in topics:
+        names = V.CLICK_SINKS if topic == CLICKS else V.TELEMETRY_SINKS
+        for n in V.Vault.NAMES:
+            if n in names:
+                tables[n] = sinks.read_batches(spark, root, n, S.VAULT_TABLES[n], pinned[topic])
+    return V.Vault(tables)
+
+
+def snapshot_id(pinned: dict[str, list[str]]) -> str:
+    """Short name of a snapshot: its last batch per topic."""
+    return ",".join(f"{t}@{b[-1]}" for t, b in sorted(pinned.items()))
 
 
 def read_log(spark: SparkSession, root: str) -> DataFrame:
-    return sinks.read_appended(spark, root, "clickstream_realtime_log", S.CLICKSTREAM_LOG)
+    return sinks.read_batches(spark, root, "clickstream_realtime_log", S.CLICKSTREAM_LOG,
+                              sinks.committed_batches(spark, root, CLICKS))
 
 
 def read_dead_letters(spark: SparkSession, root: str) -> DataFrame:
+    """Rejected messages of all committed batches (none, if no batch had any)."""
     schema = "topic string, value string, reasons array<string>, rejected_at timestamp"
     return sinks.read_appended(spark, root, DLQ_TABLE, schema)
 
 
 def bounded_read(spark: SparkSession, path: str, topic: str) -> DataFrame:
-    """Bounded read of a source (earliest → latest) as typed rows without computed columns."""
-    msgs = spark.read.text(path)
-    valid, _ = C.split_messages(msgs, topic)
-    return valid
+    """Bounded read of a source (earliest → latest) as typed rows without computed columns.
+
+    An invalid message fails the read with its reasons (``C.split_messages`` returns rejects instead).
+    """
+    checked = C.validate_messages(spark.read.text(path), topic)
+    parsed = F.when(F.col("valid"), F.try_parse_json("value")).otherwise(F.raise_error(
+        F.concat(F.lit(f"{topic}: "), F.concat_ws(",", "reasons"))))
+    return checked.select(parsed.alias("_v")).select(*C.typed_columns(topic, "_v"))
 
 
-def mart_refresh_stream(spark: SparkSession, vault_root: str, release_root: str, manifest: str,
+def mart_refresh_stream(spark: SparkSession, vault_root: str, release_root: str,
                         interval: str = "300 seconds", checkpoint: str | None = None, on_error=None):
     """Rebuild and publish the marts whenever new vault files arrive (fixed-delay trigger).
 
     The trigger interval must be at least 30 seconds. A failed build leaves the
-    last release active; the error is passed to ``on_error`` and the query goes on.
+    last release active; the error is passed to ``on_error`` (by default it is logged
+    with the number of failures in a row) and the query goes on.
     """
     from hexvault.plans import release as REL
     seconds = int(interval.split()[0])
     if seconds < 30:
         raise ValueError("Refresh interval must be at least 30 seconds")
-    watch = os.path.join(vault_root, "sat_interaction_context_spatial")
+    watch = f"{vault_root}/sat_interaction_context_spatial"
     probe = spark.readStream.schema(S.SAT_INTERACTION).parquet(watch).select(F.lit(1).alias("_"))
 
-    def refresh(_batch: DataFrame, _batch_id: int) -> None:
+    failures = 0
+
+    def refresh(_batch: DataFrame, batch_id: int) -> None:
+        nonlocal failures
         try:
-            REL.publish(spark, read_vault(spark, vault_root), release_root, manifest)
+            pinned = snapshot(spark, vault_root)
+            REL.publish(spark, read_vault(spark, vault_root, pinned=pinned), release_root, snapshot_id(pinned))
+            failures = 0
         except Exception as exc:  # keep serving the last good release
+            failures += 1
             if on_error:
                 on_error(exc)
+            else:
+                logging.getLogger(__name__).error("refresh %s failed, %s in a row", batch_id, failures, exc_info=exc)
 
     checkpoint = checkpoint or checkpoint_path(spark, "streams", "mart_refresh")
     return (probe.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)

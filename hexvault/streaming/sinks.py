@@ -3,21 +3,25 @@
 There is no table format with MERGE on the classpath, so every sink writes plain
 parquet under a folder per micro-batch id (``batch=<id>``). Re-running a batch id
 overwrites exactly that folder, so a restarted query that replays its last batch
-never duplicates rows (exactly-once output on top of the checkpoint).
+never duplicates rows (exactly-once output on top of the checkpoint). A batch counts
+for readers once all its tables are written (``commit_batch``); folders are found
+through Spark's file systems, so any store that Spark reads will do.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hexvault.operators.marts import latest_by
+from hexvault.sources import files
 
 LIVE_TIE_BREAK = ["status", "latitude", "longitude", "speed_kmh", "bearing_deg", "h3_res7", "h3_res9"]
 LIVE_COLUMNS = ["hk_courier_id", "courier_id", "latitude", "longitude", "speed_kmh", "bearing_deg",
                 "status", "h3_res7", "h3_res9", "event_ts_ms"]
+LIVE_TABLE, COMMITS = "courier_telemetry_live", "commits"
+#: Committed versions of the live table that stay for readers.
+KEPT_VERSIONS = 3
 
 
 def latest_live_rows(rows: DataFrame) -> DataFrame:
@@ -31,68 +35,75 @@ def latest_live_rows(rows: DataFrame) -> DataFrame:
     return out.select(*LIVE_COLUMNS)
 
 
+def _batch(batch_id: int) -> str:
+    return f"batch={int(batch_id):012d}"
+
+
 def append_batch(df: DataFrame, root: str, table: str, batch_id: int) -> str:
     """Write one micro-batch of an append-only table under ``root/table/batch=<id>``."""
-    path = os.path.join(root, table, f"batch={int(batch_id):012d}")
+    path = f"{root}/{table}/{_batch(batch_id)}"
     df.write.mode("overwrite").parquet(path)
     return path
 
 
+def commit_batch(spark, root: str, topic: str, batch_id: int) -> None:
+    """Record that every table of the topic holds this batch."""
+    marker = spark.range(1).select(F.lit(int(batch_id)).cast("long").alias("batch_id"))
+    marker.coalesce(1).write.mode("overwrite").parquet(f"{root}/{COMMITS}/{topic}/{_batch(batch_id)}")
+
+
+def committed_batches(spark, root: str, topic: str) -> list[str]:
+    """Names of the committed batches of a topic; raises if there is none."""
+    found = files.committed_children(spark, f"{root}/{COMMITS}/{topic}", "batch=")
+    if not found:
+        raise FileNotFoundError(f"no committed batch of {topic} under {root}")
+    return found
+
+
+def read_batches(spark, root: str, table: str, schema, batches: list[str]) -> DataFrame:
+    """An append-only table at the given batches."""
+    return files.read_folders(spark, [f"{root}/{table}/{b}" for b in batches], schema)
+
+
 def read_appended(spark, root: str, table: str, schema) -> DataFrame:
-    """All batches of an append-only table (empty frame with the schema when absent)."""
-    path = os.path.join(root, table)
-    if not os.path.isdir(path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).drop("batch")
+    """All finished batches of a table that need not exist (empty frame with the schema when absent)."""
+    names = files.committed_children(spark, f"{root}/{table}", "batch=")
+    return read_batches(spark, root, table, schema, names)
 
 
 def upsert_live(spark, root: str, batch: DataFrame, batch_id: int, schema) -> str:
-    """Keyed upsert: union the previous version with the batch, keep the latest per key.
+    """Keyed upsert: union the last finished version with the batch, keep the latest per key.
 
-    Writes a new version folder ``live/v=<batch_id>`` and then a small pointer file;
-    readers follow the pointer, so a failed write leaves the old version visible.
-    Re-running a batch id rewrites the same version from the same previous one.
+    Writes the version folder ``v=<batch_id>``; readers take the newest finished one, so
+    an interrupted write leaves the old version visible. Re-running a batch id starts
+    from the versions before it. Versions beyond the last ``KEPT_VERSIONS`` go.
     """
-    base = os.path.join(root, "courier_telemetry_live")
-    os.makedirs(base, exist_ok=True)
-    pointer = os.path.join(base, "CURRENT")
-    previous = None
-    if os.path.exists(pointer):
-        with open(pointer, encoding="utf-8") as fh:
-            current = fh.read().strip()
-        if current and int(current.split("=")[1]) < batch_id:
-            previous = spark.read.schema(schema).parquet(os.path.join(base, current))
-        elif current:
-            # replaying the batch that produced ``current``: start from its predecessor
-            prior = sorted(d for d in os.listdir(base) if d.startswith("v=")
-                           and int(d.split("=")[1]) < batch_id)
-            if prior:
-                previous = spark.read.schema(schema).parquet(os.path.join(base, prior[-1]))
-    merged = batch.select(*LIVE_COLUMNS) if previous is None else \
-        previous.select(*LIVE_COLUMNS).unionByName(batch.select(*LIVE_COLUMNS))
-    version = f"v={int(batch_id):012d}"
-    latest_live_rows(merged).write.mode("overwrite").parquet(os.path.join(base, version))
-    tmp = pointer + ".tmp"
-    with open(tmp, "w", encoding="utf-8") as fh:
-        fh.write(version)
-    os.replace(tmp, pointer)
-    return os.path.join(base, version)
+    base = f"{root}/{LIVE_TABLE}"
+    done = files.committed_children(spark, base, "v=")
+    older = [v for v in done if int(v.split("=")[1]) < batch_id]
+    merged = batch.select(*LIVE_COLUMNS)
+    if older:
+        merged = spark.read.schema(schema).parquet(f"{base}/{older[-1]}").select(*LIVE_COLUMNS).unionByName(merged)
+    path = f"{base}/v={int(batch_id):012d}"
+    latest_live_rows(merged).write.mode("overwrite").parquet(path)
+    for v in older[:-(KEPT_VERSIONS - 1)]:
+        files.delete(spark, f"{base}/{v}")
+    return path
 
 
 def read_live(spark, root: str, schema) -> DataFrame:
-    base = os.path.join(root, "courier_telemetry_live")
-    pointer = os.path.join(base, "CURRENT")
-    if not os.path.exists(pointer):
-        return spark.createDataFrame([], schema)
-    with open(pointer, encoding="utf-8") as fh:
-        return spark.read.schema(schema).parquet(os.path.join(base, fh.read().strip()))
+    """The newest finished version of the live table; raises if there is none."""
+    done = files.committed_children(spark, f"{root}/{LIVE_TABLE}", "v=")
+    if not done:
+        raise FileNotFoundError(f"no finished version of {LIVE_TABLE} under {root}")
+    return spark.read.schema(schema).parquet(f"{root}/{LIVE_TABLE}/{done[-1]}")
 
 
 def ensure_table(spark, root: str, name: str, schema) -> str:
     """CREATE TABLE IF NOT EXISTS: an empty parquet folder with the declared schema."""
-    path = os.path.join(root, name)
-    if not os.path.isdir(path):
-        spark.createDataFrame([], schema).write.mode("ignore").parquet(os.path.join(path, "batch=init"))
+    path = f"{root}/{name}"
+    if not files.children(spark, path):
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/batch=init")
     return path
 
 

@@ -129,20 +129,6 @@ def test_hexagon_feature_shape(spark):
     assert all(r["speed_kmh"] is not None and r["bearing_deg"] is not None for r in rows)
 
 
-def test_monitor_error_replaces_green_report(spark, workdir):
-    import json
-    import os
-    path = os.path.join(workdir, "r.json")
-    MON.write_report(path, {"state": "complete"})
-
-    class Broken:
-        def __getitem__(self, name):
-            raise RuntimeError("source unavailable")
-    with pytest.raises(RuntimeError):
-        MON.run_monitor(Broken(), dt.date(2026, 10, 8), path, now=dt.datetime(2026, 10, 15, tzinfo=dt.timezone.utc))
-    assert json.load(open(path))["state"] == "error"
-
-
 def test_readiness_probe_reads_schemas_only(spark):
     v = FX.vault(spark)
     raw = {r["table_name"]: r["column_count"] for r in ServingSource(v, Models(v), "raw").readiness().collect()}

@@ -14,6 +14,7 @@ from hexvault.functions.spatial import hexcell
 from hexvault.functions.sql import register_sql_functions
 from hexvault.plans import release as REL
 from hexvault.sources import contracts as C
+from hexvault.sources import files
 from hexvault.streaming import ingest as I
 from hexvault.streaming import sinks
 
@@ -48,15 +49,17 @@ def test_fixture_loading(spark):
 
 
 def test_gauges(spark):
-    now = dt.datetime(2026, 10, 15, 12, tzinfo=dt.timezone.utc)
-    rel = REL.Release("vs_release_" + "a" * 32, "main", "abc", now.isoformat(),
-                      {"interactions": now.isoformat(), "couriers": None})
-    state = REL.ReleaseState(rel, None, now.isoformat())
-    rows = {(r["name"], r["label"]): r["value"] for r in
-            REL.gauges(spark, state, {"status": "ok", "window_end": 5.0}).collect()}
-    assert rows[("release_manifest_valid", "")] == 1.0
-    assert rows[("quality_healthy", "ok")] == 1.0
-    assert rows[("release_built_timestamp_seconds", rel.release_id)] == now.timestamp()
+    now = dt.datetime(2026, 10, 15, 12)
+    log = spark.createDataFrame([(0, "activated", "old", now, now, "s", None, None),
+                                 (1, "activated", "new", now, now, "s", now, None)], REL.LOG_SCHEMA)
+    quality = spark.createDataFrame([(dt.date(2026, 10, 14), "ok"), (dt.date(2026, 10, 13), "anomaly")],
+                                    "target_day date, status string")
+    rows = {(r["name"], r["label"]): r["value"] for r in REL.gauges(log, quality).collect()}
+    seconds = now.replace(tzinfo=dt.timezone.utc).timestamp()
+    assert rows == {("release_built_timestamp_seconds", "new"): seconds,
+                    ("release_event_timestamp_seconds", "interactions"): seconds,
+                    ("release_event_timestamp_seconds", "couriers"): None,
+                    ("quality_healthy", "2026-10-14"): 1.0, ("quality_healthy", "2026-10-13"): 0.0}
 
 
 def test_mart_refresh_stream_publishes(spark, workdir):
@@ -64,15 +67,20 @@ def test_mart_refresh_stream_publishes(spark, workdir):
     v = FX.vault(spark)
     for name in v.NAMES:
         sinks.append_batch(v[name], vault_root, name, 0)
+    for topic in I.SOURCE_TOPICS:
+        sinks.commit_batch(spark, vault_root, topic, 0)
     errors = []
-    q = I.mart_refresh_stream(spark, vault_root, rel_root, os.path.join(workdir, "m.json"), "30 seconds",
+    q = I.mart_refresh_stream(spark, vault_root, rel_root, "30 seconds",
                               checkpoint=os.path.join(workdir, "ck"), on_error=errors.append)
     deadline = time.time() + 120
-    while not os.path.exists(os.path.join(workdir, "m.json")) and time.time() < deadline and not errors:
+    while (not files.committed_children(spark, f"{rel_root}/{REL.LOG}", "event=")
+           and time.time() < deadline and not errors):
         time.sleep(1)
     q.stop()
     assert errors == []
-    assert REL.read_state(os.path.join(workdir, "m.json")).previous is None
+    found = REL.read_log(spark, rel_root).collect()
+    assert [r.event for r in found] == ["activated"]
+    assert found[0].source == "events.clickstream@batch=000000000000,events.telemetry@batch=000000000000"
 
 
 def test_file_stats_and_metric_lines(spark, workdir):

@@ -61,6 +61,19 @@ def test_stream_stream_join_matches_batch_labels(spark, workdir):
     assert matched == batch
 
 
+def test_impression_with_two_clicks_is_one_row(spark, workdir):
+    rows = [("i1", "u", "x", 1_000_000), ("i2", "u", "y", 1_000_000), ("late", "u", "z", 90_000_000)]
+    clicks = [("c1", "u", "x", 1_200_000), ("c2", "u", "x", 1_100_000), ("c3", "v", "x", 1_050_000),
+              ("late", "u", "z", 90_000_000)]
+    schema = "event_id string, user_id string, item_id string, event_ts_ms long"
+    imps = _stream_of(spark, spark.createDataFrame(rows, schema), os.path.join(workdir, "i"))
+    clks = _stream_of(spark, spark.createDataFrame(clicks, schema), os.path.join(workdir, "k"))
+    got, _ = _collect(SF.impression_click_join(imps, clks))
+    found = {r["imp_id"]: (r["label"], r["clk_ts"].timestamp() if r["clk_ts"] else None) for r in got}
+    assert len(got) == len(found)
+    assert found["i1"] == (1, 1100.0) and found["i2"] == (0, None)
+
+
 def test_feature_sink_is_idempotent(spark, workdir):
     root = os.path.join(workdir, "f")
     sink = SF.FeatureSink(root, "user_id", "ts", ["clicks"])
@@ -71,6 +84,9 @@ def test_feature_sink_is_idempotent(spark, workdir):
     first = sorted(map(tuple, sink.read(spark).select("user_id", "clicks").collect()))
     sink(b1, 1)  # replay of the last batch
     assert sorted(map(tuple, sink.read(spark).select("user_id", "clicks").collect())) == first == [("u1", 5), ("u2", 1)]
+    os.makedirs(os.path.join(root, "v=000000000007", "_temporary"))  # an interrupted write
+    assert sorted(map(tuple, sink.read(spark).select("user_id", "clicks").collect())) == first
+    assert SF.FeatureSink("file://" + root, "user_id", "ts", ["clicks"]).read(spark).count() == 2
 
 
 def test_bronze_envelope_from_files(spark, workdir):

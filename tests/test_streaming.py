@@ -54,9 +54,66 @@ def test_replayed_batch_adds_nothing(spark, workdir):
     batch = I.typed_stream(msgs, "events.clickstream")
     sink = I.VaultSink(root, "events.clickstream")
     sink(batch, 0)
-    first = I.read_vault(spark, root)["hub_user"].count()
+    clicks = lambda: I.read_vault(spark, root, (I.CLICKS,))["hub_user"].count()
+    first = clicks()
     sink(batch, 0)  # the same batch id again (restart after a failure)
-    assert I.read_vault(spark, root)["hub_user"].count() == first == ctx.clicks.count()
+    assert clicks() == first == ctx.clicks.count()
+    with pytest.raises(FileNotFoundError):
+        I.read_vault(spark, root)  # no telemetry was ever committed
+
+
+def test_reads_are_pinned_to_committed_batches_on_any_path(spark, workdir):
+    """A URI root reads the same; an interrupted batch and a later one stay out of a pinned read."""
+    ctx = Context(spark, SF)
+    root = "file://" + os.path.join(workdir, "vault")
+    batch = I.typed_stream(C.to_messages(ctx.clicks, I.CLICKS), I.CLICKS)
+    sink = I.VaultSink(root, I.CLICKS)
+    sink(batch, 0)
+    n = ctx.clicks.count()
+    pinned = I.snapshot(spark, root, (I.CLICKS,))
+    # the next batch wrote one table and was lost before its commit
+    sinks.append_batch(I.read_vault(spark, root, (I.CLICKS,))["hub_user"], root, "hub_user", 1)
+    assert I.read_vault(spark, root, (I.CLICKS,))["hub_user"].count() == n
+    sink(batch, 1)
+    assert I.read_vault(spark, root, (I.CLICKS,))["hub_user"].count() == 2 * n
+    old = I.read_vault(spark, root, (I.CLICKS,), pinned)
+    assert old["hub_user"].count() == old["sat_interaction_context_spatial"].count() == n
+    assert I.read_log(spark, root).count() == 2 * n
+
+
+def test_unfinished_live_version_is_not_read(spark, workdir):
+    from hexvault import schemas as S
+    row = lambda status, ts: spark.createDataFrame(
+        [("h", "c1", 1.0, 2.0, 3.0, 4, status, 7, 9, ts)], S.COURIER_LIVE)
+    with pytest.raises(FileNotFoundError):
+        sinks.read_live(spark, workdir, S.COURIER_LIVE)
+    for i in range(5):
+        sinks.upsert_live(spark, "file://" + workdir, row(f"s{i}", i), i, S.COURIER_LIVE)
+    os.makedirs(os.path.join(workdir, sinks.LIVE_TABLE, "v=000000000009", "_temporary"))
+    assert sinks.read_live(spark, workdir, S.COURIER_LIVE).first()["status"] == "s4"
+    assert len(os.listdir(os.path.join(workdir, sinks.LIVE_TABLE))) <= sinks.KEPT_VERSIONS + 1
+
+
+def test_bounded_read_fails_on_an_invalid_message(spark, workdir):
+    ctx = Context(spark, SF)
+    path = os.path.join(workdir, "m")
+    _write_messages(ctx.clicks, I.CLICKS, path)
+    assert I.bounded_read(spark, path, I.CLICKS).count() == ctx.clicks.count()
+    spark.createDataFrame([('{"event_id": 5}',)], "value string").write.mode("append").text(path)
+    with pytest.raises(Exception, match="missing:user_id"):
+        I.bounded_read(spark, path, I.CLICKS).collect()
+
+
+def test_framed_messages_need_the_right_header(spark):
+    from pyspark.sql import functions as F
+    frames = spark.createDataFrame([(7, "a"), (7, "b")], "sid long, body string").select(
+        C.wire_frame(F.col("body"), F.col("sid")).alias("frame"))
+    assert sorted(bytes(r.body) for r in I.strict_bodies(frames, 7).collect()) == [b"a", b"b"]
+    with pytest.raises(Exception, match="found 7"):
+        I.strict_bodies(frames, 8).collect()
+    bad = spark.createDataFrame([(bytearray(b"\x01\x00"),)], "frame binary")
+    with pytest.raises(Exception, match="without the header"):
+        I.strict_bodies(bad, 7).collect()
 
 
 def test_strict_mode_fails_and_quarantine_routes(spark, workdir):
@@ -70,7 +127,7 @@ def test_strict_mode_fails_and_quarantine_routes(spark, workdir):
         I.VaultSink(os.path.join(workdir, "strict"), "events.clickstream")(batch, 0)
     root = os.path.join(workdir, "q")
     I.VaultSink(root, "events.clickstream", quarantine=True)(batch, 0)
-    assert I.read_vault(spark, root)["hub_user"].count() == 1
+    assert I.read_vault(spark, root, (I.CLICKS,))["hub_user"].count() == 1
     dlq = I.read_dead_letters(spark, root).collect()
     assert [r["reasons"] for r in dlq] == [["wrong_type:event_ts_ms"]]
 
