@@ -4,17 +4,20 @@
   distinct cells), features standardised; cluster id per courier.
 * ``als_factors`` – implicit-feedback ALS on user × item interaction counts
   (the candidate model is re-aimed from two-tower to ALS); returns item factors.
-Both train on distributed aggregates; nothing is collected except the model.
+Both train on distributed aggregates; ids are numbered on the cluster.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from hexvault.session import cut_lineage
 
 SEED = 7
 
@@ -34,16 +37,23 @@ def courier_clusters(telemetry: DataFrame, k: int = 3) -> DataFrame:
     return model.transform(prof).select("hk_courier_id", "mean_speed", "pings", "cells", "cluster")
 
 
+def numbered(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """``key, name``: the distinct keys with consecutive integers, given on the cluster.
+
+    The numbering is checkpointed, so it stays the same wherever it is read.
+    """
+    distinct = rows.select(key).distinct().filter(F.col(key).isNotNull())
+    pairs = distinct.rdd.zipWithIndex().map(lambda x: (x[0][0], x[1]))
+    schema = T.StructType([distinct.schema[key], T.StructField(name, T.LongType())])
+    return cut_lineage(rows.sparkSession.createDataFrame(pairs, schema).withColumn(name, F.col(name).cast("int")))
+
+
 def als_factors(clicks: DataFrame, rank: int = 8, max_iter: int = 5) -> DataFrame:
     counts = clicks.groupBy("user_id", "item_id").agg(F.count(F.lit(1)).cast("float").alias("n"))
-    idx = Pipeline(stages=[StringIndexer(inputCol="user_id", outputCol="u"),
-                           StringIndexer(inputCol="item_id", outputCol="i")]).fit(counts)
-    data = idx.transform(counts).select(F.col("u").cast("int"), F.col("i").cast("int"), "n")
+    users, items = numbered(counts, "user_id", "u"), numbered(counts, "item_id", "i")
+    data = counts.join(users, "user_id").join(items, "item_id").select("u", "i", "n")
     als = ALS(userCol="u", itemCol="i", ratingCol="n", implicitPrefs=True, rank=rank, maxIter=max_iter,
               seed=SEED, coldStartStrategy="drop")
     model = als.fit(data)
-    # index → item id through a join with the indexed items (no driver-side label list)
-    ids = idx.stages[1].transform(counts.select("item_id").distinct()) \
-             .select("item_id", F.col("i").cast("int").alias("i"))
-    items = model.itemFactors.select(F.col("id").alias("i"), F.col("features").alias("factors"))
-    return items.join(ids, "i").select("item_id", "factors")
+    factors = model.itemFactors.select(F.col("id").alias("i"), F.col("features").alias("factors"))
+    return factors.join(items, "i").select("item_id", "factors")

@@ -212,29 +212,40 @@ _PROMOTIONS = {("int", "long"), ("int", "float"), ("int", "double"), ("long", "f
                ("long", "double"), ("float", "double"), ("string", "bytes"), ("bytes", "string")}
 
 
-def schema_frame(spark: SparkSession, fields: list[tuple[str, str, bool]]) -> DataFrame:
-    return spark.createDataFrame([(n, t, bool(o)) for n, t, o in fields],
-                                 "name string, type string, has_default boolean")
+def evolution_fields(avsc: dict) -> list[tuple[str, str, bool, bool]]:
+    """Record schema JSON → (name, type, nullable, has_default): a union with null alone is no default."""
+    return [(n, t, optional, "default" in f)
+            for (n, t, optional), f in zip(avsc_to_fields(avsc), avsc["fields"])]
+
+
+def schema_frame(spark: SparkSession, fields: list[tuple]) -> DataFrame:
+    """Fields (name, type, optional) as in contracts, where optional means nullable with a
+    null default, or (name, type, nullable, has_default)."""
+    return spark.createDataFrame([(f[0], f[1], bool(f[2]), bool(f[-1])) for f in fields],
+                                 "name string, type string, nullable boolean, has_default boolean")
 
 
 def check_evolution(previous: DataFrame, candidate: DataFrame) -> DataFrame:
     """Violations of candidate (reader) against previous (writer): ``(name, rule)``.
 
-    Rules: a new field needs a default; a field kept in both must be readable
-    (same type, a numeric/bytes promotion, or made optional); a required field of
-    the previous version must stay with the identical type.
+    Rules: a new field needs a default; a field kept in both must be readable (same
+    type or a numeric/bytes promotion); a field that may hold null cannot become
+    required; a required field of the previous version must stay with the identical
+    type.
     """
-    p = previous.select(F.col("name"), F.col("type").alias("p_type"), F.col("has_default").alias("p_def"))
-    c = candidate.select(F.col("name"), F.col("type").alias("c_type"), F.col("has_default").alias("c_def"))
+    p = previous.select(F.col("name"), F.col("type").alias("p_type"), F.col("nullable").alias("p_null"))
+    c = candidate.select(F.col("name"), F.col("type").alias("c_type"), F.col("nullable").alias("c_null"),
+                         F.col("has_default").alias("c_def"))
     both = p.join(c, "name", "full")
     promo = F.array(*[F.lit(f"{a}>{b}") for a, b in sorted(_PROMOTIONS)])
     readable = (F.col("p_type") == F.col("c_type")) | F.array_contains(
         promo, F.concat(F.col("p_type"), F.lit(">"), F.col("c_type")))
     rule = (F.when(F.col("p_type").isNull() & ~F.col("c_def"), "new_field_without_default")
-             .when(F.col("c_type").isNull() & ~F.col("p_def"), "required_field_removed")
+             .when(F.col("c_type").isNull() & ~F.col("p_null"), "required_field_removed")
              .when(F.col("p_type").isNotNull() & F.col("c_type").isNotNull() & ~readable,
                    "incompatible_type")
-             .when(F.col("p_type").isNotNull() & F.col("c_type").isNotNull() & ~F.col("p_def")
+             .when(F.col("p_null") & ~F.col("c_null"), "nullable_to_required")
+             .when(F.col("p_type").isNotNull() & F.col("c_type").isNotNull() & ~F.col("p_null")
                    & (F.col("p_type") != F.col("c_type")), "required_field_retyped"))
     return both.select("name", rule.alias("rule")).filter(F.col("rule").isNotNull())
 

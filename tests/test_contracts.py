@@ -61,6 +61,20 @@ def test_evolution_rules(spark):
     assert "incompatible_type" in _evolve(spark, base, retyped)
     promoted = base[:2] + [("event_ts_ms", "double", False)] + base[3:]
     assert _evolve(spark, base, promoted) == {"required_field_retyped"}
+    assert _evolve(spark, base, base[:3] + [("display_name", "string", False)]) == {"nullable_to_required"}
+    assert _evolve(spark, base, base[:2] + [("event_ts_ms", "long", True)] + base[3:]) == set()
+
+
+def test_evolution_keeps_null_and_default_apart(spark):
+    old = C.evolution_fields({"fields": [{"name": "a", "type": "string"}]})
+    union = {"name": "b", "type": ["null", "string"]}
+    assert C.evolution_fields({"fields": [union]}) == [("b", "string", True, False)]
+    added = C.evolution_fields({"fields": [{"name": "a", "type": "string"}, union]})
+    assert _evolve(spark, old, added) == {"new_field_without_default"}
+    added = C.evolution_fields({"fields": [{"name": "a", "type": "string"}, {**union, "default": None}]})
+    assert _evolve(spark, old, added) == set()
+    filled = C.evolution_fields({"fields": [{"name": "a", "type": "string"}, {"name": "c", "type": "long", "default": 0}]})
+    assert _evolve(spark, old, filled) == set()
 
 
 def test_wire_header_roundtrip_and_rejects(spark):
