@@ -30,8 +30,12 @@ def exact_mean(c) -> Column:
 
 
 def exact_weighted_mean(value, weight) -> Column:
-    """``sum(value·weight) / sum(weight)`` with exact sums (weight is an integer count)."""
+    """``sum(value·weight) / sum(weight)`` with exact sums (weight is an integer count).
+
+    Values hold nine decimal places and must stay below 10**9 (larger ones raise).
+    """
     v, w = _col(value), _col(weight)
-    num = F.sum(v.cast(EXACT) * w.cast("decimal(20,0)"))
+    # 18 and 19 digits multiply into 38 without losing a decimal place.
+    num = F.sum(v.cast("decimal(18,9)") * w.cast("decimal(19,0)"))
     den = F.sum(w)
     return num.cast("double") / F.nullif(den, F.lit(0)).cast("double")

@@ -27,7 +27,6 @@ CTR_WINDOW, CTR_SLIDE = "1 hour", "5 minutes"
 CLICK_ATTRIBUTION_S = 30 * 60
 TOP_K_SALT = 32
 PSI_EPS = 1e-6
-PII_SALT = "hexvault-pii-salt"
 
 
 def top_k_per_key(df: DataFrame, key: str, order: list[Column], k: int,
@@ -255,25 +254,26 @@ def suppress_recent(events: DataFrame, hours: int = 24) -> DataFrame:
 
 # --- D30, D34: masking and Kimball dimensions ---------------------------------------------------
 
-def mask(c, salt: str = PII_SALT) -> Column:
+def mask(c, salt: str) -> Column:
     """Salted SHA-256 of a PII value (hex)."""
     col = F.col(c) if isinstance(c, str) else c
     return F.sha2(F.concat(F.lit(salt), col.cast("string")), 256)
 
 
-def masked_users(customer: DataFrame, salt: str = PII_SALT) -> DataFrame:
+def masked_users(customer: DataFrame, salt: str) -> DataFrame:
     return customer.select("c_custkey", mask("c_name", salt).alias("c_name_masked"), "c_nationkey",
                            "c_mktsegment")
 
 
-def dim_users(customer: DataFrame, nation: DataFrame, region: DataFrame, orders: DataFrame) -> DataFrame:
+def dim_users(customer: DataFrame, nation: DataFrame, region: DataFrame, orders: DataFrame,
+              salt: str) -> DataFrame:
     """User dimension: masked name, nation, region, segment, order count, first order."""
     o = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"),
                                         F.min("o_orderdate").alias("first_order"))
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "n_name", "r_name")
     return (customer.join(geo, customer.c_nationkey == geo.n_nationkey, "left")
                     .join(o, customer.c_custkey == o.o_custkey, "left")
-                    .select("c_custkey", mask("c_name").alias("c_name_masked"), "n_name", "r_name",
+                    .select("c_custkey", mask("c_name", salt).alias("c_name_masked"), "n_name", "r_name",
                             "c_mktsegment", F.coalesce("n_orders", F.lit(0)).alias("n_orders"), "first_order"))
 
 
@@ -466,14 +466,17 @@ NEW_ITEM_DAYS = 7
 NEW_ITEM_BOOST = 0.2
 
 
-def rerank_diversity(candidates: DataFrame, key: str = "user_id", max_run: int = MAX_CATEGORY_RUN) -> DataFrame:
+def rerank_diversity(candidates: DataFrame, key: str = "user_id", max_run: int = MAX_CATEGORY_RUN,
+                     limit: int = 200) -> DataFrame:
     """Greedy re-rank per user: highest score first, but never more than ``max_run``
     consecutive items of one category while another category is available.
 
-    Runs per user with ``applyInPandas``; callers pass a bounded candidate list per
-    user (a top-N), so every group is small regardless of data size.
+    The feature is a re-ranked top list: the ``limit`` best candidates of a user are
+    chosen first (salted two-level ranking), so the per-user ``applyInPandas`` group
+    that follows is bounded whatever the data.
     """
     import pandas as pd
+    candidates = top_k_per_key(candidates, key, [F.desc("score"), F.asc("item_id")], limit).drop("rank")
 
     def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
         pool = pdf.sort_values(["score", "item_id"], ascending=[False, True]).to_dict("records")
@@ -503,9 +506,15 @@ def boost_and_filter(scored: DataFrame, items_first_seen: DataFrame, in_stock: D
     return j.withColumn("boosted_score", F.when(new, F.col("score") * (1 + NEW_ITEM_BOOST)).otherwise(F.col("score")))
 
 
-def subject_keys(subjects: DataFrame, key: str) -> DataFrame:
-    """Per-subject 256-bit data keys (random; stored apart from the data)."""
-    return subjects.select(key).distinct().withColumn("data_key", F.unhex(F.sha2(F.uuid(), 256)))
+def subject_keys(subjects: DataFrame, key: str, path: str) -> DataFrame:
+    """Per-subject 256-bit random data keys, written to ``path`` (which must be new) and read back.
+
+    Only stored keys are returned: drawn again, they would differ, and what was
+    encrypted under the first ones could not be read.
+    """
+    keys = subjects.select(key).distinct().withColumn("data_key", F.unhex(F.sha2(F.uuid(), 256)))
+    keys.write.parquet(path)
+    return subjects.sparkSession.read.parquet(path)
 
 
 def shred_encrypt(df: DataFrame, keys: DataFrame, key: str, pii: list[str]) -> DataFrame:

@@ -3,7 +3,7 @@
 A ``Window.partitionBy(key)`` puts every row of a key into one task; a key that
 holds a third of the data then becomes a third of the job in a single task.
 ``sequence_features`` instead cuts each key into ordered *chunks* – time buckets
-of the leading order column (a day by default) – computes the features inside
+of the leading order column (an hour by default, a day for dates) – computes the features inside
 each chunk with a window over ``(key, chunk)``, and carries the state across
 chunk boundaries from a small per-chunk summary (one row per key and bucket):
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-DAY_MS = 86_400_000
+HOUR_MS, DAY_MS = 3_600_000, 86_400_000
 
 
 def time_bucket(df: DataFrame, column: str, width_ms: int = DAY_MS) -> Column:
@@ -41,7 +41,7 @@ def time_bucket(df: DataFrame, column: str, width_ms: int = DAY_MS) -> Column:
 
 def sequence_features(df: DataFrame, key: str, order: list[str], lag: list[str] = (),
                       lead: list[str] = (), ffill: list[str] = (), cumsum: list[str] = (),
-                      bucket: Column | None = None, bucket_ms: int = DAY_MS) -> DataFrame:
+                      bucket: Column | None = None, bucket_ms: int = HOUR_MS) -> DataFrame:
     """Add ``prev_<c>``, ``next_<c>``, ``ffill_<c>``, ``cum_<c>`` columns (see module doc).
 
     ``bucket`` must be non-decreasing in the order; by default it is the
@@ -55,7 +55,8 @@ def sequence_features(df: DataFrame, key: str, order: list[str], lag: list[str]
     w = Window.partitionBy(key, "_chunk").orderBy(*asc)
     w_desc = Window.partitionBy(key, "_chunk").orderBy(*desc)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cols = [F.row_number().over(w).alias("_first"), F.row_number().over(w_desc).alias("_last")]
+    cols = [F.row_number().over(w).alias("_first")] if lag else []
+    cols += [F.row_number().over(w_desc).alias("_last")] if lead else []
     cols += [F.lag(c).over(w).alias(f"_lag_{c}") for c in lag]
     cols += [F.lead(c).over(w).alias(f"_lead_{c}") for c in lead]
     cols += [F.last(c, ignorenulls=True).over(upto).alias(f"_ff_{c}") for c in ffill]
@@ -87,7 +88,9 @@ def sequence_features(df: DataFrame, key: str, order: list[str], lag: list[str]
         carry.append(F.sum(f"_tot_{c}").over(before).alias(f"_c_cs_{c}"))
     summary = summary.select(key, "_chunk", *carry)
 
-    y = x.join(summary, [key, "_chunk"], "left")
+    # Null keys and null times form chunks of their own and carry state like any other.
+    summary = summary.withColumnsRenamed({key: "_s_key", "_chunk": "_s_chunk"})
+    y = x.join(summary, x[key].eqNullSafe(F.col("_s_key")) & x["_chunk"].eqNullSafe(F.col("_s_chunk")), "left")
     out = [F.col(c) for c in df.columns]
     out += [F.when(F.col("_first") == 1, F.col(f"_c_tail.{c}")).otherwise(F.col(f"_lag_{c}")).alias(f"prev_{c}")
             for c in lag]

@@ -70,6 +70,24 @@ def _q(c: Context):
         F.count(F.lit(1)).alias("n_messages"))
 
 
+#: Every seventh event is sent without its user, to be rejected.
+_LOST = 7
+
+
+@register("contract_rejects", O.with_chain(
+    f"SELECT 'events.clickstream' AS topic, count(*) FILTER (CAST(event_id AS BIGINT) % {_LOST} <> 0) AS n_valid, "
+    f"count(*) FILTER (CAST(event_id AS BIGINT) % {_LOST} = 0) AS n_rejected FROM clickstream"))
+def _q(c: Context):
+    """Messages of which some lost their user: typed valid rows and rejects are counted apart, none is lost."""
+    topic = "events.clickstream"
+    lost = F.when(F.col("event_id").cast("bigint") % _LOST != 0, F.col("user_id"))
+    valid, rejects = C.split_messages(C.to_messages(c.clicks.withColumn("user_id", lost), topic), topic)
+    counted = valid.select(F.lit(1).alias("v"), F.lit(0).alias("r")).unionByName(
+        rejects.select(F.lit(0).alias("v"), F.lit(1).alias("r")))
+    return counted.agg(F.sum("v").alias("n_valid"), F.sum("r").alias("n_rejected")).select(
+        F.lit(topic).alias("topic"), "n_valid", "n_rejected")
+
+
 @register("wire_header", O.with_chain(
     """SELECT event_id, 0 AS magic, CAST(event_id % 5 AS BIGINT) AS schema_id,
               octet_length(encode(props)) AS body_bytes, event_id % 5 > 0 AS valid,

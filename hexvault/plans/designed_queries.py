@@ -196,15 +196,19 @@ def _r(c: Context):
     return D.suppress_recent(c.clicks_once)
 
 
+#: Salt of the registered test queries; a deployment passes its own secret.
+TEST_SALT = "test-salt"
+
+
 @register("d_masked_users", _q(
-    f"""SELECT c_custkey, sha256('{D.PII_SALT}' || c_name) AS c_name_masked, c_nationkey, c_mktsegment FROM customer"""))
+    f"""SELECT c_custkey, sha256('{TEST_SALT}' || c_name) AS c_name_masked, c_nationkey, c_mktsegment FROM customer"""))
 def _r(c: Context):
     """Customers with the name replaced by a salted SHA-256."""
-    return D.masked_users(c.table("customer"))
+    return D.masked_users(c.table("customer"), TEST_SALT)
 
 
 @register("d_dim_users", _q(
-    f"""SELECT c.c_custkey, sha256('{D.PII_SALT}' || c.c_name) AS c_name_masked, g.n_name, g.r_name, c.c_mktsegment,
+    f"""SELECT c.c_custkey, sha256('{TEST_SALT}' || c.c_name) AS c_name_masked, g.n_name, g.r_name, c.c_mktsegment,
           coalesce(o.n_orders, 0) AS n_orders, o.first_order
         FROM customer c
         LEFT JOIN (SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) g
@@ -213,7 +217,7 @@ def _r(c: Context):
                    GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey"""))
 def _r(c: Context):
     """User dimension (masked name, nation, region, segment, order count, first order)."""
-    return D.dim_users(c.table("customer"), c.table("nation"), c.table("region"), c.table("orders"))
+    return D.dim_users(c.table("customer"), c.table("nation"), c.table("region"), c.table("orders"), TEST_SALT)
 
 
 @register("d_fct_daily_orders", _q(

@@ -17,7 +17,7 @@ _NN = [t for t in T if t.kind == "not_null"]
 _UN = [t for t in T if t.kind == "unique"]
 _AV = [t for t in T if t.kind == "accepted_values"]
 _RL = [t for t in T if t.kind == "relationships"]
-_UC = [t for t in T if t.kind == "unique_combination" and t.model == "stg_courier_telemetry"]
+_UC = [t for t in T if t.kind == "unique_combination"]
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -52,10 +52,26 @@ def _q(c: Context):
         "n_records") for t in _UN])
 
 
-@register("dq_unique_combination", O.with_chain(O.violation_rows_sql(_UC[0])))
+_TIMES = ("load_date", "event_hour")
+
+
+def _key_sql(columns: list[str]) -> str:
+    parts = [f"coalesce(CAST({f'epoch_us({x})' if x in _TIMES else x} AS VARCHAR), 'null')" for x in columns]
+    return "concat_ws('|', " + ", ".join(parts) + ")"
+
+
+def _key(columns: list[str]):
+    text = lambda x: (F.unix_micros(F.col(x).cast("timestamp")) if x in _TIMES else F.col(x)).cast("string")
+    return F.concat_ws("|", *[F.coalesce(text(x), F.lit("null")) for x in columns])
+
+
+@register("dq_unique_combination", O.with_chain(" UNION ALL ".join(
+    f"SELECT '{t.model}' AS model, {_key_sql(t.args['columns'])} AS key, row_count FROM ({O.violation_rows_sql(t)})"
+    for t in _UC)))
 def _q(c: Context):
-    """Ambiguous courier timestamps: (courier, load_date) pairs with more than one ping."""
-    return Q.violations(_UC[0], c.models)
+    """Key sets that occur more than once, for each of the three declared combinations."""
+    return _union([Q.violations(t, c.models).select(
+        F.lit(t.model).alias("model"), _key(t.args["columns"]).alias("key"), "row_count") for t in _UC])
 
 
 @register("dq_accepted_values", O.with_chain(" UNION ALL ".join(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from hexvault import oracle as O
 from hexvault.functions.spatial import neighbour_cells_py
 from hexvault.operators import vault as V
+from hexvault.operators.serving import courier_response, hexagon_features
 from hexvault.plans.context import Context, round_doubles
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -231,6 +232,16 @@ def _q(c: Context):
     return round_doubles(c.mart.hexagons("interactions", 7, 100), 6)
 
 
+@register("hexagon_features", "SELECT h3_hex, metric_count AS count, centroid_lon, centroid_lat, "
+          f"coalesce(avg_dwell_ms, 0) AS avg_dwell_ms FROM ({_hex_mart_sql(7, 100)}) WHERE h3_hex IS NOT NULL")
+def _q(c: Context):
+    """The hexagon response: centroid pair and properties, null cells left out, a missing metric as 0."""
+    shaped = hexagon_features(c.mart.hexagons("interactions", 7, 100)).select(
+        "h3_hex", "count", F.col("centroid")[0].alias("centroid_lon"), F.col("centroid")[1].alias("centroid_lat"),
+        "properties.avg_dwell_ms")
+    return round_doubles(shaped, 6)
+
+
 @register("hexagons_mart_res9", _hex_mart_sql(9, 100))
 def _q(c: Context):
     return round_doubles(c.mart.hexagons("interactions", 9, 100), 6)
@@ -269,6 +280,13 @@ def _q(c: Context):
     return c.mart.live_couriers(None, 50)
 
 
+@register("courier_response", "SELECT * REPLACE (coalesce(speed_kmh, 0.0) AS speed_kmh, "
+          f"coalesce(bearing_deg, 0) AS bearing_deg) FROM ({_live_sql(None)})")
+def _q(c: Context):
+    """The courier response: missing speed and bearing as 0."""
+    return courier_response(c.mart.live_couriers(None, 50))
+
+
 @register("live_couriers_idle", _live_sql("idle"))
 def _q(c: Context):
     """Idle couriers; the status filter applies after latest-position selection."""

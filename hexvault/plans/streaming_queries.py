@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 
 from hexvault import schemas as S
+from hexvault.operators.serving import ServingSource
 from hexvault.plans.context import Context
 from hexvault.plans.registry import ORACLES, register
 from hexvault.session import checkpoint_path
@@ -23,13 +24,13 @@ from hexvault.streaming import sinks
 TRIGGERS = 4
 
 
-def _run_stream(c: Context, topic: str) -> str:
+def _run_stream(c: Context, topic: str, root: str | None = None) -> str:
     work = checkpoint_path(c.spark, "stream-queries", uuid.uuid4().hex)
     frame = c.clicks if topic == "events.clickstream" else c.pings
     src = f"{work}/messages"
     C.to_messages(frame, topic).write.text(src)
     written = sum(n.startswith("part-") for n in files.children(c.spark, src))
-    root = f"{work}/vault"
+    root = root or f"{work}/vault"
     q = I.start_vault_stream(c.spark, I.file_source(c.spark, src, -(-written // TRIGGERS)), topic, root,
                              checkpoint=f"{work}/checkpoint", available_now=True)
     q.awaitTermination()
@@ -49,3 +50,14 @@ def _q(c: Context):
     """Keyed live table after upserting the telemetry micro-batches (latest per courier)."""
     root = _run_stream(c, "events.telemetry")
     return sinks.read_live(c.spark, root, S.COURIER_LIVE)
+
+
+@register("vault_pinned_read", ORACLES["table_stats"])
+def _q(c: Context):
+    """Row counts of a vault read at its committed batches, with a later uncommitted batch beside them."""
+    root = _run_stream(c, I.CLICKS)
+    _run_stream(c, I.PINGS, root)
+    pinned = I.snapshot(c.spark, root)
+    hub = I.read_vault(c.spark, root, pinned=pinned)["hub_user"]
+    sinks.append_batch(hub, root, "hub_user", 10 ** 6)  # written, never committed
+    return ServingSource(I.read_vault(c.spark, root), c.models, "raw").stats()

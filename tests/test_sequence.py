@@ -7,7 +7,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from hexvault.operators.sequence import sequence_features
+from hexvault.operators.sequence import HOUR_MS, sequence_features, time_bucket
 
 
 def test_sequence_features_match_windows(spark):
@@ -44,3 +44,18 @@ def test_hot_key_operators_combine_before_the_shuffle(spark):
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert "_salt" in plan
     assert [r["t"] for r in top.filter("k = 'hot'").orderBy("rank").collect()] == [1999, 1998, 1997]
+
+
+def test_key_hot_inside_one_day_and_null_keys(spark):
+    """One key fills one day: its rows lie in many chunks; a null key carries its state like any other."""
+    import datetime as dt
+    start = dt.datetime(2024, 1, 1)
+    rows = [(k, start + dt.timedelta(minutes=3 * i), i) for k in ("hot", None) for i in range(480)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, n int")
+    out = sequence_features(df, "k", ["t"], lag=["n"], lead=["n"], ffill=["n"], cumsum=["n"])
+    chunks = df.select(time_bucket(df, "t", HOUR_MS).alias("c")).distinct().count()
+    assert chunks == 24
+    for r in out.collect():
+        i = r["n"]
+        assert r["prev_n"] == (i - 1 if i else None) and r["next_n"] == (i + 1 if i < 479 else None)
+        assert r["ffill_n"] == i and r["cum_n"] == i * (i + 1) // 2
