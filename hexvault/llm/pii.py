@@ -136,16 +136,20 @@ class Mapped:
 LOOKALIKES = dict(zip(
     "аеорсухіјѕԁһԛԝкмтвнАВЕКМНОРСТУХІЈЅ" "αονρτικυχΑΒΕΖΗΙΚΜΝΟΡΤΥΧ" "ı" "﹫。․",
     "aeopcyxijsdhqwkmtbhABEKMHOPCTYXIJS" "aovptikuxABEZHIKMNOPTYX" "i" "@..", strict=True))
+#: Blanks and dashes that stand for the plain ones (fixed values).
+LOOKALIKES |= dict.fromkeys("\u00a0\u2007\u2009\u202f", " ") | dict.fromkeys(
+    "\u2010\u2011\u2012\u2013\u2212", "-")
 INVISIBLE = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
-_ODD = re.compile(f"[{''.join(LOOKALIKES)}{INVISIBLE}\uff01-\uff5e\U0001d400-\U0001d7ff]")
+_ODD = re.compile(f"[{''.join(LOOKALIKES)}{INVISIBLE}\uff01-\uff5e\U0001d400-\U0001d7ff]|(?![0-9])\\d")
 
 
 def plain_letters(t: Mapped) -> Mapped:
-    """Homoglyphs, full-width and mathematical letters to ASCII; invisible characters go."""
+    """Homoglyphs, full-width and mathematical letters, other scripts' digits to ASCII; invisible characters go."""
     def new(c: str) -> str:
         if c in INVISIBLE:
             return ""
-        return LOOKALIKES.get(c) or unicodedata.normalize("NFKC", c)
+        digit = unicodedata.decimal(c, None)
+        return LOOKALIKES.get(c) or (unicodedata.normalize("NFKC", c) if digit is None else str(digit))
 
     return t.rewritten([(m.start(), m.end(), new(m.group())) for m in _ODD.finditer(t.text)])
 
