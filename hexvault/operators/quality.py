@@ -77,22 +77,28 @@ def schema_conforms(spark: SparkSession, df: DataFrame, types: dict[str, list[st
     return spark.createDataFrame(rows, "invalid_columns string")
 
 
-def _bad_coordinates(df: DataFrame) -> Column:
+def _bad_coordinates() -> Column:
     lat, lon = F.col("latitude"), F.col("longitude")
     return (lat.isNull() | lon.isNull() | ~lat.between(-90, 90) | ~lon.between(-180, 180))
 
 
+def _bad_interaction() -> Column:
+    return _bad_coordinates() | (F.col("dwell_time_ms") < 0)
+
+
+def _bad_ping() -> Column:
+    b = F.col("bearing_deg")
+    return _bad_coordinates() | (F.col("speed_kmh") < 0) | (b < 0) | (b >= 360)
+
+
 def invalid_interaction_coordinates(stg_interactions: DataFrame) -> DataFrame:
     """Null or out-of-range coordinates, or negative dwell (a null dwell passes here)."""
-    bad = _bad_coordinates(stg_interactions) | (F.col("dwell_time_ms") < 0)
-    return stg_interactions.filter(F.coalesce(bad, F.lit(False))).select("hk_interaction_id")
+    return stg_interactions.filter(F.coalesce(_bad_interaction(), F.lit(False))).select("hk_interaction_id")
 
 
 def invalid_courier_coordinates(stg_courier_telemetry: DataFrame) -> DataFrame:
     """Null or out-of-range coordinates, negative speed, bearing outside [0, 360)."""
-    b = F.col("bearing_deg")
-    bad = (_bad_coordinates(stg_courier_telemetry) | (F.col("speed_kmh") < 0) | (b < 0) | (b >= 360))
-    return stg_courier_telemetry.filter(F.coalesce(bad, F.lit(False))).select("hk_courier_id")
+    return stg_courier_telemetry.filter(F.coalesce(_bad_ping(), F.lit(False))).select("hk_courier_id")
 
 
 def fact_missing_interactions(stg_interactions: DataFrame, fct: DataFrame) -> DataFrame:
@@ -219,27 +225,49 @@ def violations(test: Test, models) -> DataFrame:
     raise ValueError(f"Unknown test: {test}")
 
 
+_COORDINATE_TABLES = {"valid_interaction_coordinates": "stg_interactions",
+                      "valid_courier_coordinates": "stg_courier_telemetry"}
+
+
+def _row_count_of(test: Test) -> Column | None:
+    """The test's violations as an aggregate of its own table, or None if it needs more than one pass."""
+    if test.kind == "not_null":
+        return F.sum(F.col(test.column).isNull().cast("bigint"))
+    if test.kind == "accepted_values":  # distinct foreign values; null passes
+        return F.countDistinct(F.when(~F.col(test.column).isin(test.args["values"]), F.col(test.column)))
+    if test.model == "valid_interaction_coordinates":
+        return F.sum(F.coalesce(_bad_interaction(), F.lit(False)).cast("bigint"))
+    if test.model == "valid_courier_coordinates":
+        return F.sum(F.coalesce(_bad_ping(), F.lit(False)).cast("bigint"))
+    return None
+
+
 def gate_results(models, tests: list[Test] | None = None) -> DataFrame:
     """All declared tests → ``(test_name, kind, model, violations)``.
 
-    The not-null tests of each table share one aggregate pass; the rest are one
-    aggregate each. All branches form one plan (one job when collected).
+    Null, domain and coordinate tests of a table share one pass over it (one domain
+    test a table, so that the pass needs no row expansion); uniqueness, relationships
+    and the rest are one aggregate each. All branches form one plan.
     """
     tests = DECLARED_TESTS if tests is None else tests
-    parts: list[DataFrame] = []
-    by_model: dict[str, list[Test]] = {}
+    shared: dict[str, list[Test]] = {}
+    alone: list[Test] = []
     for t in tests:
-        if t.kind == "not_null":
-            by_model.setdefault(t.model, []).append(t)
-    for model, ts in by_model.items():
-        counts = null_counts(models[model], [t.column for t in ts])
-        parts.append(counts.select(
-            F.concat(F.lit(f"not_null__{model}__"), F.col("column_name")).alias("test_name"),
-            F.lit("not_null").alias("kind"), F.lit(model).alias("model"),
-            F.col("null_count").alias("violations")))
-    for t in tests:
-        if t.kind == "not_null":
-            continue
+        table = _COORDINATE_TABLES.get(t.model, t.model)
+        taken = any(x.kind == "accepted_values" for x in shared.get(table, []))
+        if _row_count_of(t) is None or (t.kind == "accepted_values" and taken):
+            alone.append(t)
+        else:
+            shared.setdefault(table, []).append(t)
+    parts: list[DataFrame] = []
+    for table, ts in shared.items():
+        wide = models[table].agg(*[F.coalesce(_row_count_of(t), F.lit(0)).cast("bigint").alias(f"v{i}")
+                                   for i, t in enumerate(ts)])
+        rows = F.explode(F.array(*[F.struct(
+            F.lit(t.name).alias("test_name"), F.lit(t.kind).alias("kind"), F.lit(t.model).alias("model"),
+            F.col(f"v{i}").alias("violations")) for i, t in enumerate(ts)]))
+        parts.append(wide.select(rows.alias("r")).select("r.*"))
+    for t in alone:
         if t.kind == "relationships":  # orphan rows, counted from the per-key totals
             v = violations(t, models).agg(F.coalesce(F.sum("n_records"), F.lit(0)).cast("bigint").alias("violations"))
         else:
