@@ -8,7 +8,7 @@ input) and goes to the workers as a broadcast. It can only overestimate, so no
 repeated window is lost. Pass 2 hashes the windows again and keeps those estimated
 repeated: inside a task each is reduced to its earliest start (the others are known
 repeats already), so a passage of a third of all documents gives one row per task;
-across tasks an exact grouping by 95 bits of hash finds the starts that are not the
+across tasks an exact grouping by 80 bits of hash finds the starts that are not the
 earliest. Pass 3 drops the words covered by repeats.
 
 Beyond about WIDTH windows the sketch fills up and filters less; the result stays
@@ -40,6 +40,9 @@ FINISH = (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
 #: Text characters handled at once, windows gathered before a flush, words remembered.
 SLICE_CHARS, FLUSH, CACHE = 1 << 22, 1 << 22, 500_000
 NO_ID = -(1 << 63)
+#: A long carries what a window has beside its first hash: bits of the second one, bits
+#: that tell texts of one id apart, and the start.
+START_BITS, TEXT_BITS = 30, 18
 
 
 class _WordHashes(dict):
@@ -218,7 +221,7 @@ def _set(bits: np.ndarray, cells: np.ndarray) -> np.ndarray:
 
 # --- pass 2: exact grouping --------------------------------------------------------------
 
-FLAGGED = "h1 long, h2_start long, id long, text_key int, sure array<int>"
+FLAGGED = "h1 long, rest long, id long, sure array<long>"
 
 
 def _reduced(parts: list[tuple]) -> pa.RecordBatch:
@@ -238,16 +241,16 @@ def _reduced(parts: list[tuple]) -> pa.RecordBatch:
     rid, rkey, rstart = ids[repeat][group], keys[repeat][group], start[repeat][group]
     cuts = np.flatnonzero(np.append(True, (rid[1:] != rid[:-1]) | (rkey[1:] != rkey[:-1]))[:len(rid)])
     n, m = len(candidate), len(cuts)
-    packed = (h2[candidate].astype(np.int64) << 32) | start[candidate]
+    place = lambda key, at: (key.astype(np.int64) << START_BITS) | at
+    rest = (h2[candidate] << np.uint64(START_BITS + TEXT_BITS)).view(np.int64) | place(
+        keys[candidate], start[candidate])
     lists = pa.ListArray.from_arrays(
         pa.array(np.concatenate([np.zeros(n), cuts, [len(rid)]]).astype(np.int32)),
-        pa.array(rstart.astype(np.int32)), mask=pa.array(np.arange(n + m) < n))
+        pa.array(place(rkey, rstart)), mask=pa.array(np.arange(n + m) < n))
     return pa.RecordBatch.from_arrays(
         [pa.array(np.concatenate([h1[candidate].view(np.int64), rid[cuts]])),
-         pa.array(np.concatenate([packed, np.full(m, -1)])),
-         pa.array(np.concatenate([ids[candidate], rid[cuts]])),
-         pa.array(np.concatenate([keys[candidate], rkey[cuts]]).astype(np.int32)), lists],
-        ["h1", "h2_start", "id", "text_key", "sure"])
+         pa.array(np.concatenate([rest, np.zeros(m, dtype=np.int64)])),
+         pa.array(np.concatenate([ids[candidate], rid[cuts]])), lists], ["h1", "rest", "id", "sure"])
 
 
 def flagged_windows(docs: DataFrame, shards: list[tuple[int, int, bytes]], window: int) -> DataFrame:
@@ -265,7 +268,7 @@ def flagged_windows(docs: DataFrame, shards: list[tuple[int, int, bytes]], windo
                 for d in range(DEPTH):
                     hit = _set(bits[d], _cells(h1, h2, d))
                     h1, h2, row, start = h1[hit], h2[hit], row[hit], start[hit]
-                gathered.append((h1, (h2 >> np.uint64(33)), ids[a + row], keys[a + row], start))
+                gathered.append((h1, h2 >> np.uint64(START_BITS + TEXT_BITS), ids[a + row], keys[a + row], start))
                 n += len(h1)
                 if n >= FLUSH // 2:
                     yield _reduced(gathered)
@@ -276,19 +279,21 @@ def flagged_windows(docs: DataFrame, shards: list[tuple[int, int, bytes]], windo
     return docs.mapInArrow(run, FLAGGED)
 
 
+def text_bits(text: str):
+    return F.shiftrightunsigned(F.xxhash64(F.col(text)), 64 - TEXT_BITS).cast("int")
+
+
 def repeats(rows: DataFrame, window: int) -> DataFrame:
     """``id, marks``: the windows of each id that also start earlier, as text key and start in a long."""
     flagged = flagged_windows(rows, merged_sketch(partial_sketches(rows, window)), window)
-    low = F.lit(0xFFFFFFFF)
+    place = F.lit((1 << START_BITS + TEXT_BITS) - 1)
+    start = F.col("rest").bitwiseAND(F.lit((1 << START_BITS) - 1))
     in_group = Window.partitionBy("h1", "h2").orderBy("id", "start")
-    ranked = (flagged.withColumn("h2", F.shiftright("h2_start", 32))
-              .withColumn("start", F.col("h2_start").bitwiseAND(low))
+    ranked = (flagged.withColumn("h2", F.shiftright("rest", START_BITS + TEXT_BITS)).withColumn("start", start)
               .withColumn("rank", F.rank().over(in_group)))
-    later = F.when((F.col("h2_start") >= 0) & (F.col("rank") > 1), F.array(F.col("start").cast("int")))
-    mark = F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("text_key").cast("long").bitwiseAND(low))
+    later = F.when(F.col("sure").isNull() & (F.col("rank") > 1), F.array(F.col("rest").bitwiseAND(place)))
     # Narrow rows are sent to their id first and gathered there.
-    sent = (ranked.select("id", "text_key", F.explode(F.coalesce("sure", later)).alias("at"))
-            .select("id", mark.alias("mark")).repartition("id"))
+    sent = ranked.select("id", F.explode(F.coalesce("sure", later)).alias("mark")).repartition("id")
     return sent.groupBy("id").agg(F.collect_list("mark").alias("marks"))
 
 
@@ -296,7 +301,7 @@ def deduplicated(docs: DataFrame, text: str = "text", id_col: str = "doc_id", wi
                  with_text: bool = False) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` of every row; ``with_text`` adds the kept text."""
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
-                       F.shiftright(F.xxhash64(F.col(text)), 33).cast("int").alias("text_key"),
+                       text_bits(text).alias("text_key"),
                        F.col(text).alias("text"))
     joined = rows.join(repeats(rows, window), "id", "left").select("id", "text_key", "text", "marks")
     schema = ("doc_id long, n_words long, n_removed long, kept_sha256 string"
@@ -311,7 +316,7 @@ def deduplicated(docs: DataFrame, text: str = "text", id_col: str = "doc_id", wi
                 total = len(words)
                 if s.is_valid:
                     marks = s.values.to_numpy()
-                    at = marks[(marks & 0xFFFFFFFF) == (key & 0xFFFFFFFF)] >> 32
+                    at = marks[marks >> START_BITS == key] & ((1 << START_BITS) - 1)
                     edge = np.zeros(total + window + 1, dtype=np.int64)
                     np.add.at(edge, at, 1)
                     np.add.at(edge, at + window, -1)

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from hexvault.llm import mixing, packing, pii, quality_rules, secret_scan, simhash, substring_dedup
@@ -145,8 +146,8 @@ def test_substring_dedup_across_flushes_and_a_full_sketch(docs, doc_rows, monkey
     """Many flushes of a task, and a sketch so narrow that everything is estimated repeated."""
     want = bag(brute.substrings([(r[0], r[1]) for r in doc_rows]))
     one = docs.coalesce(1)
-    rows = one.selectExpr("coalesce(doc_id, -9223372036854775807 - 1) id",
-                          "cast(shiftright(xxhash64(text), 33) as int) text_key", "text")
+    rows = one.select(F.coalesce("doc_id", F.lit(substring_dedup.NO_ID)).alias("id"),
+                      substring_dedup.text_bits("text").alias("text_key"), "text")
     full = [(d, s, substring_dedup.pa.compress(b"\xff" * (1 << 17), codec="zstd", asbytes=True))
             for d in range(2) for s in range(1 << 9)]
     assert substring_dedup.flagged_windows(rows, full, 20).count() > 10_000
@@ -267,6 +268,9 @@ def test_personal_data_base_spans_match_plain_regexes(docs, doc_rows):
      "plus one four one five five five five zero one zero zero"),
     ("＋1 (415) 555-0100", "phone", "＋1 (415) 555-0100"),
     ("four one one one 1111 1111 1111", "card", "four one one one 1111 1111 1111"),
+    ("4111\u00a01111\u00a01111\u00a01111", "card", "4111\u00a01111\u00a01111\u00a01111"),
+    ("+1\u2011415\u2011555\u20110100", "phone", "+1\u2011415\u2011555\u20110100"),
+    ("\u0661\u0669\u0662.168.1.\u0661", "ip", "\u0661\u0669\u0662.168.1.\u0661"),
     ("at one nine two dot one six eight dot one dot one", "ip", "one nine two dot one six eight dot one dot one")])
 def test_disguises_map_back_to_the_source(text, kind, found):
     _, every = pii.spans("é\U0001f600 " + text)
