@@ -157,8 +157,9 @@ def plain_letters(t: Mapped) -> Mapped:
 DIGITS = dict(zip("zero one two three four five six seven eight nine".split(), "0123456789"))
 _NUMBER = "(?:" + "|".join(DIGITS) + ")"
 _SPELLED = re.compile(rf"(?<![A-Za-z])(?:(plus)[ -]?)?({_NUMBER}(?:[ -]{_NUMBER})*)(?![A-Za-z])"
-                      rf"|(?<![A-Za-z])(plus)[ -]?(?=[0-9])", re.I)
-_SPELLED_HINT = re.compile(rf"{_NUMBER}[ -]{_NUMBER}|plus")
+                      rf"|(?<![A-Za-z])(plus)[ -]?(?=[0-9])", re.I | re.A)
+#: Lower-case hints find all that their transducer can rewrite, and more.
+_SPELLED_HINT = re.compile(rf"{_NUMBER}(?:[ -]{_NUMBER}| {{1,3}}(?:dot|point) )|plus| (?:dot|point) {{1,3}}{_NUMBER}")
 _WORD = re.compile(r"[A-Za-z]+")
 _DOT_BEFORE = re.compile(r" (?:dot|point) {1,3}$", re.I)
 _DOT_AFTER = re.compile(r" {1,3}(?:dot|point) ", re.I)
@@ -194,6 +195,8 @@ _AFTER_AT = re.compile(r"@[A-Za-z0-9-]{1,63}(?:(?: {1,3}dot {1,3}|\.)[A-Za-z0-9-
 _BARE_DOT = re.compile(r"(?: {1,3}dot {1,3}|[_-]dot[_-])", re.I)
 _DIGIT_DOT = re.compile(r"(?<=[0-9])(?: {1,3}(?:dot|point) {1,3})(?=[0-9])", re.I)
 _DOT_HINT = re.compile(r"dot|point|[\[({<] {0,3}(?:at|@|\.) {0,3}[\])}>]")
+#: A bare "at" counts without a dot word if something was rewritten before.
+_AT_HINT = re.compile(r"[ _-]at[ _-]")
 
 
 def plain_marks(t: Mapped) -> Mapped:
@@ -231,7 +234,7 @@ def deobfuscated(text: str) -> Mapped | None:
     lower = t.text.lower()
     if _SPELLED_HINT.search(lower):
         t = plain_digits(t)
-    if _DOT_HINT.search(lower):
+    if _DOT_HINT.search(lower) or (t.changed is not None and _AT_HINT.search(lower)):
         t = plain_marks(t)
     return None if t.changed is None else t
 
