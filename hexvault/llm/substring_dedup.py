@@ -7,9 +7,10 @@ cell for "two or more", has a fixed size (DEPTH * WIDTH / 8 = 128 MiB, whatever
 input) and goes to the workers as a broadcast. It can only overestimate, so no
 repeated window is lost. Pass 2 hashes the windows again and keeps those estimated
 repeated: inside a task each is reduced to its earliest start (the others are known
-repeats already), so a passage of a third of all documents gives one row per task;
-across tasks an exact grouping by 80 bits of hash finds the starts that are not the
-earliest. Pass 3 drops the words covered by repeats.
+repeats already), with all texts that tie for it, so a passage of a third of all
+documents gives one row per task; across tasks an exact grouping by 80 bits of hash
+finds the starts that are not the earliest. Repeats are gathered by id and text key,
+so many texts of one id (null, say) are spread. Pass 3 drops the words covered by repeats.
 
 Beyond about WIDTH windows the sketch fills up and filters less; the result stays
 exact, the grouping just gets more rows. Raise WIDTH with the memory of the workers.
@@ -32,6 +33,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hexvault.llm.common import text_key
+
 WINDOW = 20
 DEPTH, WIDTH_BITS, SHARD_BITS = 2, 29, 20
 #: Bases of the two rolling polynomial hashes, finishers of the cell rows (fixed values).
@@ -40,9 +43,8 @@ FINISH = (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
 #: Text characters handled at once, windows gathered before a flush, words remembered.
 SLICE_CHARS, FLUSH, CACHE = 1 << 22, 1 << 22, 500_000
 NO_ID = -(1 << 63)
-#: A long carries what a window has beside its first hash: bits of the second one, bits
-#: that tell texts of one id apart, and the start.
-START_BITS, TEXT_BITS = 30, 18
+#: Bits of the second hash that are grouped beside the first; known repeats stand outside them.
+H2_BITS, SURE = 16, -1
 
 
 class _WordHashes(dict):
@@ -221,36 +223,70 @@ def _set(bits: np.ndarray, cells: np.ndarray) -> np.ndarray:
 
 # --- pass 2: exact grouping --------------------------------------------------------------
 
-FLAGGED = "h1 long, rest long, id long, sure array<long>"
+FLAGGED = "h1 long, h2 long, id long, text_key long, start long, more array<long>"
+
+
+def _lists(values: np.ndarray, cuts: np.ndarray, rows: np.ndarray, total: int) -> pa.Array:
+    """``total`` lists, null but for ``rows``, which hold the values from each cut on."""
+    sizes = np.zeros(total, dtype=np.int64)
+    sizes[rows] = np.diff(np.append(cuts, len(values)))
+    none = np.ones(total, dtype=bool)
+    none[rows] = False
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)),
+                                    pa.array(values), mask=pa.array(none))
+
+
+def _cuts(*columns: np.ndarray) -> np.ndarray:
+    """Where sorted rows differ from the row before."""
+    new = np.zeros(len(columns[0]), dtype=bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
 
 
 def _reduced(parts: list[tuple]) -> pa.RecordBatch:
-    """Earliest start of each window of the flushed rows, and the sure repeats per document."""
+    """Earliest start of each window of the flushed rows, and the sure repeats per document.
+
+    ``more`` of an earliest start are the keys of the other texts that tie for it; of
+    sure repeats (``h2`` is ``SURE``, ``h1`` only deals them out) their starts.
+    """
     h1, h2, ids, keys, start = (np.concatenate(x) for x in zip(*parts))
     order = np.lexsort((start, ids, h2, h1))
     same = np.zeros(len(order), dtype=bool)
     a, b = order[1:], order[:-1]
     same[1:] = (h1[a] == h1[b]) & (h2[a] == h2[b])
-    # A start equal to the earliest of its group is no repeat (equal rows).
+    # A start equal to the earliest of its group is no repeat.
     first = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
     lead = order[first]
     later = (ids[order] != ids[lead]) | (start[order] != start[lead])
     candidate = np.sort(order[~same])
-    repeat = np.sort(order[later])
+    # Other texts that start the group as early as its lead (equal rows share their key).
+    tied = ~later & (keys[order] != keys[lead])
+    to, other = np.searchsorted(candidate, lead[tied]), keys[order[tied]]
+    by = np.lexsort((other, to))
+    to, other = to[by], other[by]
+    once = _cuts(to, other)
+    to, other = to[once], other[once]
+    ties = _cuts(to)
+    repeat = order[later]
     group = np.lexsort((start[repeat], keys[repeat], ids[repeat]))
     rid, rkey, rstart = ids[repeat][group], keys[repeat][group], start[repeat][group]
-    cuts = np.flatnonzero(np.append(True, (rid[1:] != rid[:-1]) | (rkey[1:] != rkey[:-1]))[:len(rid)])
+    once = _cuts(rid, rkey, rstart)
+    rid, rkey, rstart = rid[once], rkey[once], rstart[once]
+    cuts = _cuts(rid, rkey)
     n, m = len(candidate), len(cuts)
-    place = lambda key, at: (key.astype(np.int64) << START_BITS) | at
-    rest = (h2[candidate] << np.uint64(START_BITS + TEXT_BITS)).view(np.int64) | place(
-        keys[candidate], start[candidate])
-    lists = pa.ListArray.from_arrays(
-        pa.array(np.concatenate([np.zeros(n), cuts, [len(rid)]]).astype(np.int32)),
-        pa.array(place(rkey, rstart)), mask=pa.array(np.arange(n + m) < n))
+    with np.errstate(over="ignore"):
+        deal = rid[cuts] * np.int64(31) + rkey[cuts]
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([h1[candidate].view(np.int64), rid[cuts]])),
-         pa.array(np.concatenate([rest, np.zeros(m, dtype=np.int64)])),
-         pa.array(np.concatenate([ids[candidate], rid[cuts]])), lists], ["h1", "rest", "id", "sure"])
+        [pa.array(np.concatenate([h1[candidate].view(np.int64), deal])),
+         pa.array(np.concatenate([h2[candidate].astype(np.int64), np.full(m, SURE)])),
+         pa.array(np.concatenate([ids[candidate], rid[cuts]])),
+         pa.array(np.concatenate([keys[candidate], rkey[cuts]])),
+         pa.array(np.concatenate([start[candidate], np.zeros(m, dtype=np.int64)])),
+         _lists(np.concatenate([other, rstart]), np.concatenate([ties, len(other) + cuts]),
+                np.concatenate([to[ties], n + np.arange(m)]), n + m)],
+        ["h1", "h2", "id", "text_key", "start", "more"])
 
 
 def flagged_windows(docs: DataFrame, shards: list[tuple[int, int, bytes]], window: int) -> DataFrame:
@@ -268,7 +304,7 @@ def flagged_windows(docs: DataFrame, shards: list[tuple[int, int, bytes]], windo
                 for d in range(DEPTH):
                     hit = _set(bits[d], _cells(h1, h2, d))
                     h1, h2, row, start = h1[hit], h2[hit], row[hit], start[hit]
-                gathered.append((h1, h2 >> np.uint64(START_BITS + TEXT_BITS), ids[a + row], keys[a + row], start))
+                gathered.append((h1, h2 >> np.uint64(64 - H2_BITS), ids[a + row], keys[a + row], start))
                 n += len(h1)
                 if n >= FLUSH // 2:
                     yield _reduced(gathered)
@@ -280,21 +316,23 @@ def flagged_windows(docs: DataFrame, shards: list[tuple[int, int, bytes]], windo
 
 
 def text_bits(text: str):
-    return F.shiftrightunsigned(F.xxhash64(F.col(text)), 64 - TEXT_BITS).cast("int")
+    return text_key(text)
 
 
 def repeats(rows: DataFrame, window: int) -> DataFrame:
-    """``id, marks``: the windows of each id that also start earlier, as text key and start in a long."""
+    """``id, text_key, marks``: the starts of each document's windows that also start earlier."""
     flagged = flagged_windows(rows, merged_sketch(partial_sketches(rows, window)), window)
-    place = F.lit((1 << START_BITS + TEXT_BITS) - 1)
-    start = F.col("rest").bitwiseAND(F.lit((1 << START_BITS) - 1))
     in_group = Window.partitionBy("h1", "h2").orderBy("id", "start")
-    ranked = (flagged.withColumn("h2", F.shiftright("rest", START_BITS + TEXT_BITS)).withColumn("start", start)
-              .withColumn("rank", F.rank().over(in_group)))
-    later = F.when(F.col("sure").isNull() & (F.col("rank") > 1), F.array(F.col("rest").bitwiseAND(place)))
-    # Narrow rows are sent to their id first and gathered there.
-    sent = ranked.select("id", F.explode(F.coalesce("sure", later)).alias("mark")).repartition("id")
-    return sent.groupBy("id").agg(F.collect_list("mark").alias("marks"))
+    mark = lambda key, start: F.struct(key.alias("text_key"), start.cast("int").alias("start"))
+    sure = F.transform("more", lambda s: mark(F.col("text_key"), s))
+    tied = F.transform(F.concat(F.array("text_key"), F.coalesce("more", F.array().cast("array<bigint>"))),
+                       lambda k: mark(k, F.col("start")))
+    ranked = flagged.withColumn("rank", F.rank().over(in_group))
+    later = F.when(F.col("h2") == SURE, sure).when(F.col("rank") > 1, tied)
+    # Narrow rows are sent to their document first and gathered there.
+    sent = (ranked.select("id", F.explode(later).alias("mark")).select("id", "mark.text_key", "mark.start")
+            .repartition("id", "text_key"))
+    return sent.groupBy("id", "text_key").agg(F.collect_list("start").alias("marks"))
 
 
 def deduplicated(docs: DataFrame, text: str = "text", id_col: str = "doc_id", window: int = WINDOW,
@@ -303,20 +341,19 @@ def deduplicated(docs: DataFrame, text: str = "text", id_col: str = "doc_id", wi
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
                        text_bits(text).alias("text_key"),
                        F.col(text).alias("text"))
-    joined = rows.join(repeats(rows, window), "id", "left").select("id", "text_key", "text", "marks")
+    joined = rows.join(repeats(rows, window), ["id", "text_key"], "left").select("id", "text", "marks")
     schema = ("doc_id long, n_words long, n_removed long, kept_sha256 string"
               + (", kept_text string" if with_text else ""))
 
     def run(batches):
         for batch in batches:
             out: list[tuple] = []
-            ids, keys = batch.column("id").to_pylist(), batch.column("text_key").to_pylist()
-            for i, key, t, s in zip(ids, keys, batch.column("text").cast(pa.binary()), batch.column("marks")):
+            ids = batch.column("id").to_pylist()
+            for i, t, s in zip(ids, batch.column("text").cast(pa.binary()), batch.column("marks")):
                 words = (t.as_py() or b"").split()
                 total = len(words)
                 if s.is_valid:
-                    marks = s.values.to_numpy()
-                    at = marks[marks >> START_BITS == key] & ((1 << START_BITS) - 1)
+                    at = s.values.to_numpy()
                     edge = np.zeros(total + window + 1, dtype=np.int64)
                     np.add.at(edge, at, 1)
                     np.add.at(edge, at + window, -1)

@@ -155,6 +155,23 @@ def test_substring_dedup_across_flushes_and_a_full_sketch(docs, doc_rows, monkey
     assert bag(map(tuple, substring_dedup.deduplicated(docs).collect())) == want
 
 
+@pytest.mark.parametrize("tasks", [1, 2, 5])
+def test_substring_dedup_of_texts_that_share_an_id(spark, tasks):
+    """Texts of one id (or of none) that tie for the earliest start go, or stay, together."""
+    passage = " ".join(f"p{i}" for i in range(25))
+    second = " ".join(f"q{i}" for i in range(30))
+    # The earliest start of a passage is in a task of its own, behind and before the tied texts.
+    rows = [(9, f"{second} tail{i}") for i in range(40)] + [(None, f"x {passage} end{i}") for i in range(40)]
+    rows += [(4, second), (None, passage), (None, f"x {passage} end3"), (9, f"{second} tail5")]
+    frame = spark.createDataFrame(spark.sparkContext.parallelize(rows, tasks), "doc_id long, text string")
+    got = substring_dedup.deduplicated(frame)
+    assert bag(map(tuple, got.collect())) == bag(brute.substrings(rows))
+    keyed = frame.select(F.coalesce("doc_id", F.lit(substring_dedup.NO_ID)).alias("id"),
+                         substring_dedup.text_bits("text").alias("text_key"), "text")
+    marks = substring_dedup.repeats(keyed, 20).collect()
+    assert len(marks) == 80 and max(len(r.marks) for r in marks) <= 11 * tasks  # a row a text
+
+
 def test_mixing_meets_entropy_limit_and_budget(docs, doc_rows):
     rows = mixing.measured(docs)
     sizes = Counter()
