@@ -100,9 +100,16 @@ def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
+def _unpacked(ids: bytes, length: int) -> np.ndarray:
+    return np.frombuffer(ids, dtype="<u2" if len(ids) == 2 * length else "<u4")
+
+
 def pieces(docs: DataFrame, files: tuple[str, str, str], text: str = "text", id_col: str = "doc_id",
-           capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """Stored pieces of at most ``capacity`` tokens: full ones, and the rest of each document with its ids."""
+           capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+    """Stored pieces of at most ``capacity`` tokens: full ones, and the rest of each document with its ids.
+
+    ``with_ids`` stores the ids of full pieces too.
+    """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
@@ -115,9 +122,10 @@ def pieces(docs: DataFrame, files: tuple[str, str, str], text: str = "text", id_
                 ids = np.append(enc.ids(t.as_py()), np.uint32(end_id))
                 for start in range(0, len(ids), capacity):
                     part = ids[start:start + capacity]
-                    rest = part.astype("<u2" if part.max() < 1 << 16 else "<u4").tobytes()
-                    out.append((at, start, len(part), crc(part), len(ids),
-                                None if len(part) == capacity else rest))
+                    kept = None
+                    if with_ids or len(part) < capacity:
+                        kept = part.astype("<u2" if part.max() < 1 << 16 else "<u4").tobytes()
+                    out.append((at, start, len(part), crc(part), len(ids), kept))
             at, start, length, crcs, tokens, rest = zip(*out) if out else ([],) * 6
             yield pa.RecordBatch.from_arrays(
                 [names.take(pa.array(at, pa.int64())), pa.array(start, pa.int64()),
@@ -154,9 +162,9 @@ def assign(lengths: np.ndarray, capacity: int) -> list[tuple[int, int, int, int,
 def pack(docs: DataFrame, files: tuple[str, str, str], text: str = "text", id_col: str = "doc_id",
          capacity: int = CAPACITY, end_id: int = END_ID, group: int = GROUP,
          with_ids: bool = False) -> DataFrame:
-    """One row per piece with its place; ``with_ids`` adds the token ids (array) of packed rests."""
-    cut = pieces(docs, files, text, id_col, capacity, end_id)
-    rests = cut.filter(F.col("ids").isNotNull())
+    """One row per piece with its place; ``with_ids`` adds the token ids (array) of every piece."""
+    cut = pieces(docs, files, text, id_col, capacity, end_id, with_ids)
+    rests = cut.filter(F.col("length") < capacity)
     groups = max(1, -(-rests.count() // group))
     kind = cut.schema["doc_id"].dataType.simpleString()
     schema = (f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -164,9 +172,7 @@ def pack(docs: DataFrame, files: tuple[str, str, str], text: str = "text", id_co
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
         lengths = g["length"].to_numpy()
-        sizes = [len(b) for b in g["ids"]]
-        ids = [np.frombuffer(b, dtype="<u2" if n == 2 * l else "<u4")
-               for b, n, l in zip(g["ids"], sizes, lengths)]
+        ids = [_unpacked(b, l) for b, l in zip(g["ids"], lengths)]
         placed = assign(lengths, capacity)
         which = [p[0] for p in placed]
         number = int(g["g"].iloc[0])
@@ -183,8 +189,15 @@ def pack(docs: DataFrame, files: tuple[str, str, str], text: str = "text", id_co
 
     numbered = rests.withColumn("g", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)))
     packed = numbered.groupBy("g").applyInPandas(run, schema)
-    full = cut.filter(F.col("ids").isNull()).select(
+    full = cut.filter(F.col("length") == capacity).select(
         "doc_id", "start", "length", F.col("crc").alias("ids_crc32"), F.col("tokens").alias("doc_tokens"),
         (F.lit(1 << 62) + F.col("piece")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
-        *([F.lit(None).cast("array<long>").alias("ids")] if with_ids else []))
-    return packed.unionByName(full)
+        *(["ids"] if with_ids else []))
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.names.index("ids")
+            ids = [_unpacked(b.as_py(), capacity).astype(np.int64) for b in batch.column(at)]
+            yield batch.set_column(at, "ids", pa.array(ids, pa.list_(pa.int64())))
+
+    return packed.unionByName(full.mapInArrow(listed, schema) if with_ids else full)

@@ -249,6 +249,25 @@ def test_packing_is_an_exact_partition_of_all_tokens(docs, doc_rows):
     assert len(sequences) * 2048 - sum(total.values()) < 2048 * (len(doc_rows) // 16 + 4)
 
 
+def test_packed_ids_hold_the_whole_documents(spark):
+    """Documents of several full pieces, and one without a rest."""
+    from tokenizers import Tokenizer
+    files = vocabulary_files()
+    tokenizer = Tokenizer.from_file(files[0])
+    texts = {1: " ".join(f"word{i}" for i in range(4000)), 2: "short one", 3: "a b c d " * 16 + "z " * 900, 4: None}
+    want = {k: tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for k, t in texts.items()}
+    capacity = len(want[3])  # exactly one full piece
+    assert len(want[1]) > 5 * capacity
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for size in (capacity, 2048):
+        parts = defaultdict(list)
+        for r in packing.pack(frame, files, capacity=size, with_ids=True).collect():
+            assert r.ids is not None and len(r.ids) == r.length and r.ids_crc32 == brute.crc(list(r.ids))
+            parts[r.doc_id].append((r.start, list(r.ids)))
+        assert {k: [x for _, p in sorted(v) for x in p] for k, v in parts.items()} == want
+    assert "ids" not in packing.pack(frame, files).columns
+
+
 def test_packing_assignment_is_balanced_and_full():
     lengths = np.random.default_rng(3).integers(1, 2048, 500)
     placed = packing.assign(lengths, 2048)
