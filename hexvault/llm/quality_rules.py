@@ -2,8 +2,8 @@
 
 Each document gets its word statistics (base rules). Its lines are normalised and
 hashed, and distinct documents are counted per host and line. Lines that stand in
-too large a share of a host's documents are boilerplate and are removed; a document
-of which too little is left is rejected.
+too many of a host's documents, or in too large a share of them, are boilerplate and
+are removed; a document of which too little is left is rejected.
 
 Defined cases: a null text has no words, so it fails the base rules; a null host is a
 host of its own; repeated rows count as one document (documents are told apart by
@@ -22,9 +22,14 @@ from hexvault.llm.common import (
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
-#: A line is boilerplate in a host when it stands in more distinct documents than both.
+#: A line is boilerplate in a host when it stands in more distinct documents than both,
 MIN_LINE_DOCUMENTS = 20
 MAX_LINE_SHARE = 0.1
+#: or in more than so many, however large the host,
+MANY_LINE_DOCUMENTS = 100
+#: or in more than both of these, however small the host.
+MIN_SMALL_DOCUMENTS = 5
+MAX_SMALL_SHARE = 0.5
 #: A document is depleted when less than this share of its line characters is left.
 MIN_LEFT_SHARE = 0.3
 
@@ -84,15 +89,18 @@ def profile(docs: DataFrame, text: str = "text", host: str = "source", id_col: s
 
 def boilerplate(profiled: DataFrame) -> DataFrame:
     """``host, h`` of the lines above the limits."""
+    n, of = F.col("documents"), F.col("host_documents")
     lines = profiled.select("host", "identity", F.explode(
         F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
     counted = (lines.groupBy("host", "h", "identity").agg(F.count("*").alias("_c"))
                .groupBy("host", "h").agg(F.count("*").alias("documents"))
-               .filter(F.col("documents") > MIN_LINE_DOCUMENTS))
+               .filter(n > min(MIN_LINE_DOCUMENTS, MIN_SMALL_DOCUMENTS, MANY_LINE_DOCUMENTS)))
     hosts = (profiled.groupBy("host", "identity").agg(F.count("*").alias("_c"))
              .groupBy("host").agg(F.count("*").alias("host_documents")))
     return (salted_lookup(counted, hosts, ["host"], "h")
-            .filter(F.col("documents") > F.col("host_documents") * F.lit(MAX_LINE_SHARE))
+            .filter((n > MANY_LINE_DOCUMENTS)
+                    | ((n > MIN_LINE_DOCUMENTS) & (n > of * F.lit(MAX_LINE_SHARE)))
+                    | ((n > MIN_SMALL_DOCUMENTS) & (n > of * F.lit(MAX_SMALL_SHARE))))
             .select("host", "h"))
 
 

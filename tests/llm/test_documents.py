@@ -78,6 +78,21 @@ def test_quality_cleaning_takes_out_boilerplate_lines(docs, doc_rows, monkeypatc
     assert 203 not in rows and 204 not in rows and 207 not in rows
 
 
+def test_quality_rules_remove_lines_of_large_and_small_hosts(spark):
+    """A line in 4 % of a hot host goes, one in 2 % of it stays; a footer of all eight documents goes."""
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(12))
+    often, seldom, footer = "Share   this PAGE with all your friends", "a line of sixty documents", "small footer"
+    rows = [(i, own(i) + (f"\n{often}" if i % 25 == 0 else "") + (f"\n{seldom}" if i % 50 == 1 else ""), "hot")
+            for i in range(3000)]
+    rows += [(4000 + i, f"{own(i)}\n{footer}", "small") for i in range(8)]
+    rows += [(5000 + i, f"{own(i)}\n{footer}", "tiny") for i in range(4)]
+    got = {r.doc_id: r for r in quality_rules.verdicts(
+        spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    removed = {i for i, r in got.items() if r.n_removed_lines}
+    assert removed == {*range(0, 3000, 25), *range(4000, 4008)}
+    assert all(r.kept for r in got.values())  # enough is left of each
+
+
 def test_simhash_matches_pairwise_components(docs, doc_rows):
     got = simhash.components(docs).collect()
     prints = [brute.fingerprint(r[1]) for r in doc_rows]
