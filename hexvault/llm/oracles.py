@@ -113,5 +113,53 @@ SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
 FROM d LEFT JOIN kept USING (r)
 """
 
+FILTERS = f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '{_WORD}') AS words FROM d),
+m AS (SELECT part, (len(words) < 100)::INT + 2 * (100 * len(list_distinct(words)) < 80 * len(words))::INT
+        + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t))::INT
+        + 8 * regexp_matches(t, '[#$%&*|]')::INT
+        + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS mask,
+        coalesce(doc_id IN (SELECT l.doc_id FROM labels l WHERE l.quality = 1 AND l.doc_id IS NOT NULL), false) AS good,
+        coalesce(doc_id IN (SELECT l.doc_id FROM labels l WHERE l.toxic = 1 AND l.doc_id IS NOT NULL), false) AS toxic
+      FROM w),
+cells AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS x
+          FROM m GROUP BY part, mask),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (SELECT '' AS o, 0 AS before, 0 AS bit, 0 AS done
+  UNION ALL SELECT o || f, before + orders.bit, letters.bit, done + 1 FROM orders, letters
+  WHERE NOT contains(o, f)),
+steps AS (SELECT a.o AS filter_order, b.done AS step, b.before, b.bit FROM orders a JOIN orders b
+          ON a.done = 5 AND b.done > 0 AND b.o = left(a.o, b.done)),
+counted AS (SELECT part, filter_order, step, bit,
+    sum(CASE WHEN mask & (before + bit) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN mask & before > 0 AND mask & bit > 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN g ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN x ELSE 0 END)::BIGINT AS toxic_lost
+  FROM cells, steps GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       sum(removed) OVER (PARTITION BY part, bit)::BIGINT AS shapley FROM counted
+"""
+
+FILL_MIDDLE = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+w AS (SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS k,
+             [('0x' || substr(h, 1, 8))::BIGINT, ('0x' || substr(h, 9, 8))::BIGINT,
+              ('0x' || substr(h, 17, 8))::BIGINT, ('0x' || substr(h, 25, 8))::BIGINT] AS h FROM d),
+c AS (SELECT doc_id, t, k, len(k) AS n, least(h[1] % (len(k) + 1), h[2] % (len(k) + 1)) AS a,
+             greatest(h[1] % (len(k) + 1), h[2] % (len(k) + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90
+                  THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM w),
+p AS (SELECT *, array_to_string(k[1:a], '') AS p, array_to_string(k[a + 1:b], '') AS m,
+             array_to_string(k[b + 1:], '') AS s FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m
+              ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
 ORACLES = {"op1_secret_scan": SECRETS, "op2_quality_rules": QUALITY, "op6_warc": ARCHIVES,
-           "op8_substring_dedup": SUBSTRINGS}
+           "op8_substring_dedup": SUBSTRINGS, "op11_filter_audit": FILTERS, "op12_fill_middle": FILL_MIDDLE}

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hexvault.llm import (
-    ann, mixing, packing, pii, quality_cnn, quality_rules, secret_scan, simhash, substring_dedup, warc)
+    ann, fill_middle, filter_audit, mixing, packing, pii, quality_cnn, quality_rules, secret_scan, simhash,
+    substring_dedup, warc)
 from hexvault.llm.common import table
 from hexvault.llm.oracles import ORACLES  # noqa: F401
 
@@ -72,6 +74,19 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Survivors, removals, redundancies and label losses of five filters in all 120 orders."""
+    return filter_audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its middle moved to the end, and the text restored from that."""
+    out = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_secret_scan, op2_quality_rules, op3_simhash, op4_nearest, op5_mixing, op6_warc, op7_quality_cnn,
-    op8_substring_dedup, op9_packing, op10_pii)}
+    op8_substring_dedup, op9_packing, op10_pii, op11_filter_audit, op12_fill_middle)}
