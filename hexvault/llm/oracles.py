@@ -161,5 +161,25 @@ SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) EN
 FROM p
 """
 
+#: Hexadecimal texts: a byte is two characters, so plain string functions see bytes.
+SUFFIXES = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+blocks AS (SELECT r, k, substr(x, 2000 * k + 1, 2398) AS y FROM d, unnest(range(0, length(x) // 2000 + 1)) u(k)),
+win AS (SELECT r, 1000 * k + j AS i, md5_number(substr(y, 2 * j + 1, 400)) AS g
+        FROM blocks, unnest(range(0, length(y) // 2 - 199)) u(j)),
+rep AS (SELECT r, i FROM win JOIN (SELECT g FROM win GROUP BY g HAVING count(*) > 1) USING (g)),
+marked AS (SELECT r, i, (i > coalesce(lag(i) OVER (PARTITION BY r ORDER BY i) + 200, -1))::INT AS fresh FROM rep),
+spans AS (SELECT r, min(i) AS a, max(i) + 200 AS b
+          FROM (SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS k FROM marked) GROUP BY r, k),
+pieces AS (SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS p, a AS q FROM spans
+  UNION ALL SELECT r, max(b), max(length(x)) // 2 FROM spans JOIN d USING (r) GROUP BY r),
+kept AS (SELECT r, string_agg(substr(x, 2 * p + 1, 2 * (q - p)), '' ORDER BY p) AS t, count(*) - 1 AS n
+         FROM pieces JOIN d USING (r) GROUP BY r)
+SELECT doc_id, length(x) // 2 AS n_bytes, (length(x) - coalesce(length(t), length(x))) // 2 AS n_removed,
+       coalesce(n, 0) AS n_spans, sha256(unhex(coalesce(t, x))) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
 ORACLES = {"op1_secret_scan": SECRETS, "op2_quality_rules": QUALITY, "op6_warc": ARCHIVES,
-           "op8_substring_dedup": SUBSTRINGS, "op11_filter_audit": FILTERS, "op12_fill_middle": FILL_MIDDLE}
+           "op8_substring_dedup": SUBSTRINGS, "op11_filter_audit": FILTERS, "op12_fill_middle": FILL_MIDDLE,
+           "op13_suffix_dedup": SUFFIXES}

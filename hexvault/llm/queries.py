@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hexvault.llm import (
     ann, fill_middle, filter_audit, mixing, packing, pii, quality_cnn, quality_rules, secret_scan, simhash,
-    substring_dedup, warc)
+    substring_dedup, suffix_dedup, warc)
 from hexvault.llm.common import table
 from hexvault.llm.oracles import ORACLES  # noqa: F401
 
@@ -87,6 +87,12 @@ def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document left after repeated 200-byte strings are removed."""
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_secret_scan, op2_quality_rules, op3_simhash, op4_nearest, op5_mixing, op6_warc, op7_quality_cnn,
-    op8_substring_dedup, op9_packing, op10_pii, op11_filter_audit, op12_fill_middle)}
+    op8_substring_dedup, op9_packing, op10_pii, op11_filter_audit, op12_fill_middle,
+    op13_suffix_dedup)}
