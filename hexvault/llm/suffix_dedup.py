@@ -40,8 +40,9 @@ from pyspark.sql import functions as F
 from hexvault.llm.common import salted_lookup, stored
 
 LENGTH, SPAN, GRAM = 200, 96, 8
-#: Occurrences of a hash beyond which its strings are grouped by hash instead of in one task.
-HOT = 2000
+#: Occurrences of a hash beyond which its strings are grouped by hash instead of in one task: a bound
+#: on the memory of a task, which then holds at most so many contexts of one hash (some 15 MB).
+HOT = 50_000
 #: Bytes parsed at once, triggers gathered before a flush, contexts of a resolving task.
 PIECE, FLUSH, TASK_CONTEXTS = 1 << 20, 1 << 18, 50_000
 #: Bases of the rolling hashes and a finisher (fixed values).
@@ -350,8 +351,12 @@ def resolved_by_hash(contexts: DataFrame, length: int) -> DataFrame:
     strings = stored(contexts.mapInArrow(run, "h1 long, h2 long, key long, context long, string int, hits long"),
                      "suffix-strings")
     twice = strings.groupBy("h1", "h2").agg(F.sum("hits").alias("n")).filter("n > 1").drop("n")
-    return (salted_lookup(strings, twice, ["h1", "h2"], "context").select("key", "context", "string").distinct()
-            .select("key", "context", F.col("string").alias("start"), F.lit(1).alias("strings")))
+    held = (salted_lookup(strings, twice, ["h1", "h2"], "context").groupBy("key", "context")
+            .agg(F.array_sort(F.collect_set("string")).alias("found")))  # at most ``span`` of them
+    edge = lambda step: F.filter("found", lambda x: ~F.array_contains("found", x + step))
+    runs = F.transform(F.arrays_zip(edge(-1).alias("first"), edge(1).alias("last")), lambda r: F.struct(
+        r["first"].alias("start"), (r["last"] - r["first"] + 1).alias("strings")))
+    return held.select("key", "context", F.explode(runs).alias("run")).select("key", "context", "run.*")
 
 
 # --- removal -----------------------------------------------------------------------------
