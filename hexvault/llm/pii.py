@@ -6,6 +6,10 @@ Every character of a rewritten text knows the source span it came from, so an
 identifier found there maps back to source offsets. Identifiers that hold something
 rewritten are added, unless a base span of the kind covers them already.
 
+Spelled digits and sign words are those of English, French, German and Spanish. An
+address has a local part of at most 64 and labels of at most 63 characters, as mail
+allows; runs of blanks and zeros have any length.
+
 Defined cases: a null or empty text has no spans; repeated rows give one output row
 each; a null id stays null; an empty table gives no rows; other columns are ignored.
 All detectors run in time linear in the text.
@@ -55,8 +59,11 @@ def emails(text: str) -> list[Span]:
 
 
 def ips(text: str) -> list[Span]:
-    small = lambda part: len(part.lstrip("0")) <= 3 and int(part) <= 255
-    return [m.span() for m in _IP.finditer(text) if all(small(p) for p in m.groups())]
+    def small(part: str) -> bool:
+        digits = part.lstrip("0")  # a part may hold any number of zeros
+        return len(digits) <= 3 and int(digits or "0") <= 255
+
+    return [m.span() for m in _IP.finditer(text) if all(map(small, m.groups()))]
 
 
 def _luhn(digits: str) -> bool:
@@ -154,15 +161,35 @@ def plain_letters(t: Mapped) -> Mapped:
     return t.rewritten([(m.start(), m.end(), new(m.group())) for m in _ODD.finditer(t.text)])
 
 
-DIGITS = dict(zip("zero one two three four five six seven eight nine".split(), "0123456789"))
-_NUMBER = "(?:" + "|".join(DIGITS) + ")"
-_SPELLED = re.compile(rf"(?<![A-Za-z])(?:(plus)[ -]?)?({_NUMBER}(?:[ -]{_NUMBER})*)(?![A-Za-z])"
-                      rf"|(?<![A-Za-z])(plus)[ -]?(?=[0-9])", re.I | re.A)
+#: Digits as words in English, French, German and Spanish (fixed values).
+DIGITS = {word: str(d) for d, words in enumerate((
+    "zero zéro null cero", "one un eins uno", "two deux zwei dos", "three trois drei tres",
+    "four quatre vier cuatro", "five cinq fünf fuenf cinco", "six sechs seis", "seven sept sieben siete",
+    "eight huit acht ocho", "nine neuf neun nueve")) for word in words.split()}
+#: Words for the dot and the at sign in the same languages (fixed values). "at" is also an English
+#: word, the others stand for the sign only.
+DOTS, ATS = "dot|point|punkt|punto", "at|arroba|arobase|klammeraffe"
+_LETTER = "A-Za-zéüÉÜ"
+_NUMBER = "(?:" + "|".join(sorted(DIGITS, key=len, reverse=True)).replace("é", "[éÉ]").replace("ü", "[üÜ]") + ")"
+_SPELLED = re.compile(rf"(?<![{_LETTER}])(?:(plus)[ -]?)?({_NUMBER}(?:[ -]{_NUMBER})*)(?![{_LETTER}])"
+                      rf"|(?<![{_LETTER}])(plus)[ -]?(?=[0-9])", re.I | re.A)
 #: Lower-case hints find all that their transducer can rewrite, and more.
-_SPELLED_HINT = re.compile(rf"{_NUMBER}(?:[ -]{_NUMBER}| {{1,3}}(?:dot|point) )|plus| (?:dot|point) {{1,3}}{_NUMBER}")
-_WORD = re.compile(r"[A-Za-z]+")
-_DOT_BEFORE = re.compile(r" (?:dot|point) {1,3}$", re.I)
-_DOT_AFTER = re.compile(r" {1,3}(?:dot|point) ", re.I)
+_SPELLED_HINT = re.compile(rf"{_NUMBER}(?:[ -]{_NUMBER}| +(?:{DOTS}) )|plus| (?:{DOTS}) +{_NUMBER}")
+_WORD = re.compile(f"[{_LETTER}]+")
+_DOT_BEFORE = re.compile(rf" (?:{DOTS}) +$", re.I)
+_DOT_AFTER = re.compile(rf" +(?:{DOTS}) ", re.I)
+#: A dot word and its blanks looked for before a digit word: so many characters, or all blanks before it.
+_NEAR = 12
+
+
+def _dot_before(text: str, at: int) -> bool:
+    """Whether a dot word and blanks stand right before ``at``."""
+    if at == 0 or text[at - 1] != " ":
+        return False
+    blanks = at
+    while blanks and text[blanks - 1] == " ":
+        blanks -= 1
+    return _DOT_BEFORE.search(text, max(0, blanks - _NEAR), at) is not None
 
 
 def plain_digits(t: Mapped) -> Mapped:
@@ -173,7 +200,7 @@ def plain_digits(t: Mapped) -> Mapped:
             edits.append((m.start(), m.end(), "+"))
             continue
         words = list(_WORD.finditer(t.text, m.start(2), m.end(2)))
-        dotted = _DOT_BEFORE.search(t.text, max(0, m.start() - 12), m.start()) or _DOT_AFTER.match(t.text, m.end())
+        dotted = _dot_before(t.text, m.start()) or _DOT_AFTER.match(t.text, m.end())
         if len(words) < 2 and not m.group(1) and not dotted:
             continue
         if m.group(1):
@@ -185,16 +212,19 @@ def plain_digits(t: Mapped) -> Mapped:
     return t.rewritten(edits)
 
 
-#: Last labels that make a bare "at ... dot ..." an address (fixed values).
-ENDINGS = set("com org net edu gov mil info biz io ai co uk de fr es eu ch nl pl pt ru jp cn br ca au "
-              "dev app xyz tech site online example".split())
-_BRACKETS = re.compile(r" {0,3}[\[({<] {0,3}(at|dot|@|\.) {0,3}[\])}>] {0,3}", re.I)
-_BARE = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}( {1,3}at {1,3}|[_-]at[_-])"
-                   r"[A-Za-z0-9-]{1,63}(?:(?: {1,3}dot {1,3}|[_-]dot[_-]|\.)[A-Za-z0-9-]{1,63})+", re.I)
-_AFTER_AT = re.compile(r"@[A-Za-z0-9-]{1,63}(?:(?: {1,3}dot {1,3}|\.)[A-Za-z0-9-]{1,63})+", re.I)
-_BARE_DOT = re.compile(r"(?: {1,3}dot {1,3}|[_-]dot[_-])", re.I)
-_DIGIT_DOT = re.compile(r"(?<=[0-9])(?: {1,3}(?:dot|point) {1,3})(?=[0-9])", re.I)
-_DOT_HINT = re.compile(r"dot|point|[\[({<] {0,3}(?:at|@|\.) {0,3}[\])}>]")
+#: Words before a dot that make no host name of a bare "at ... dot ...", as in "at the dot" (fixed values).
+NO_HOST = set("the a an this that its his her their my your le la un une der die das ein eine el los las una".split())
+# Runs of blanks are taken whole from where they begin, so their length costs no more than itself.
+# Labels and local parts are as long as an address allows them to be (63 and 64 characters).
+_BRACKETS = re.compile(rf"(?<! ) *+[\[({{<] *+({ATS}|{DOTS}|@|\.) *+[\])}}>] *+", re.I)
+_LABEL = "[A-Za-z0-9-]{1,63}"
+_DOTTED = rf"(?: ++(?:{DOTS}) ++|[_-](?:{DOTS})[_-]|\.)"
+_BARE = re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}( ++(?:{ATS}) ++|[_-](?:{ATS})[_-])"
+                   rf"{_LABEL}(?:{_DOTTED}{_LABEL})+", re.I)
+_AFTER_AT = re.compile(rf"@{_LABEL}(?:(?: ++(?:{DOTS}) ++|\.){_LABEL})+", re.I)
+_BARE_DOT = re.compile(rf"(?: ++(?:{DOTS}) ++|[_-](?:{DOTS})[_-])", re.I)
+_DIGIT_DOT = re.compile(rf"(?<=[0-9])(?: ++(?:{DOTS}) ++)(?=[0-9])", re.I)
+_DOT_HINT = re.compile(rf"{DOTS}|arroba|arobase|klammeraffe|[\[({{<] *+(?:at|@|\.) *+[\])}}>]")
 #: A bare "at" counts without a dot word if something was rewritten before.
 _AT_HINT = re.compile(r"[ _-]at[ _-]")
 
@@ -203,22 +233,24 @@ def plain_marks(t: Mapped) -> Mapped:
     """At and dot in brackets or as words to signs.
 
     A bare "at" counts only if the whole reads as an address: with a bare or rewritten
-    dot and a known last label.
+    dot, a host that is no article, and a last label of two letters or more. Words that
+    stand for the sign only need no other evidence.
     """
-    sign = lambda w: "@" if w.lower() in ("at", "@") else "."
+    sign = lambda w: "@" if w.lower() in ("@", *ATS.split("|")) else "."
     t = t.rewritten([(m.start(), m.end(), sign(m.group(1))) for m in _BRACKETS.finditer(t.text)])
     edits = []
     for m in _BARE.finditer(t.text):
         dots = list(_BARE_DOT.finditer(t.text, m.end(1), m.end()))
         seen = t.changed is not None and any(t.changed[m.end(1):m.end()])
-        last = re.split(r"\.|[ _-]+dot[ _-]+", m.group(), flags=re.I)[-1].lower()
-        if (dots or seen) and last in ENDINGS:
+        labels = re.split(_DOTTED, t.text[m.end(1):m.end()], flags=re.I)
+        sure = m.group(1).strip(" _-").lower() != "at"
+        if (dots or seen or sure) and labels[0].lower() not in NO_HOST and labels[-1].isalpha() and len(labels[-1]) > 1:
             edits.append((m.start(1), m.end(1), "@"))
             edits += [(d.start(), d.end(), ".") for d in dots]
     t = t.rewritten(edits)
     edits = []
     for m in _AFTER_AT.finditer(t.text):
-        last = re.split(r"\.| +dot +", m.group(), flags=re.I)[-1]
+        last = re.split(_DOTTED, m.group(), flags=re.I)[-1]
         if last.isalpha() and len(last) > 1:
             edits += [(d.start(), d.end(), ".") for d in _BARE_DOT.finditer(t.text, m.start(), m.end())
                       if d.group()[0] == " "]
