@@ -2,8 +2,10 @@
 
 Source token shares p are raised to an exponent a and normalised: w = p**a / Z. The
 exponent is found by bisection, towards a target entropy (the largest a whose
-weights have at least that entropy) or a repetition limit (the smallest a at which
-no source is read more often); if both are given, the limit wins. The weights are
+weights have at least that entropy: below 1 it flattens the shares, above 1 it sharpens
+them) or a repetition limit (the a next to it at which no source is read more often);
+if both are given, the limit wins. Entropy falls with a towards that of the sources that
+tie for the largest; a target that it never falls below keeps the natural shares. The weights are
 realised in whole: each source is cut into blocks of documents, every epoch is a new
 permutation of its blocks, and a source gives blocks until its share of the token
 budget is spent. The last block of a source is cut at a document.
@@ -25,6 +27,8 @@ from hexvault.llm.common import by_key, keyed, salted_lookup, stored, text_key,
 
 #: Bisection levels, and how many of them one job decides (it sees all their midpoints).
 LEVELS, LEVELS_PER_JOB = 24, 4
+#: Upper ends of the exponent, tried in turn until the entropy is below its target.
+UPPER = [float(1 << k) for k in range(1, 9)]
 #: Permuted blocks are summed in so many ranges first, so no window holds a whole source.
 RANGES = 1024
 
@@ -50,9 +54,8 @@ def _moments(sizes: DataFrame, total: float, exponents: list[float]) -> list[tup
     return [(row[2 * k], row[2 * k + 1]) for k in range(len(exponents))]
 
 
-def _bisect(sizes: DataFrame, total: float, low_side) -> tuple[float, float]:
-    """The interval of exponents at whose lower end ``low_side(a, Z, S)`` holds, of width 2**-LEVELS."""
-    lo, hi = 0.0, 1.0
+def _bisect(sizes: DataFrame, total: float, low_side, lo: float = 0.0, hi: float = 1.0) -> tuple[float, float]:
+    """The interval of exponents at whose lower end ``low_side(a, Z, S)`` holds, 2**-LEVELS of the whole."""
     for _ in range(LEVELS // LEVELS_PER_JOB):
         steps = 1 << LEVELS_PER_JOB
         grid = [lo + (hi - lo) * k / steps for k in range(1, steps)]
@@ -89,18 +92,26 @@ def solve(sizes: DataFrame, entropy_share: float | None = None, max_repeats: flo
         return math.log(z) - a * s / z
 
     def repeats(a, z):
-        return tokens(a, z) * p_min ** a / z / least
+        """Readings of the source read most often: the smallest if flattened, the largest if sharpened."""
+        return tokens(a, z) / z * max(p_min ** a / least, p_max ** a / most)
 
     exponent = 1.0
     if entropy_share is not None and n > 1:
         target = entropy_share * math.log(n)
-        if entropy(1.0, *natural) < target:
-            exponent = _bisect(sizes, total, lambda a, z, s: entropy(a, z, s) >= target)[0]
+        enough = lambda a, z, s: entropy(a, z, s) >= target
+        if not enough(1.0, *natural):
+            exponent = _bisect(sizes, total, enough)[0]
+        else:  # all upper ends in one job
+            above = [a for a, m in zip(UPPER, _moments(sizes, total, UPPER)) if not enough(a, *m)]
+            if above:
+                exponent = _bisect(sizes, total, enough, max(1.0, above[0] / 2), above[0])[0]
     elif max_repeats is not None:
         exponent = 0.0
     if max_repeats is not None:
         z = _moments(sizes, total, [exponent])[0][0]
-        if repeats(exponent, z) > max_repeats and repeats(1.0, natural[0]) <= max_repeats:
+        if exponent > 1 and repeats(exponent, z) > max_repeats and repeats(1.0, natural[0]) <= max_repeats:
+            exponent = _bisect(sizes, total, lambda a, z, s: repeats(a, z) <= max_repeats, 1.0, exponent)[0]
+        elif repeats(exponent, z) > max_repeats and repeats(1.0, natural[0]) <= max_repeats:
             exponent = max(exponent, _bisect(
                 sizes, total, lambda a, z, s: repeats(a, z) > max_repeats)[1])
         elif repeats(exponent, z) > max_repeats:

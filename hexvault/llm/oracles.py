@@ -67,7 +67,9 @@ lines AS (SELECT r, host, t, line, lower(array_to_string(regexp_extract_all(line
           WHERE regexp_matches(line, '{_WORD}')),
 hosts AS (SELECT host, count(DISTINCT t) AS n FROM d GROUP BY host),
 often AS (SELECT host, h FROM (SELECT host, h, count(DISTINCT t) AS c FROM lines GROUP BY host, h) JOIN hosts USING (host)
-          WHERE c > {Q.MIN_LINE_DOCUMENTS} AND c > n * {Q.MAX_LINE_SHARE}::DOUBLE),
+          WHERE c > {Q.MANY_LINE_DOCUMENTS}
+             OR (c > {Q.MIN_LINE_DOCUMENTS} AND c > n * {Q.MAX_LINE_SHARE}::DOUBLE)
+             OR (c > {Q.MIN_SMALL_DOCUMENTS} AND c > n * {Q.MAX_SMALL_SHARE}::DOUBLE)),
 per AS (SELECT r, count(*) AS n_lines, count(DISTINCT line) AS n_distinct, sum(length(l.h)) AS chars,
                sum(length(l.h)) FILTER (o.h IS NOT NULL) AS gone, count(*) FILTER (o.h IS NOT NULL) AS n_gone
         FROM lines l LEFT JOIN (SELECT host AS oh, h FROM often) o ON l.host = o.oh AND l.h = o.h

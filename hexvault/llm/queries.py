@@ -44,9 +44,9 @@ def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings of the documents at 97 % of the largest entropy, at most four readings a source."""
-    return mixing.mixture(table(spark, sf_dir, "documents"), entropy_share=0.97, max_repeats=4.0,
-                          budget="corpus")
+    """Readings of the documents at 95 % of the largest entropy, at most four readings a source."""
+    return mixing.mixture(table(spark, sf_dir, "documents"), entropy_share=0.95, max_repeats=4.0,
+                          budget="corpus", block_tokens=1 << 13)
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
