@@ -35,9 +35,10 @@ base AS ({_matches('assign', S.ASSIGN, 2, f'length(value) >= {S.MIN_ASSIGN_VALUE
   UNION ALL {_matches('access', S.ACCESS)} UNION ALL {_matches('hex', S.HEX)}),
 cand AS (SELECT DISTINCT r, e - length(value) AS s, e, value FROM (
   SELECT * FROM base UNION ALL {_matches('token', S.TOKEN)})),
-held AS (SELECT value, count(DISTINCT coalesce(source, chr(1))) AS owners FROM cand JOIN d USING (r) GROUP BY value),
-judged AS (SELECT r, s, e, CASE WHEN owners >= 3 THEN 'example'
-    WHEN owners <= 1 AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
+held AS (SELECT value, count(DISTINCT coalesce(source, chr(1))) AS owners,
+                count(DISTINCT coalesce(source, chr(1)) || chr(2) || repo) AS repos FROM cand JOIN d USING (r) GROUP BY value),
+judged AS (SELECT r, s, e, CASE WHEN owners >= {S.MIN_EXAMPLE_OWNERS} OR repos >= {S.MIN_EXAMPLE_REPOSITORIES} THEN 'example'
+    WHEN owners <= {S.MAX_LIVE_OWNERS} AND repos <= {S.MAX_LIVE_REPOSITORIES} AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
          AND NOT regexp_matches(value, {_text(S.PLACEHOLDER)})
          AND len(list_distinct(string_split(value, ''))) >= 8 THEN 'live' END AS kind
   FROM cand JOIN held USING (value)),
