@@ -10,15 +10,21 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import functions as F
+
+from hexvault import oracle as O
 from hexvault import schemas as S
+from hexvault.operators import vault as V
 from hexvault.operators.serving import ServingSource
 from hexvault.plans.context import Context
+from hexvault.plans import designed_queries  # noqa: F401  (registers the batch twins first)
 from hexvault.plans.registry import ORACLES, register
 from hexvault.session import checkpoint_path
 from hexvault.sources import contracts as C
 from hexvault.sources import files
 from hexvault.streaming import ingest as I
-from hexvault.streaming import sinks
+from hexvault.streaming import sinks, state
+from hexvault.streaming.features import BucketedFeatureSink
 
 #: Micro-batches at most; each takes its share of the files that Spark wrote.
 TRIGGERS = 4
@@ -54,10 +60,118 @@ def _q(c: Context):
 
 @register("vault_pinned_read", ORACLES["table_stats"])
 def _q(c: Context):
-    """Row counts of a vault read at its committed batches, with a later uncommitted batch beside them."""
+    """Row counts of a vault read at pinned batches, after a later batch was written and committed."""
     root = _run_stream(c, I.CLICKS)
     _run_stream(c, I.PINGS, root)
     pinned = I.snapshot(c.spark, root)
     hub = I.read_vault(c.spark, root, pinned=pinned)["hub_user"]
-    sinks.append_batch(hub, root, "hub_user", 10 ** 6)  # written, never committed
-    return ServingSource(I.read_vault(c.spark, root), c.models, "raw").stats()
+    before = I.read_vault(c.spark, root, pinned=pinned)
+    for name in [n for n in V.CLICK_SINKS if n in V.Vault.NAMES]:
+        sinks.append_batch(hub if name == "hub_user" else before[name].limit(0), root, name, 10 ** 6)
+    sinks.commit_batch(c.spark, root, I.CLICKS, 10 ** 6)  # readers without the pin now see it
+    return ServingSource(I.read_vault(c.spark, root, pinned=pinned), c.models, "raw").stats()
+
+
+def _in_order(c: Context, slices: list) -> tuple[str, object]:
+    """(work folder, stream) of frames that arrive one after the other, a micro-batch each."""
+    work = checkpoint_path(c.spark, "stream-queries", uuid.uuid4().hex)
+    for rows in slices:  # files are taken in the order in which they were written
+        rows.coalesce(1).write.mode("append").parquet(f"{work}/events")
+    source = c.spark.readStream.schema(slices[0].schema).option("maxFilesPerTrigger", "1").parquet(f"{work}/events")
+    return work, source
+
+
+def _finished(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
+#: Key of a row that only moves the watermark.
+CLOCK = "~"
+
+
+@register("stream_sat_history", ORACLES["d_sat_history"])
+def _q(c: Context):
+    """Historised courier status by a stateful stream, with replays and rows out of order by up to 30 days."""
+    rows = c.models["stg_courier_telemetry"].select("hk_courier_id", "load_date", *sinks.LIVE_TIE_BREAK)
+    first, last = rows.agg(F.min("load_date"), F.max("load_date")).first()
+    width = (last - first).days / TRIGGERS + 1
+    jitter = F.pmod(F.xxhash64("load_date", "latitude", "longitude"), F.lit(30))
+    part = F.floor((F.datediff("load_date", F.lit(first)) + jitter) / F.lit(width))
+    replayed = F.pmod(F.xxhash64("load_date", "longitude"), F.lit(10)) == 0
+    slices = [rows.filter((part == k) | (replayed & (part == k - 1))) for k in range(TRIGGERS)]
+    slices.append(rows.filter(part >= TRIGGERS))
+    slices.append(c.spark.range(1).select(
+        F.lit(CLOCK).alias("hk_courier_id"), (F.lit(last) + F.expr("INTERVAL 400 DAYS")).alias("load_date"),
+        *[F.lit(None).cast(rows.schema[t].dataType).alias(t) for t in sinks.LIVE_TIE_BREAK]))
+    work, source = _in_order(c, slices)
+    out = state.history_stream(source, "hk_courier_id", "load_date", ["status"], sinks.LIVE_TIE_BREAK, "60 days")
+    with state.OnState(c.spark):
+        query = (out.writeStream.foreachBatch(lambda b, i: sinks.append_batch(b, work, "history", i) and None)
+                 .option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start())
+    _finished(query)
+    return sinks.read_appended(c.spark, work, "history", out.schema).select(
+        "hk_courier_id", "load_date", "status", "hash_diff")
+
+
+@register("stream_last5", ORACLES["d_last5"])
+def _q(c: Context):
+    """Last five clicked categories per user by a stateful stream over shuffled, replayed micro-batches."""
+    clicks = c.clicks_with_category.select("user_id", "event_type", "event_ts_ms", "event_id", "category")
+    part = F.pmod(F.xxhash64("event_id"), F.lit(TRIGGERS))
+    slices = [clicks.filter((part == k) | ((part == k - 1) & (F.col("event_ts_ms") % 7 == 0))) for k in range(TRIGGERS)]
+    work, source = _in_order(c, slices)
+    sink = BucketedFeatureSink(f"{work}/last5", "user_id", "version", ["last_categories"], buckets=16)
+
+    def upsert(batch, batch_id: int) -> None:
+        held = batch.persist()  # the sink reads its batch twice, the state may be stepped once only
+        try:
+            sink(held.withColumn("version", F.lit(batch_id + 1)), batch_id)
+        finally:
+            held.unpersist()
+
+    with state.OnState(c.spark):
+        query = (state.last_categories_stream(source).writeStream.outputMode("update")
+                 .foreachBatch(upsert)
+                 .option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start())
+    _finished(query)
+    return sink.read(c.spark).select("user_id", "last_categories")
+
+
+_LATE_MS = 86_400_000
+
+
+@register("stream_late_rows", O.with_chain(f"""
+    SELECT 'window' AS kind, user_id, make_timestamp((event_ts_ms // 3600000) * 3600000000) AS window_start,
+           count(*) AS n FROM click_once GROUP BY 2, 3
+    UNION ALL
+    SELECT 'late', NULL, NULL, count(*) FROM click_once
+    WHERE event_ts_ms < (SELECT max(event_ts_ms) FROM click_once) - {_LATE_MS}"""))
+def _q(c: Context):
+    """Hourly counts per user, and the rows a listener saw dropped: old clicks sent again under new ids, late by a day."""
+    clicks = c.clicks_once.select("event_id", "user_id", "event_ts_ms")
+    last = clicks.agg(F.max("event_ts_ms")).first()[0]
+    clock = lambda k, ms: c.spark.range(1).select(
+        F.lit(f"{CLOCK}{k}").alias("event_id"), F.lit(CLOCK).alias("user_id"),
+        F.lit(ms).cast(clicks.schema["event_ts_ms"].dataType).alias("event_ts_ms"))
+    late = clicks.filter(F.col("event_ts_ms") < last - _LATE_MS).withColumn(
+        "event_id", F.concat(F.lit("late-"), "event_id"))
+    replays = clicks.filter(F.col("event_ts_ms") >= last - 60_000)  # in time, but known
+    work, source = _in_order(c, [clicks, clock(1, last + 1), late.unionByName(replays), clock(2, last + 2 * _LATE_MS)])
+    windows = state.counted_windows(source, "user_id", "1 hour", "15 seconds", "5 minutes")
+    listener = state.LateRows(c.spark, f"{work}/progress")
+    c.spark.streams.addListener(listener)
+    try:
+        query = (windows.writeStream.foreachBatch(lambda b, i: sinks.append_batch(b, work, "windows", i) and None)
+                 .option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start())
+        _finished(query)
+        listener.wait_for(query)
+    finally:
+        c.spark.streams.removeListener(listener)
+    counts = sinks.read_appended(c.spark, work, "windows", windows.schema).filter(F.col("user_id") != CLOCK)
+    dropped = listener.read().agg(F.sum("late_rows").alias("n"))
+    return counts.select(F.lit("window").alias("kind"), "user_id", F.col("window_start").cast("timestamp_ntz"),
+                         F.col("events").alias("n")).unionByName(
+        dropped.select(F.lit("late").alias("kind"), F.lit(None).cast("string").alias("user_id"),
+                       F.lit(None).cast("timestamp_ntz").alias("window_start"), "n"))
