@@ -70,13 +70,15 @@ def historize(sat: DataFrame, key: str, ts: str, attributes: list[str], tie_brea
 
 # --- D05, D06: order hub and point-in-time table -------------------------------------------
 
-def order_pit(orders: DataFrame, pings: DataFrame) -> DataFrame:
+def order_pit(orders: DataFrame, pings: DataFrame, seed: DataFrame | None = None) -> DataFrame:
     """Point-in-time rows for the order hub, one per (order, day with a delivery ping).
 
     Columns: ``header_load_date`` – as-of load date of the order header satellite
     (order date, if on or before the snapshot day end), ``delivery_load_date`` –
     latest ping of that order up to the snapshot, ``pings_to_date`` – pings so far.
-    Built with one ordered pass per order (header row + ping-days), skew-safe.
+    Built with one ordered pass per order (header row + ping-days), skew-safe. ``seed``
+    (``order_key, ts, ping_ts, n``) is what earlier days left of each order, when
+    ``pings`` hold later days only.
     """
     o = orders.select(F.col("o_orderkey").alias("order_key"),
                       F.col("o_orderdate").cast("timestamp_ntz").alias("ts"),
@@ -89,9 +91,13 @@ def order_pit(orders: DataFrame, pings: DataFrame) -> DataFrame:
     snap_end = F.date_add("day", 1).cast("timestamp_ntz")
     d = days.select("order_key", (snap_end - F.expr("INTERVAL 1 MICROSECOND")).alias("ts"), F.lit(1).alias("kind"),
                     F.lit(None).cast("timestamp_ntz").alias("header_ts"), F.col("last_ping").alias("ping_ts"), "n")
-    seq = sequence_features(o.unionByName(d), "order_key", ["ts", "kind"], ffill=["header_ts", "ping_ts"],
-                            cumsum=["n"])
+    rows = o.unionByName(d)
+    if seed is not None:
+        rows = rows.unionByName(seed.select("order_key", "ts", F.lit(0).alias("kind"),
+                                            F.lit(None).cast("timestamp_ntz").alias("header_ts"), "ping_ts", "n"))
+    seq = sequence_features(rows, "order_key", ["ts", "kind"], ffill=["header_ts", "ping_ts"], cumsum=["n"])
     return seq.filter(F.col("kind") == 1).select(
+        *(["order_key"] if seed is not None else []),
         F.upper(F.md5(F.col("order_key").cast("string"))).alias("hk_order_id"),
         F.to_date("ts").alias("snapshot_date"), F.col("ffill_header_ts").alias("header_load_date"),
         F.col("ffill_ping_ts").alias("delivery_load_date"), F.col("cum_n").alias("pings_to_date"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hexvault.operators import quality as Q
@@ -29,9 +29,56 @@ def compact(spark: SparkSession, src: str, dst: str, sort_col: str = "h3_res9",
     return dst
 
 
-def write_day_partitioned(df: DataFrame, path: str, ts_col: str = "load_date") -> str:
-    """Write a vault table partitioned by the UTC day of ``ts_col`` (``load_day=…`` folders)."""
-    df.withColumn("load_day", F.to_date(ts_col)).write.mode("append").partitionBy("load_day").parquet(path)
+#: Bits of each column in a space-filling key.
+Z_BITS = 10
+
+
+def z_order(df: DataFrame, columns: list[str], bits: int = Z_BITS) -> Column:
+    """Position of a row on a Z-order curve over ``columns`` (numbers, dates or timestamps).
+
+    Every column is cut into ``2 ** bits`` equal steps between its smallest and largest
+    value, taken from one aggregate, and the bits of the steps are interleaved. Nulls
+    stand in the first step.
+    """
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    number = {c: (F.unix_micros(F.col(c).cast("timestamp")) if kinds[c] in ("timestamp", "timestamp_ntz", "date")
+                  else F.col(c)).cast("double") for c in columns}
+    ends = df.agg(*[f(number[c]).alias(f"{n}{i}") for i, c in enumerate(columns)
+                    for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    out = F.lit(0).cast("long")
+    for i, c in enumerate(columns):
+        lo, hi = ends[f"lo{i}"], ends[f"hi{i}"]
+        if lo is None or hi == lo:
+            continue
+        top = (1 << bits) - 1
+        step = F.least(F.floor((number[c] - lo) / (hi - lo) * (top + 1)), F.lit(top))
+        step = F.coalesce(step, F.lit(0)).cast("long")
+        for b in range(bits):
+            bit = F.shiftright(step, b).bitwiseAND(1)
+            out = out.bitwiseOR(F.shiftleft(bit, b * len(columns) + i))
+    return out
+
+
+def cluster(df: DataFrame, columns: list[str], files: int) -> DataFrame:
+    """Rows in ``files`` ranges of the curve, so that each file covers a small box of all columns."""
+    key = df.withColumn("_z", z_order(df, columns))
+    # Equal keys may be cut between files: a hot cell and hour is spread.
+    return key.repartitionByRange(files, "_z", F.rand(7)).sortWithinPartitions("_z").drop("_z")
+
+
+def write_day_partitioned(df: DataFrame, path: str, batch_id: int = 0, ts_col: str = "load_date",
+                          clustered_by: list[str] | None = None, files_per_batch: int = 1) -> str:
+    """Write a batch of a vault table under ``load_day=…/batch=…`` (UTC day of ``ts_col``).
+
+    Only the folders of this batch are overwritten, so a replay of a batch id doubles
+    nothing. ``clustered_by`` orders the rows on a space-filling curve, so that the file
+    statistics of all its columns are narrow.
+    """
+    if clustered_by:
+        df = cluster(df, clustered_by, files_per_batch)
+    (df.withColumn("load_day", F.to_date(ts_col)).withColumn("batch", F.lit(int(batch_id)))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("load_day", "batch").parquet(path))
     return path
 
 
