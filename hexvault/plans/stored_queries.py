@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from hexvault import oracle as O
+from hexvault.functions import hexgrid as HG
 from hexvault.operators import vault_ext as VX
 from hexvault.plans import maintenance as MT
 from hexvault.plans import snapshots as SN
@@ -73,3 +74,27 @@ def _q(c: Context):
         MT.write_day_partitioned(rows, path, batch, clustered_by=["h3_res7", "load_date"], files_per_batch=4)
     stored = c.spark.read.parquet(path)
     return stored.groupBy("load_day", "h3_res7").agg(F.count("*").alias("events"))
+
+
+@register("d_nested_cells", O.with_chain(f"""
+    SELECT resolution, cell, parent, count(*) AS events,
+           CAST(sum((event_type = 'view_item')::INT) AS BIGINT) AS impressions,
+           CAST(sum((event_type = 'click')::INT) AS BIGINT) AS clicks
+    FROM (SELECT 8 AS resolution, c8 AS cell, c7 AS parent, event_type FROM cells
+          UNION ALL SELECT 7, c7, {HG.sql_parent('c7')}, event_type FROM cells)
+    GROUP BY ALL""", [("p8", f"SELECT event_type, {HG.sql_parent(O.hexcell('latitude', 'longitude', 9))} AS c8 "
+                             "FROM stg_interactions"),
+                      ("cells", f"SELECT event_type, c8, {HG.sql_parent('c8')} AS c7 FROM p8")]))
+def _q(c: Context):
+    """Density and clicks of nested cells: res 8 from the points, res 7 by adding up the children of each parent."""
+    sat = c.models["stg_interactions"]
+    fine = (HG.with_nested(sat.select("latitude", "longitude", "event_type"), "latitude", "longitude", {8: "cell"})
+            .groupBy("cell").agg(F.count("*").alias("events"),
+                                 F.sum((F.col("event_type") == "view_item").cast("long")).alias("impressions"),
+                                 F.sum((F.col("event_type") == "click").cast("long")).alias("clicks"))
+            .withColumn("parent", HG.cell_parent("cell")))
+    sums = [F.sum(x).alias(x) for x in ("events", "impressions", "clicks")]
+    coarse = fine.groupBy(F.col("parent").alias("cell")).agg(*sums).withColumn("parent", HG.cell_parent("cell"))
+    columns = ["cell", "parent", "events", "impressions", "clicks"]
+    return (fine.select(F.lit(8).alias("resolution"), *columns)
+            .unionByName(coarse.select(F.lit(7).alias("resolution"), *columns)))
