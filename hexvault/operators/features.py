@@ -513,13 +513,24 @@ def boost_and_filter(scored: DataFrame, items_first_seen: DataFrame, in_stock: D
 
 
 def subject_keys(subjects: DataFrame, key: str, path: str) -> DataFrame:
-    """Per-subject 256-bit random data keys, written to ``path`` (which must be new) and read back.
+    """Per-subject 256-bit data keys, written to ``path`` (which must be new) and read back.
 
-    Only stored keys are returned: drawn again, they would differ, and what was
-    encrypted under the first ones could not be read.
+    Keys are bytes of the operating system's generator, drawn in the tasks. Only stored
+    keys are returned: drawn again, they would differ, and what was encrypted under the
+    first ones could not be read.
     """
-    keys = subjects.select(key).distinct().withColumn("data_key", F.unhex(F.sha2(F.uuid(), 256)))
-    keys.write.parquet(path)
+    names = subjects.select(key).distinct()
+
+    def draw(batches):
+        import secrets
+
+        import pyarrow as pa
+        for batch in batches:
+            keys = pa.array([secrets.token_bytes(32) for _ in range(batch.num_rows)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), keys], [key, "data_key"])
+
+    kind = names.schema[key].dataType.simpleString()
+    names.mapInArrow(draw, f"`{key}` {kind}, data_key binary").write.parquet(path)
     return subjects.sparkSession.read.parquet(path)
 
 

@@ -167,3 +167,11 @@ def test_last_categories_ignore_arrival_order_and_clear_when_idle(spark, workdir
     lists = [r[2] for r in got if r[1] == "u"]
     assert lists == ["c|a", "c|b", "d"]
     assert [r[2] for r in got if r[1] == "w"] == ["x", "y|x"]
+
+
+def test_subject_keys_come_from_the_system_and_never_repeat(spark, workdir):
+    subjects = spark.range(200).select(F.concat(F.lit("u"), "id").alias("user_id"))
+    drawn = [D.subject_keys(subjects, "user_id", os.path.join(workdir, n)).collect() for n in ("a", "b")]
+    keys = [bytes(r.data_key) for rows in drawn for r in rows]
+    assert len(set(keys)) == 400 and {len(k) for k in keys} == {32}
+    assert len({r.user_id for r in drawn[0]}) == 200
