@@ -355,3 +355,4 @@ from hexvault.plans import contract_queries  # noqa: E402,F401
 from hexvault.plans import streaming_queries  # noqa: E402,F401
 from hexvault.plans import designed_queries  # noqa: E402,F401
 from hexvault.plans import stored_queries  # noqa: E402,F401
+from hexvault.plans import model_queries  # noqa: E402,F401
