@@ -146,40 +146,18 @@ class ServingSource:
     def recommend_near_with_fallback(self, lat: float, lon: float, limit: int = 10) -> DataFrame:
         """Neighbour-restricted ranking (user cell + 6 neighbours); global ranking only if empty.
 
-        One scan and one aggregation: per merchant, the statistics over all
-        interactions and over those in the seven cells are computed together with
-        conditional aggregates; a scalar "any near merchant" flag picks the branch.
-        Both branches are top-k results, so the final ``rank`` runs on ≤ 2·limit rows.
+        A first small job asks whether any row lies in the seven cells; the cell filter
+        reaches the scan, and the job stops at the first row. Only the branch that is
+        needed is planned, so a near answer costs what ``recommendations`` costs.
         """
         check_point(lat, lon)
         check_limit("recommendations", limit)
         cells = [int(c) for c in neighbour_cells_py(float(lat), float(lon), 7)]
-        df = self.interactions().filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-        near = F.col("h3_res7").isin(cells)
-        agg = df.groupBy("merchant_id").agg(
-            F.count(F.lit(1)).alias("n_all"), exact_mean("latitude").alias("lat_all"),
-            exact_mean("longitude").alias("lon_all"), F.max("h3_res7").alias("cell_all"),
-            F.count(F.when(near, 1)).alias("n_near"), exact_mean(F.when(near, F.col("latitude"))).alias("lat_near"),
-            exact_mean(F.when(near, F.col("longitude"))).alias("lon_near"),
-            F.max(F.when(near, F.col("h3_res7"))).alias("cell_near"))
-        any_near = agg.agg(F.max(F.col("n_near") > 0)).scalar()
-
-        def ranked(suffix: str, keep) -> DataFrame:
-            dist = round_half_up(haversine_m(F.col(f"lat_{suffix}"), F.col(f"lon_{suffix}"),
-                                             F.lit(float(lat)), F.lit(float(lon))), 1)
-            rows = agg.filter(keep).select(
-                "merchant_id", F.col(f"n_{suffix}").alias("interaction_count"),
-                round_half_up(f"lat_{suffix}", 6).alias("avg_lat"), round_half_up(f"lon_{suffix}", 6).alias("avg_lon"),
-                hex_lower(f"cell_{suffix}").alias("sample_h3_res7"), dist.alias("dist_meters"))
-            score = round_half_up(F.col("interaction_count") / (F.lit(1.0) + F.coalesce(
-                F.col("dist_meters"), F.lit(DEFAULT_DISTANCE_M)) / F.lit(SCORE_DISTANCE_SCALE_M)), 2)
-            return rows.withColumn("score", score).orderBy(
-                F.col("score").desc(), F.col("interaction_count").desc(), F.col("merchant_id").asc()).limit(limit)
-
-        chosen = ranked("near", (F.col("n_near") > 0) & F.coalesce(any_near, F.lit(False))) \
-            .unionByName(ranked("all", ~F.coalesce(any_near, F.lit(False))))
+        near = self.interactions().filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+                                          & F.col("h3_res7").isin(cells))
+        chosen = self.recommendations(lat, lon, limit, () if near.isEmpty() else cells)
         order = Window.partitionBy().orderBy(F.col("score").desc(), F.col("interaction_count").desc(),
-                                             F.col("merchant_id").asc())
+                                             F.col("merchant_id").asc())  # at most `limit` rows
         return (chosen.withColumn("rank", F.row_number().over(order))
                       .withColumn("dist_meters", F.coalesce("dist_meters", F.lit(DEFAULT_DISTANCE_M))))
 

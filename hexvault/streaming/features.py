@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from hexvault.operators.features import CLICK_ATTRIBUTION_S, CTR_SLIDE, CTR_WINDOW, SESSION_GAP_S
 from hexvault.sources import files
+from hexvault.streaming import sinks
 
 DEDUP_STATE = "24 hours"
 FEATURE_WATERMARK = "15 seconds"
@@ -155,13 +156,6 @@ class FeatureSink:
             files.delete(spark, self._path(v))
 
 
-class EmbeddingSink(FeatureSink):
-    """Streaming item-embedding upsert keyed by ``vec_id`` (``updated_at`` orders versions)."""
-
-    def __init__(self, root: str):
-        super().__init__(root, "vec_id", "updated_at", ["embedding", "label"])
-
-
 class BucketedFeatureSink(FeatureSink):
     """``FeatureSink`` whose table is split into ``buckets`` by key hash; a micro-batch
     rewrites only the buckets it touches (``v=<batch>/_b=<bucket>``), so the cost of
@@ -174,40 +168,25 @@ class BucketedFeatureSink(FeatureSink):
         super().__init__(root, key, version_col, value_cols)
         self.buckets = buckets
 
-    def _bucket(self):
-        return F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.buckets))
-
-    def _held(self, spark, before: int | None = None) -> dict[int, list[str]]:
-        """Folders of each bucket, oldest first, in finished versions (before a batch)."""
-        held: dict[int, list[str]] = {}
-        for v in self._versions(spark):
-            if before is None or v < before:
-                for d in files.children(spark, self._path(v)):
-                    if d.startswith("_b="):
-                        held.setdefault(int(d.split("=")[1]), []).append(f"{self._path(v)}/{d}")
-        return held
-
     def read(self, spark, schema: str | None = None) -> DataFrame:
         """Every bucket at its newest finished version; raises if there is none."""
-        paths = [p[-1] for _, p in sorted(self._held(spark).items())]
-        if not paths:
-            raise FileNotFoundError(f"no finished version under {self.root}")
-        reader = spark.read.schema(schema) if schema else spark.read
-        return reader.parquet(*paths)
+        return sinks.read_buckets(spark, self.root, schema)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         from hexvault.operators.marts import latest_by
-        spark = batch.sparkSession
         cols = [self.key, self.version_col, *self.value_cols]
-        rows = batch.select(*cols).withColumn("_b", self._bucket())
-        touched = {r[0] for r in rows.select("_b").distinct().collect()}  # at most `buckets` ints
-        held = self._held(spark, batch_id)
-        prior = [held[b][-1] for b in sorted(touched) if b in held]
-        if prior:
-            rows = spark.read.parquet(*prior).select(*cols).withColumn("_b", self._bucket()).unionByName(rows)
-        rows = rows.withColumn("_t", F.timestamp_micros(F.col(self.version_col).cast("long")))
-        latest = latest_by(rows, self.key, "_t", [], [*cols, "_b"])
-        latest.write.mode("overwrite").partitionBy("_b").parquet(self._path(batch_id))
-        for b in touched:
-            for old in held.get(b, [])[:-(self.KEPT - 1)]:
-                files.delete(spark, old)
+
+        def latest(rows: DataFrame) -> DataFrame:
+            stamped = rows.withColumn("_t", F.timestamp_micros(F.col(self.version_col).cast("long")))
+            return latest_by(stamped, self.key, "_t", [], [*cols, "_b"])
+
+        sinks.upsert_buckets(batch.sparkSession, self.root, batch.select(*cols), batch_id, self.key, self.buckets,
+                             latest, self.KEPT)
+
+
+class EmbeddingSink(BucketedFeatureSink):
+    """Streaming item-embedding upsert keyed by ``vec_id`` (``updated_at`` orders versions); a
+    batch rewrites the buckets of its items only."""
+
+    def __init__(self, root: str, buckets: int = 64):
+        super().__init__(root, "vec_id", "updated_at", ["embedding", "label"], buckets)

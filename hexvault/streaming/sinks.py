@@ -20,8 +20,8 @@ LIVE_TIE_BREAK = ["status", "latitude", "longitude", "speed_kmh", "bearing_deg",
 LIVE_COLUMNS = ["hk_courier_id", "courier_id", "latitude", "longitude", "speed_kmh", "bearing_deg",
                 "status", "h3_res7", "h3_res9", "event_ts_ms"]
 LIVE_TABLE, COMMITS = "courier_telemetry_live", "commits"
-#: Committed versions of the live table that stay for readers.
-KEPT_VERSIONS = 3
+#: Finished versions of a bucket that stay for readers, and buckets of the live table.
+KEPT_VERSIONS, LIVE_BUCKETS = 3, 32
 
 
 def latest_live_rows(rows: DataFrame) -> DataFrame:
@@ -71,32 +71,78 @@ def read_appended(spark, root: str, table: str, schema) -> DataFrame:
     return read_batches(spark, root, table, schema, names)
 
 
-def upsert_live(spark, root: str, batch: DataFrame, batch_id: int, schema) -> str:
-    """Keyed upsert: union the last finished version with the batch, keep the latest per key.
+def bucket_of(key: str, buckets: int):
+    """Bucket of a key: its hash."""
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
-    Writes the version folder ``v=<batch_id>``; readers take the newest finished one, so
-    an interrupted write leaves the old version visible. Re-running a batch id starts
-    from the versions before it. Versions beyond the last ``KEPT_VERSIONS`` go.
+
+def held_buckets(spark, base: str, before: int | None = None) -> dict[int, list[str]]:
+    """Folders ``v=<version>/_b=<bucket>`` of each bucket, oldest first, in finished versions (before one)."""
+    held: dict[int, list[str]] = {}
+    for v in files.committed_children(spark, base, "v="):
+        if before is None or int(v.split("=")[1]) < before:
+            for d in files.children(spark, f"{base}/{v}"):
+                if d.startswith("_b="):
+                    held.setdefault(int(d.split("=")[1]), []).append(f"{base}/{v}/{d}")
+    return held
+
+
+def upsert_buckets(spark, base: str, batch: DataFrame, version: int, key: str, buckets: int, latest,
+                   kept: int = KEPT_VERSIONS, schema=None) -> str:
+    """Keyed upsert that rewrites the buckets of the batch's keys only.
+
+    ``latest`` reduces rows (with their bucket ``_b``) to one per key. A bucket is written
+    anew from its newest finished version before ``version`` and the batch, so running a
+    version again gives the same table. A bucket keeps ``kept`` versions; folders of versions
+    that hold no bucket any more go, so there are at most ``kept`` folders a bucket.
     """
-    base = f"{root}/{LIVE_TABLE}"
-    done = files.committed_children(spark, base, "v=")
-    older = [v for v in done if int(v.split("=")[1]) < batch_id]
-    merged = batch.select(*LIVE_COLUMNS)
-    if older:
-        merged = spark.read.schema(schema).parquet(f"{base}/{older[-1]}").select(*LIVE_COLUMNS).unionByName(merged)
-    path = f"{base}/v={int(batch_id):012d}"
-    latest_live_rows(merged).write.mode("overwrite").parquet(path)
-    for v in older[:-(KEPT_VERSIONS - 1)]:
-        files.delete(spark, f"{base}/{v}")
+    rows = batch.withColumn("_b", bucket_of(key, buckets))
+    touched = sorted(r[0] for r in rows.select("_b").distinct().collect())  # at most `buckets` ints
+    held = held_buckets(spark, base, version)
+    prior = [held[b][-1] for b in touched if b in held]
+    if prior:
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        old = reader.parquet(*prior).select(*batch.columns).withColumn("_b", bucket_of(key, buckets))
+        rows = old.unionByName(rows)
+    path = f"{base}/v={int(version):012d}"
+    latest(rows).repartition("_b").write.mode("overwrite").partitionBy("_b").parquet(path)
+    for b in touched:
+        for old in held.get(b, [])[:-(kept - 1) or None]:
+            files.delete(spark, old)
+    for v in files.committed_children(spark, base, "v="):
+        if int(v.split("=")[1]) < version and not any(d.startswith("_b=") for d in files.children(spark, f"{base}/{v}")):
+            files.delete(spark, f"{base}/{v}")
     return path
 
 
+def read_buckets(spark, base: str, schema=None) -> DataFrame:
+    """Every bucket at its newest finished version; raises if no version is finished."""
+    if not files.committed_children(spark, base, "v="):
+        raise FileNotFoundError(f"no finished version under {base}")
+    paths = [p[-1] for _, p in sorted(held_buckets(spark, base).items())]
+    if not paths and schema is not None:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(*paths)
+
+
+def upsert_live(spark, root: str, batch: DataFrame, batch_id: int, schema, buckets: int = LIVE_BUCKETS) -> str:
+    """Keyed upsert of the live table: the latest row per courier, in the buckets that the batch touches.
+
+    Writes the version folder ``v=<batch_id>``; readers take each bucket's newest finished
+    one, so an interrupted write leaves the old rows visible. Re-running a batch id starts
+    from the versions before it.
+    """
+    def latest(rows: DataFrame) -> DataFrame:
+        return latest_live_rows(rows).withColumn("_b", bucket_of("hk_courier_id", buckets))
+
+    return upsert_buckets(spark, f"{root}/{LIVE_TABLE}", batch.select(*LIVE_COLUMNS), batch_id, "hk_courier_id",
+                          buckets, latest, schema=schema)
+
+
 def read_live(spark, root: str, schema) -> DataFrame:
-    """The newest finished version of the live table; raises if there is none."""
-    done = files.committed_children(spark, f"{root}/{LIVE_TABLE}", "v=")
-    if not done:
-        raise FileNotFoundError(f"no finished version of {LIVE_TABLE} under {root}")
-    return spark.read.schema(schema).parquet(f"{root}/{LIVE_TABLE}/{done[-1]}")
+    """The live table at the newest finished version of each bucket; raises if there is none."""
+    return read_buckets(spark, f"{root}/{LIVE_TABLE}", schema)
 
 
 def ensure_table(spark, root: str, name: str, schema) -> str:

@@ -94,6 +94,34 @@ def test_unfinished_live_version_is_not_read(spark, workdir):
     assert len(os.listdir(os.path.join(workdir, sinks.LIVE_TABLE))) <= sinks.KEPT_VERSIONS + 1
 
 
+def test_a_live_batch_rewrites_the_buckets_of_its_keys_only(spark, workdir):
+    from hexvault import schemas as S
+    table = os.path.join(workdir, sinks.LIVE_TABLE)
+
+    def rows(names, ts, status):
+        return spark.createDataFrame([(f"h{n}", f"c{n}", 1.0, 2.0, 3.0, 4, status, 7, 9, ts) for n in names],
+                                     S.COURIER_LIVE)
+
+    def held():
+        return {r["courier_id"]: (r["status"], r["event_ts_ms"])
+                for r in sinks.read_live(spark, workdir, S.COURIER_LIVE).collect()}
+
+    sinks.upsert_live(spark, workdir, rows(range(50), 10, "idle"), 0, S.COURIER_LIVE, buckets=8)
+    sinks.upsert_live(spark, workdir, rows([3], 20, "busy"), 1, S.COURIER_LIVE, buckets=8)
+    sinks.upsert_live(spark, workdir, rows([3, 4], 5, "late"), 2, S.COURIER_LIVE, buckets=8)
+    sinks.upsert_live(spark, workdir, rows([3, 4], 5, "late"), 2, S.COURIER_LIVE, buckets=8)  # replay
+    assert held() == {f"c{n}": ("busy", 20) if n == 3 else ("idle", 10) for n in range(50)}
+    written = {v: [d for d in os.listdir(os.path.join(table, v)) if d.startswith("_b=")] for v in os.listdir(table)}
+    assert len(written["v=000000000000"]) == 8 and len(written["v=000000000001"]) == 1
+    sinks.upsert_live(spark, workdir, rows([], 0, "x"), 3, S.COURIER_LIVE, buckets=8)  # an empty batch
+    for i in range(4, 10):
+        sinks.upsert_live(spark, workdir, rows([3], 20 + i, f"s{i}"), i, S.COURIER_LIVE, buckets=8)
+    assert held()["c3"] == ("s9", 29) and len(held()) == 50
+    versions = sinks.held_buckets(spark, table)
+    assert len(versions) == 8 and all(len(v) <= sinks.KEPT_VERSIONS for v in versions.values())
+    assert "v=000000000003" not in os.listdir(table)  # folders without a bucket go
+
+
 def test_bounded_read_fails_on_an_invalid_message(spark, workdir):
     ctx = Context(spark, SF)
     path = os.path.join(workdir, "m")
