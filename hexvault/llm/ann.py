@@ -12,7 +12,8 @@ block and a data block is one task of bounded size. Every task returns its best
 query; the lists are merged by query.
 
 Defined cases: vectors that are null, empty or zero, or hold null or non-finite
-components, take no part, neither as queries nor as candidates; only vectors of the
+components, take no part, neither as queries nor as candidates; finite ones of any size
+do; rows that ask with one id but different vectors share one list; only vectors of the
 query's length are compared; repeated query rows count once, repeated candidate rows
 each take a rank; ties go to the smaller id; an empty table gives no rows; other
 columns are ignored.
@@ -48,8 +49,20 @@ def encode(vectors: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.packbits(turned > 0, axis=1), np.abs(turned).sum(axis=1) / np.sqrt(vectors.shape[1])
 
 
+def scaled(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Vectors times powers of two that bring their largest components between 1/2 and 1.
+
+    Cosines stay the same to the last bit, and no norm or product of very large or very
+    small vectors leaves the range of doubles.
+    """
+    if not len(flat):
+        return flat
+    exponent = np.frexp(np.maximum.reduceat(np.abs(flat), starts))[1]
+    return np.ldexp(flat, -np.repeat(exponent, sizes))
+
+
 def indexed(vectors: DataFrame, id_col: str = "vec_id", column: str = "embedding") -> DataFrame:
-    """Stored index of all valid vectors: ``id, dim, vector, code, scale``."""
+    """Stored index of all valid vectors, scaled: ``id, dim, vector, code, scale``."""
     v = F.col("vector")
     infinity = F.lit(float("inf"))
     rows = (vectors.select(F.col(id_col).cast("long").alias("id"), F.col(column).cast("array<double>").alias("vector"))
@@ -59,10 +72,10 @@ def indexed(vectors: DataFrame, id_col: str = "vec_id", column: str = "embedding
 
     def run(batches):
         for batch in batches:
-            lists = batch.column("vector")
-            sizes = np.diff(lists.offsets.to_numpy())
-            flat = lists.values.to_numpy()
-            starts = lists.offsets.to_numpy()[:-1]
+            offsets = batch.column("vector").offsets.to_numpy()
+            starts, sizes = offsets[:-1] - offsets[0], np.diff(offsets)
+            flat = scaled(batch.column("vector").values.to_numpy()[offsets[0]:offsets[-1]], starts, sizes)
+            lists = pa.ListArray.from_arrays(pa.array(offsets - offsets[0], pa.int32()), pa.array(flat))
             codes: list = [None] * len(sizes)
             scales = np.zeros(len(sizes))
             for dim in np.unique(sizes):

@@ -54,6 +54,25 @@ def test_neighbours_equal_brute_force(spark, monkeypatch):
     assert common == [7, 1001, 1002, 1003, 1004]  # ties go to smaller ids
 
 
+def test_neighbours_of_very_large_and_very_small_vectors(spark):
+    rnd = np.random.default_rng(9)
+    sizes = (1.0, 2.0 ** -600, 2.0 ** 600, 2.0 ** 1000, 2.0 ** -1000)
+    plain = [(i, rnd.normal(size=16)) for i in range(300)]
+    rows = [(i, (v * sizes[i // 7 % 5]).tolist()) for i, v in plain]
+    rows += [(400, [5e-324] * 16), (401, [1.7e308] * 16), (402, [1.7e308, 5e-324] * 8)]
+    plain += [(400, np.ones(16)), (401, np.ones(16)), (402, np.array([1.0, 0.0] * 8))]
+    want = brute.neighbours([(i, v.tolist()) for i, v in plain], 50, 5)
+    found = {}
+    for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+        assert np.isfinite(r.score)
+        found.setdefault(r.query_id, {})[r.vec_id] = r.score
+    assert set(found) == set(want) == {0, 50, 100, 150, 200, 250, 300 + 100}
+    assert sum(len(set(found[q]) & {i for i, _ in w}) for q, w in want.items()) >= 34
+    for q, w in want.items():
+        assert all(abs(found[q][i] - s) < 1e-12 for i, s in w if i in found[q])
+    assert found[400][401] == max(found[400].values()) and abs(found[400][401] - 1) < 1e-12
+
+
 def test_neighbours_recall_on_the_whole_table(spark):
     rows = [(r.vec_id, [float(x) for x in r.embedding]) for r in table(spark, SF, "embeddings").collect()]
     want = brute.neighbours(rows, 50, 5)
