@@ -68,13 +68,17 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, parent_colum
     return counted.join(keys, F.col("from_field") == F.col("_to"), "left_anti")
 
 
+def invalid_columns(df: DataFrame, types: dict[str, list[str]]) -> list[str]:
+    """``name:TYPE`` of the missing or mis-typed columns."""
+    actual = {f.name: sql_type_name(f.dataType) for f in df.schema.fields}
+    return [f"{name}:{actual.get(name, 'MISSING')}" for name, allowed in types.items()
+            if actual.get(name, "MISSING") not in allowed]
+
+
 def schema_conforms(spark: SparkSession, df: DataFrame, types: dict[str, list[str]]) -> DataFrame:
     """One row listing ``name:TYPE`` of missing/mis-typed columns; empty when conforming."""
-    actual = {f.name: sql_type_name(f.dataType) for f in df.schema.fields}
-    invalid = [f"{name}:{actual.get(name, 'MISSING')}" for name, allowed in types.items()
-               if actual.get(name, "MISSING") not in allowed]
-    rows = [(", ".join(invalid),)] if invalid else []
-    return spark.createDataFrame(rows, "invalid_columns string")
+    invalid = invalid_columns(df, types)
+    return spark.createDataFrame([(", ".join(invalid),)] if invalid else [], "invalid_columns string")
 
 
 def _bad_coordinates() -> Column:
@@ -242,17 +246,69 @@ def _row_count_of(test: Test) -> Column | None:
     return None
 
 
+def _key_domains(slots: list[tuple[str, str]], tests: list[Test]) -> dict[tuple[str, str], int]:
+    """Number of the key domain of each (table, column): a child column shares its parent's."""
+    domain = {slot: i for i, slot in enumerate(slots)}
+    for t in tests:
+        if t.kind == "relationships":
+            mine, other = domain[t.model, t.column], domain[t.args["to"], t.args["field"]]
+            domain = {s: other if d == mine else d for s, d in domain.items()}
+    return domain
+
+
+def key_results(models, tests: list[Test]) -> DataFrame:
+    """One row ``v0, v1, ...``: violations of single-column ``unique`` and ``relationships`` tests.
+
+    Every table is read once for all its key columns. Keys of all tables are counted in
+    one grouping by (domain, key), with one count per table and column: a key that stands
+    twice in a column is a duplicate, one that the parent column lacks is an orphan. Keys
+    combine before the shuffle, so a hot key arrives as one row per task. Null keys pass.
+    """
+    slots = sorted({(t.model, t.column) for t in tests}
+                   | {(t.args["to"], t.args["field"]) for t in tests if t.kind == "relationships"})
+    domain = _key_domains(slots, tests)
+    reads = []
+    for table in dict.fromkeys(m for m, _ in slots):
+        keys = [F.struct(F.lit(domain[s]).alias("domain"), F.lit(i).alias("slot"),
+                         F.col(s[1]).cast("string").alias("key")) for i, s in enumerate(slots) if s[0] == table]
+        reads.append(models[table].select(F.explode(F.array(*keys)).alias("k")).select("k.*"))
+    counted = (reduce(DataFrame.unionAll, reads).filter(F.col("key").isNotNull()).groupBy("domain", "key")
+               .agg(*[F.count(F.when(F.col("slot") == i, 1)).alias(f"n{i}") for i in range(len(slots))]))
+    place = {s: F.col(f"n{i}") for i, s in enumerate(slots)}
+    found = []
+    for t in tests:
+        n = place[t.model, t.column]
+        if t.kind == "unique":  # duplicated keys
+            found.append(F.sum((n > 1).cast("bigint")))
+        else:  # orphan rows
+            found.append(F.sum(F.when(place[t.args["to"], t.args["field"]] == 0, n).otherwise(0)))
+    return counted.agg(*[F.coalesce(v, F.lit(0)).cast("bigint").alias(f"v{i}") for i, v in enumerate(found)])
+
+
+def _test_rows(wide: DataFrame, tests: list[Test]) -> DataFrame:
+    """``test_name, kind, model, violations`` from one row ``v0, v1, ...``."""
+    rows = F.explode(F.array(*[F.struct(
+        F.lit(t.name).alias("test_name"), F.lit(t.kind).alias("kind"), F.lit(t.model).alias("model"),
+        F.col(f"v{i}").alias("violations")) for i, t in enumerate(tests)]))
+    return wide.select(rows.alias("r")).select("r.*")
+
+
 def gate_results(models, tests: list[Test] | None = None) -> DataFrame:
     """All declared tests → ``(test_name, kind, model, violations)``.
 
     Null, domain and coordinate tests of a table share one pass over it (one domain
-    test a table, so that the pass needs no row expansion); uniqueness, relationships
-    and the rest are one aggregate each. All branches form one plan.
+    test a table, so that the pass needs no row expansion); uniqueness of single columns
+    and relationships share one grouping of keys (``key_results``); schema tests read
+    schemas only; the rest are one aggregate each. All branches form one plan.
     """
     tests = DECLARED_TESTS if tests is None else tests
     shared: dict[str, list[Test]] = {}
     alone: list[Test] = []
+    keyed = [t for t in tests if t.kind in ("unique", "relationships")]
+    typed = [t for t in tests if t.kind == "schema_conforms"]
     for t in tests:
+        if t in keyed or t in typed:
+            continue
         table = _COORDINATE_TABLES.get(t.model, t.model)
         taken = any(x.kind == "accepted_values" for x in shared.get(table, []))
         if _row_count_of(t) is None or (t.kind == "accepted_values" and taken):
@@ -261,17 +317,17 @@ def gate_results(models, tests: list[Test] | None = None) -> DataFrame:
             shared.setdefault(table, []).append(t)
     parts: list[DataFrame] = []
     for table, ts in shared.items():
-        wide = models[table].agg(*[F.coalesce(_row_count_of(t), F.lit(0)).cast("bigint").alias(f"v{i}")
-                                   for i, t in enumerate(ts)])
-        rows = F.explode(F.array(*[F.struct(
-            F.lit(t.name).alias("test_name"), F.lit(t.kind).alias("kind"), F.lit(t.model).alias("model"),
-            F.col(f"v{i}").alias("violations")) for i, t in enumerate(ts)]))
-        parts.append(wide.select(rows.alias("r")).select("r.*"))
+        parts.append(_test_rows(models[table].agg(*[
+            F.coalesce(_row_count_of(t), F.lit(0)).cast("bigint").alias(f"v{i}") for i, t in enumerate(ts)]), ts))
+    if keyed:
+        parts.append(_test_rows(key_results(models, keyed), keyed))
+    if typed:
+        spark = models[typed[0].model].sparkSession
+        counts = [F.lit(int(bool(invalid_columns(models[t.model], t.args["types"])))).cast("bigint").alias(f"v{i}")
+                  for i, t in enumerate(typed)]
+        parts.append(_test_rows(spark.range(0, 1, 1, 1).select(*counts), typed))
     for t in alone:
-        if t.kind == "relationships":  # orphan rows, counted from the per-key totals
-            v = violations(t, models).agg(F.coalesce(F.sum("n_records"), F.lit(0)).cast("bigint").alias("violations"))
-        else:
-            v = violations(t, models).agg(F.count(F.lit(1)).alias("violations"))
+        v = violations(t, models).agg(F.count(F.lit(1)).alias("violations"))
         parts.append(v.select(F.lit(t.name).alias("test_name"), F.lit(t.kind).alias("kind"),
                               F.lit(t.model).alias("model"), "violations"))
     return reduce(DataFrame.unionByName, parts)

@@ -146,16 +146,18 @@ class ServingSource:
     def recommend_near_with_fallback(self, lat: float, lon: float, limit: int = 10) -> DataFrame:
         """Neighbour-restricted ranking (user cell + 6 neighbours); global ranking only if empty.
 
-        A first small job asks whether any row lies in the seven cells; the cell filter
-        reaches the scan, and the job stops at the first row. Only the branch that is
-        needed is planned, so a near answer costs what ``recommendations`` costs.
+        The near ranking runs first, its cell filter in the scan; its at most ``limit`` rows
+        are the answer. Only if there are none the global ranking is planned.
         """
         check_point(lat, lon)
         check_limit("recommendations", limit)
         cells = [int(c) for c in neighbour_cells_py(float(lat), float(lon), 7)]
-        near = self.interactions().filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
-                                          & F.col("h3_res7").isin(cells))
-        chosen = self.recommendations(lat, lon, limit, () if near.isEmpty() else cells)
+        chosen = self.recommendations(lat, lon, limit, cells)
+        rows = chosen.collect()  # at most `limit`
+        if rows:
+            chosen = chosen.sparkSession.createDataFrame(rows, chosen.schema)
+        else:
+            chosen = self.recommendations(lat, lon, limit)
         order = Window.partitionBy().orderBy(F.col("score").desc(), F.col("interaction_count").desc(),
                                              F.col("merchant_id").asc())  # at most `limit` rows
         return (chosen.withColumn("rank", F.row_number().over(order))
