@@ -3,7 +3,8 @@
 A ``Window.partitionBy(key)`` puts every row of a key into one task; a key that
 holds a third of the data then becomes a third of the job in a single task.
 ``sequence_features`` instead cuts each key into ordered *chunks* – time buckets
-of the leading order column (an hour by default, a day for dates) – computes the features inside
+of the leading order column (an hour by default, a day for dates, narrower for a key
+that is hot inside one) – computes the features inside
 each chunk with a window over ``(key, chunk)``, and carries the state across
 chunk boundaries from a small per-chunk summary (one row per key and bucket):
 
@@ -24,32 +25,81 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hexvault.session import cut_lineage
 
 HOUR_MS, DAY_MS = 3_600_000, 86_400_000
+#: Rows of a key in one chunk beyond which the key gets narrower chunks, and those chunks.
+MAX_CHUNK_ROWS = 500_000
+NARROW_MS = (60_000, 1_000, 1)
+#: Keys with narrower chunks up to which their widths are broadcast.
+BROADCAST_KEYS = 10_000
 
 
-def time_bucket(df: DataFrame, column: str, width_ms: int = DAY_MS) -> Column:
+def time_bucket(df: DataFrame, column: str, width_ms: int | Column = DAY_MS) -> Column:
     """Monotone bucket of a timestamp, date or epoch-millisecond column."""
     dtype = df.schema[column].dataType
-    c = F.col(column)
+    c, width = F.col(column), (width_ms if isinstance(width_ms, Column) else F.lit(width_ms)).cast("long")
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(width_ms * 1000))
+        return F.floor(F.unix_micros(c.cast("timestamp")) / (width * 1000))
     if isinstance(dtype, T.DateType):
-        return F.floor(F.unix_date(c) * F.lit(DAY_MS) / F.lit(width_ms))
-    return F.floor(c / F.lit(width_ms))
+        return F.floor(F.unix_date(c) * F.lit(DAY_MS) / width)
+    return F.floor(c / width)
+
+
+def narrow_widths(df: DataFrame, key: str, column: str, bucket_ms: int, max_rows: int) -> DataFrame | None:
+    """``_w_key, _width``: chunk width (ms) of the keys with over ``max_rows`` rows in a chunk; None without any.
+
+    Rows are counted by key and chunk, combined before the shuffle; only the keys found are
+    counted again at the next width. There are at most rows / ``max_rows`` of them. They are
+    checkpointed, so all parts of a plan and any recomputation cut a key alike. A date has
+    nothing narrower than its day, and rows of equal or no time stay in one chunk.
+    """
+    if isinstance(df.schema[column].dataType, T.DateType):
+        return None
+    rows, found = df.select(F.col(key).alias("_w_key"), column), None
+    widths = [bucket_ms, *[w for w in NARROW_MS if w < bucket_ms]]
+    for width, narrower in zip(widths, widths[1:]):
+        bucket = time_bucket(rows, column, width)
+        hot = cut_lineage(rows.filter(F.col(column).isNotNull()).groupBy("_w_key", bucket.alias("_b")).count()
+                          .filter(F.col("count") > max_rows).select("_w_key").distinct())
+        if hot.isEmpty():
+            break
+        this = hot.withColumn("_width", F.lit(narrower).cast("long"))
+        if found is not None:
+            same = found["_w_key"].eqNullSafe(hot["_w_key"])
+            this = this.unionByName(found.join(hot, same, "left_anti"))
+        found = this
+        some = hot.withColumnRenamed("_w_key", "_h_key")
+        rows = rows.join(some, F.col("_w_key").eqNullSafe(F.col("_h_key")), "left_semi")
+    return found
+
+
+def chunked(df: DataFrame, key: str, column: str, bucket_ms: int = HOUR_MS,
+            max_rows: int = MAX_CHUNK_ROWS) -> DataFrame:
+    """``df`` with ``_chunk``: the time bucket of each row, narrower for keys that are hot inside one bucket."""
+    widths = narrow_widths(df, key, column, bucket_ms, max_rows)
+    if widths is None:
+        return df.withColumn("_chunk", time_bucket(df, column, bucket_ms))
+    widths = cut_lineage(widths)
+    if widths.count() <= BROADCAST_KEYS:
+        widths = F.broadcast(widths)
+    x = df.join(widths, df[key].eqNullSafe(F.col("_w_key")), "left")
+    return x.withColumn("_chunk", time_bucket(df, column, F.coalesce("_width", F.lit(bucket_ms)))).drop(
+        "_w_key", "_width")
 
 
 def sequence_features(df: DataFrame, key: str, order: list[str], lag: list[str] = (),
                       lead: list[str] = (), ffill: list[str] = (), cumsum: list[str] = (),
-                      bucket: Column | None = None, bucket_ms: int = HOUR_MS) -> DataFrame:
+                      bucket: Column | None = None, bucket_ms: int = HOUR_MS,
+                      max_rows: int = MAX_CHUNK_ROWS) -> DataFrame:
     """Add ``prev_<c>``, ``next_<c>``, ``ffill_<c>``, ``cum_<c>`` columns (see module doc).
 
     ``bucket`` must be non-decreasing in the order; by default it is the
-    ``bucket_ms`` bucket of the leading order column.
+    ``bucket_ms`` bucket of the leading order column, narrower for keys with more than
+    ``max_rows`` rows in one (found by one small job first).
     """
     lag, lead, ffill, cumsum = list(lag), list(lead), list(ffill), list(cumsum)
-    chunk = bucket if bucket is not None else time_bucket(df, order[0], bucket_ms)
-    x = df.withColumn("_chunk", chunk)
+    x = df.withColumn("_chunk", bucket) if bucket is not None else chunked(df, key, order[0], bucket_ms, max_rows)
     asc = [F.col(c).asc_nulls_first() for c in order]
     desc = [F.col(c).desc_nulls_last() for c in order]
     w = Window.partitionBy(key, "_chunk").orderBy(*asc)

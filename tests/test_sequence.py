@@ -59,3 +59,32 @@ def test_key_hot_inside_one_day_and_null_keys(spark):
         i = r["n"]
         assert r["prev_n"] == (i - 1 if i else None) and r["next_n"] == (i + 1 if i < 479 else None)
         assert r["ffill_n"] == i and r["cum_n"] == i * (i + 1) // 2
+
+
+def test_chunk_width_follows_the_rows_of_a_hot_hour(spark):
+    """A bot, a null key and a burst inside one hour get narrower chunks; other keys keep theirs."""
+    from hexvault.operators.sequence import chunked, narrow_widths
+    rnd = random.Random(8)
+    rows = []
+    for i in range(900):
+        rows += [("bot", i * 3900, i, i % 5), (None, i * 3900, None if i % 3 else i, 1)]
+    rows += [("burst", 1_800_000 + i, i, 2) for i in range(400)]  # all in one second
+    rows += [("same", 77, i, 1) for i in range(300)]  # equal times cannot be cut
+    rows += [(f"k{i % 20}", rnd.randint(0, 3_599_999), i, 3) for i in range(400)]
+    df = spark.createDataFrame([(*r, j) for j, r in enumerate(rows)], "k string, t long, v int, n int, id long")
+    widths = {r["_w_key"]: r["_width"] for r in narrow_widths(df, "k", "t", HOUR_MS, 100).collect()}
+    assert widths == {"bot": 60_000, None: 60_000, "burst": 1, "same": 1}
+    sizes = chunked(df, "k", "t", max_rows=100).groupBy("k", "_chunk").count()
+    per_key = {r["k"]: (r["chunks"], r["largest"]) for r in sizes.groupBy("k").agg(
+        F.count("*").alias("chunks"), F.max("count").alias("largest")).collect()}
+    assert per_key["bot"][0] >= 58 and per_key["bot"][1] <= 100 and per_key[None] == per_key["bot"]
+    assert per_key["burst"] == (400, 1) and per_key["same"] == (1, 300)
+    assert all(per_key[f"k{i}"][0] == 1 for i in range(20))
+    got = sequence_features(df, "k", ["t", "id"], lag=["v"], lead=["v"], ffill=["v"], cumsum=["n"], max_rows=100)
+    w = Window.partitionBy("k").orderBy("t", "id")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    exp = df.select("*", F.lag("v").over(w).alias("prev_v"), F.lead("v").over(w).alias("next_v"),
+                    F.last("v", ignorenulls=True).over(upto).alias("ffill_v"), F.sum("n").over(upto).alias("cum_n"))
+    by_id = lambda frame: sorted(map(tuple, frame.select(*got.columns).collect()), key=lambda r: r[4])
+    assert by_id(got) == by_id(exp)
+    assert narrow_widths(df.filter("k = 'k1'"), "k", "t", HOUR_MS, 100) is None
