@@ -13,9 +13,8 @@ from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.recommendation import ALS
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from hexvault.session import cut_lineage
 
@@ -38,14 +37,20 @@ def courier_clusters(telemetry: DataFrame, k: int = 3) -> DataFrame:
 
 
 def numbered(rows: DataFrame, key: str, name: str) -> DataFrame:
-    """``key, name``: the distinct keys with consecutive integers, given on the cluster.
+    """``key, name``: the distinct keys with consecutive integers from 0, given on the cluster.
 
-    The numbering is checkpointed, so it stays the same wherever it is read.
+    A key's number is its place in its partition plus the sizes of the partitions before.
+    Place and partition are checkpointed first, so the numbers stay the same wherever they
+    are read; the sizes are one row per partition.
     """
-    distinct = rows.select(key).distinct().filter(F.col(key).isNotNull())
-    pairs = distinct.rdd.zipWithIndex().map(lambda x: (x[0][0], x[1]))
-    schema = T.StructType([distinct.schema[key], T.StructField(name, T.LongType())])
-    return cut_lineage(rows.sparkSession.createDataFrame(pairs, schema).withColumn(name, F.col(name).cast("int")))
+    placed = cut_lineage(rows.select(key).filter(F.col(key).isNotNull()).distinct().select(
+        key, F.spark_partition_id().alias("_part"),
+        F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_place")))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("_part").agg(F.count("*").alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return cut_lineage(placed.join(F.broadcast(starts), "_part")
+                       .select(key, (F.col("_start") + F.col("_place")).cast("int").alias(name)))
 
 
 def als_factors(clicks: DataFrame, rank: int = 8, max_iter: int = 5) -> DataFrame:

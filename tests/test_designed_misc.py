@@ -102,3 +102,14 @@ def test_model_jobs_rows(spark):
     fac = ML.als_factors(ctx.clicks_once)
     assert fac.count() == ctx.clicks_once.select("item_id").distinct().count()
     assert len(fac.first()["factors"]) == 8
+
+
+def test_keys_are_numbered_without_gaps(spark):
+    from hexvault.operators.ml import numbered
+    rows = spark.range(5000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 = 1 THEN NULL "
+                                        "ELSE concat('k', id % 700) END AS k", "id AS v")
+    out = numbered(rows, "k", "i")
+    first = {r["k"]: r["i"] for r in out.collect()}
+    assert sorted(first.values()) == list(range(rows.filter("k IS NOT NULL").select("k").distinct().count()))
+    assert {r["k"]: r["i"] for r in out.collect()} == first
+    assert numbered(rows.limit(0), "k", "i").count() == 0
