@@ -17,6 +17,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,6 +54,8 @@ _ACCEPTS = {"string": ["STRING"], "long": ["BIGINT"], "int": ["BIGINT"],
             "double": ["BIGINT", "DECIMAL", "DOUBLE"], "float": ["BIGINT", "DECIMAL", "DOUBLE"],
             "boolean": ["BOOLEAN"], "bytes": ["STRING"]}
 INT32 = (-(2 ** 31), 2 ** 31 - 1)
+#: Stands between the reasons of the fields while they are one text.
+_BETWEEN = "\x01"
 
 
 def contract(topic: str) -> list[tuple[str, str, bool]]:
@@ -95,9 +99,20 @@ def route_topic(topic: Column, event_format: Column) -> Column:
             .when(known, topic)
 
 
-def _json_kind(v: Column) -> Column:
-    """JSON type of a VARIANT value: BIGINT, DECIMAL, DOUBLE, STRING, BOOLEAN, VOID, OBJECT…"""
-    return F.substring_index(F.substring_index(F.schema_of_variant(v), "(", 1), "<", 1)
+def _is_kind(schema: Column, kinds: list[str]) -> Column:
+    """Whether the type of a VARIANT value (``schema_of_variant``) is one of BIGINT, DECIMAL, DOUBLE, STRING, VOID…"""
+    return reduce(Column.__or__, [schema.startswith(f"{k}(") if k == "DECIMAL" else schema == k for k in kinds])
+
+
+def computed_once(df: DataFrame, columns: dict[str, Column], keep: list[str] | None = None) -> DataFrame:
+    """``df`` (or its columns ``keep``) with new columns that go through a one-row generator.
+
+    Filters on what a generator returns stay above it; below a projection alone they would
+    take a copy of the expression for every use of a column.
+    """
+    kept = [F.col(f"`{c}`") for c in (df.columns if keep is None else keep)]
+    made = df.select(*kept, *[c.alias(f"_made_{n}") for n, c in columns.items()])
+    return made.select(*kept, F.inline(F.array(F.struct(*[F.col(f"_made_{n}").alias(n) for n in columns]))))
 
 
 def validate_messages(messages: DataFrame, topic: str, value_col: str = "value",
@@ -106,27 +121,29 @@ def validate_messages(messages: DataFrame, topic: str, value_col: str = "value",
 
     The message is parsed once (``try_parse_json``) in its own projection; each
     field's JSON type is read once from the VARIANT (so a string "123" is not
-    mistaken for a number); the reasons are assembled in a last projection.
+    mistaken for a number); the reasons are assembled in a last projection. Each of
+    these steps is ``computed_once``: a filter on the reasons would otherwise be moved
+    below them and parse the message again wherever a field is looked at.
     """
     fields = contract(topic)
     domains = domains or {}
     base = messages.columns
-    st = messages.select("*", F.try_parse_json(F.col(value_col)).alias("_v"),
-                         F.json_object_keys(F.col(value_col)).alias("_keys"))
-    cols = []
+    st = computed_once(messages, {"_v": F.try_parse_json(F.col(value_col)),
+                                  "_keys": F.json_object_keys(F.col(value_col))})
+    cols = {}
     for name, typ, _ in fields:
-        cols.append(_json_kind(F.expr(f"_v:`{name}`")).alias(f"_t_{name}"))
+        cols[f"_t_{name}"] = F.schema_of_variant(F.expr(f"_v:`{name}`"))
         if typ == "int":
-            cols.append(F.expr(f"try_variant_get(_v, '$.{name}', 'bigint')").alias(f"_n_{name}"))
+            cols[f"_n_{name}"] = F.expr(f"try_variant_get(_v, '$.{name}', 'bigint')")
         if domains.get(name):
-            cols.append(F.expr(f"try_variant_get(_v, '$.{name}', 'string')").alias(f"_s_{name}"))
-    st = st.select("*", *cols)
+            cols[f"_s_{name}"] = F.expr(f"try_variant_get(_v, '$.{name}', 'string')")
+    st = computed_once(st, cols)
     keys = F.col("_keys")
     checks: list[Column] = []
     for name, typ, optional in fields:
         kind = F.col(f"_t_{name}")
         present = F.array_contains(keys, F.lit(name))
-        ok_type = kind.isin(_ACCEPTS[typ])
+        ok_type = _is_kind(kind, _ACCEPTS[typ])
         if typ == "int":
             ok_type = ok_type & F.col(f"_n_{name}").between(*INT32)
         if not optional:
@@ -137,13 +154,15 @@ def validate_messages(messages: DataFrame, topic: str, value_col: str = "value",
             checks.append(F.when(present & ok_type & ~F.col(f"_s_{name}").isin(domains[name]),
                                  F.lit(f"invalid_value:{name}")))
     known = F.array(*[F.lit(n) for n, _, _ in fields])
-    unknown = F.transform(F.array_except(F.coalesce(keys, F.array().cast("array<string>")), known),
-                          lambda k: F.concat(F.lit("unknown:"), k))
-    per_field = F.filter(F.array(*checks), lambda x: x.isNotNull())
+    none = F.array().cast("array<string>")
+    st = computed_once(st, {"_found": F.concat_ws(_BETWEEN, *checks),
+                            "_extra": F.array_except(F.coalesce(keys, none), known)}, [*base, "_v", "_keys"])
+    unknown = F.transform("_extra", lambda k: F.concat(F.lit("unknown:"), k))
+    per_field = F.when(F.col("_found") == "", none).otherwise(F.split("_found", _BETWEEN))
     reasons = F.when(F.col("_v").isNull() | keys.isNull(), F.array(F.lit("parse_error"))) \
+               .when((F.col("_found") == "") & (F.size("_extra") == 0), none) \
                .otherwise(F.array_sort(F.concat(per_field, unknown)))
-    return st.select(*[F.col(f"`{c}`") for c in base], reasons.alias("reasons")) \
-             .withColumn("valid", F.size("reasons") == 0)
+    return computed_once(st, {"reasons": reasons}, base).withColumn("valid", F.size("reasons") == 0)
 
 
 def typed_columns(topic: str, variant_col: str = "_v") -> list[Column]:
