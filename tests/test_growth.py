@@ -28,3 +28,11 @@ def test_filter_on_validity_parses_a_message_once(spark):
     assert _optimized(valid).count("parsejson") == 2  # validated, then read as typed columns
     assert [r["reasons"] for r in rejects.collect()] == [["null:user_id", "unknown:more"]]
     assert [r["user_id"] for r in valid.collect()] == ["u1"]
+
+
+def test_unpacked_reasons_parse_a_message_once(spark):
+    checked = C.validate_messages(_messages(spark, [CLICK, {**CLICK, "event_type": 3, "b": 1, "a": 2}]),
+                                  "events.clickstream")
+    reasons = checked.select(F.explode("reasons").alias("reason"))
+    assert _optimized(reasons).count("parsejson") == 1
+    assert [r[0] for r in reasons.collect()] == ["unknown:a", "unknown:b", "wrong_type:event_type"]
