@@ -72,21 +72,30 @@ def _q(c: Context):
     return ServingSource(I.read_vault(c.spark, root, pinned=pinned), c.models, "raw").stats()
 
 
-def _in_order(c: Context, slices: list) -> tuple[str, object]:
-    """(work folder, stream) of frames that arrive one after the other, a micro-batch each."""
-    work = checkpoint_path(c.spark, "stream-queries", uuid.uuid4().hex)
-    for rows in slices:  # files are taken in the order in which they were written
-        rows.coalesce(1).write.mode("append").parquet(f"{work}/events")
-    source = c.spark.readStream.schema(slices[0].schema).option("maxFilesPerTrigger", "1").parquet(f"{work}/events")
-    return work, source
-
-
 def _finished(query) -> None:
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
 
 
+def _work(c: Context) -> str:
+    return checkpoint_path(c.spark, "stream-queries", uuid.uuid4().hex)
+
+
+def _in_order(c: Context, work: str, slices: list, start):
+    """Frames that arrive one after the other, a micro-batch each; returns the query of the last.
+
+    A slice is as many files as it has tasks. ``start(source)`` starts the query on a
+    checkpoint under ``work``, where it goes on after the slices it has seen.
+    """
+    query = None
+    for rows in slices:
+        rows.write.mode("append").parquet(f"{work}/events")
+        query = start(c.spark.readStream.schema(slices[0].schema).parquet(f"{work}/events"))
+        _finished(query)
+    return query
+
+
 #: Key of a row that only moves the watermark.
 CLOCK = "~"
 
@@ -94,34 +103,45 @@ CLOCK = "~"
 @register("stream_sat_history", ORACLES["d_sat_history"])
 def _q(c: Context):
     """Historised courier status by a stateful stream, with replays and rows out of order by up to 30 days."""
-    rows = c.models["stg_courier_telemetry"].select("hk_courier_id", "load_date", *sinks.LIVE_TIE_BREAK)
-    first, last = rows.agg(F.min("load_date"), F.max("load_date")).first()
+    work = _work(c)
+    first, last = c.vault["sat_courier_telemetry_spatial"].agg(F.min("load_date"), F.max("load_date")).first()
     width = (last - first).days / TRIGGERS + 1
     jitter = F.pmod(F.xxhash64("load_date", "latitude", "longitude"), F.lit(30))
     part = F.floor((F.datediff("load_date", F.lit(first)) + jitter) / F.lit(width))
     replayed = F.pmod(F.xxhash64("load_date", "longitude"), F.lit(10)) == 0
-    slices = [rows.filter((part == k) | (replayed & (part == k - 1))) for k in range(TRIGGERS)]
-    slices.append(rows.filter(part >= TRIGGERS))
-    slices.append(c.spark.range(1).select(
+    # Rows beyond the last part come in a slice of their own; a replayed row comes in two.
+    slices = F.when(part >= TRIGGERS, F.array(F.lit(TRIGGERS))).when(
+        replayed & (part < TRIGGERS - 1), F.array(part, part + 1)).otherwise(F.array(part))
+    rows = c.models["stg_courier_telemetry"].select("hk_courier_id", "load_date", *sinks.LIVE_TIE_BREAK)
+    (rows.select("*", F.explode(slices).alias("_slice")).filter(F.col("_slice").isNotNull())
+     .write.partitionBy("_slice").parquet(f"{work}/delivered"))  # staged once for all slices
+    delivered = c.spark.read.parquet(f"{work}/delivered")
+    frames = [delivered.filter(F.col("_slice") == k).drop("_slice") for k in range(TRIGGERS + 1)]
+    frames.append(c.spark.range(1).select(
         F.lit(CLOCK).alias("hk_courier_id"), (F.lit(last) + F.expr("INTERVAL 400 DAYS")).alias("load_date"),
         *[F.lit(None).cast(rows.schema[t].dataType).alias(t) for t in sinks.LIVE_TIE_BREAK]))
-    work, source = _in_order(c, slices)
-    out = state.history_stream(source, "hk_courier_id", "load_date", ["status"], sinks.LIVE_TIE_BREAK, "60 days")
+    schema = None
+
+    def start(source):
+        nonlocal schema
+        out = state.history_stream(source, "hk_courier_id", "load_date", ["status"], sinks.LIVE_TIE_BREAK, "60 days")
+        schema = out.schema
+        return (out.writeStream.foreachBatch(lambda b, i: sinks.append_batch(b, work, "history", i) and None)
+                .option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start())
+
     with state.OnState(c.spark):
-        query = (out.writeStream.foreachBatch(lambda b, i: sinks.append_batch(b, work, "history", i) and None)
-                 .option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start())
-    _finished(query)
-    return sinks.read_appended(c.spark, work, "history", out.schema).select(
+        _in_order(c, work, frames, start)
+    return sinks.read_appended(c.spark, work, "history", schema).select(
         "hk_courier_id", "load_date", "status", "hash_diff")
 
 
 @register("stream_last5", ORACLES["d_last5"])
 def _q(c: Context):
     """Last five clicked categories per user by a stateful stream over shuffled, replayed micro-batches."""
+    work = _work(c)
     clicks = c.clicks_with_category.select("user_id", "event_type", "event_ts_ms", "event_id", "category")
     part = F.pmod(F.xxhash64("event_id"), F.lit(TRIGGERS))
     slices = [clicks.filter((part == k) | ((part == k - 1) & (F.col("event_ts_ms") % 7 == 0))) for k in range(TRIGGERS)]
-    work, source = _in_order(c, slices)
     sink = BucketedFeatureSink(f"{work}/last5", "user_id", "version", ["last_categories"], buckets=16)
 
     def upsert(batch, batch_id: int) -> None:
@@ -132,10 +152,9 @@ def _q(c: Context):
             held.unpersist()
 
     with state.OnState(c.spark):
-        query = (state.last_categories_stream(source).writeStream.outputMode("update")
-                 .foreachBatch(upsert)
-                 .option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start())
-    _finished(query)
+        _in_order(c, work, slices, lambda source: state.last_categories_stream(source).writeStream.outputMode("update")
+                  .foreachBatch(upsert)
+                  .option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start())
     return sink.read(c.spark).select("user_id", "last_categories")
 
 
@@ -158,18 +177,23 @@ def _q(c: Context):
     late = clicks.filter(F.col("event_ts_ms") < last - _LATE_MS).withColumn(
         "event_id", F.concat(F.lit("late-"), "event_id"))
     replays = clicks.filter(F.col("event_ts_ms") >= last - 60_000)  # in time, but known
-    work, source = _in_order(c, [clicks, clock(1, last + 1), late.unionByName(replays), clock(2, last + 2 * _LATE_MS)])
-    windows = state.counted_windows(source, "user_id", "1 hour", "15 seconds", "5 minutes")
+    work, schema = _work(c), None
     listener = state.LateRows(c.spark, f"{work}/progress")
+
+    def start(source):
+        nonlocal schema
+        windows = state.counted_windows(source, "user_id", "1 hour", "15 seconds", "5 minutes")
+        schema = windows.schema
+        return (windows.writeStream.foreachBatch(lambda b, i: sinks.append_batch(b, work, "windows", i) and None)
+                .option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start())
+
     c.spark.streams.addListener(listener)
     try:
-        query = (windows.writeStream.foreachBatch(lambda b, i: sinks.append_batch(b, work, "windows", i) and None)
-                 .option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start())
-        _finished(query)
-        listener.wait_for(query)
+        listener.wait_for(_in_order(
+            c, work, [clicks, clock(1, last + 1), late.unionByName(replays), clock(2, last + 2 * _LATE_MS)], start))
     finally:
         c.spark.streams.removeListener(listener)
-    counts = sinks.read_appended(c.spark, work, "windows", windows.schema).filter(F.col("user_id") != CLOCK)
+    counts = sinks.read_appended(c.spark, work, "windows", schema).filter(F.col("user_id") != CLOCK)
     dropped = listener.read().agg(F.sum("late_rows").alias("n"))
     return counts.select(F.lit("window").alias("kind"), "user_id", F.col("window_start").cast("timestamp_ntz"),
                          F.col("events").alias("n")).unionByName(
