@@ -59,11 +59,13 @@ def customer_hash_diff(customer: DataFrame) -> DataFrame:
         hash_diff(["c_acctbal", "c_mktsegment", "c_name", "c_nationkey"]).alias("hash_diff"))
 
 
-def historize(sat: DataFrame, key: str, ts: str, attributes: list[str], tie_break: list[str]) -> DataFrame:
+def historize(sat: DataFrame, key: str, ts: str, attributes: list[str], tie_break: list[str],
+              is_dealt: bool = False) -> DataFrame:
     """Insert-only-on-change satellite: keep a row when its hash diff differs from the
-    previous row of the same key (by ``ts`` then ``tie_break``); the first row is kept."""
+    previous row of the same key (by ``ts`` then ``tie_break``); the first row is kept.
+    ``is_dealt``: the rows come from ``dealt`` by key and ``ts``."""
     with_hd = sat.withColumn("hash_diff", hash_diff(attributes))
-    seq = sequence_features(with_hd, key, [ts, *tie_break], lag=["hash_diff"])
+    seq = sequence_features(with_hd, key, [ts, *tie_break], lag=["hash_diff"], is_dealt=is_dealt)
     return seq.filter(F.col("prev_hash_diff").isNull() | (F.col("prev_hash_diff") != F.col("hash_diff"))) \
               .drop("prev_hash_diff")
 
@@ -318,11 +320,12 @@ def speed_percentiles(telemetry: DataFrame) -> DataFrame:
                                                quantile(0.9).alias("p90_speed"))
 
 
-def travel_times(telemetry: DataFrame) -> DataFrame:
-    """Cell-to-next-cell transitions per courier: count and mean seconds between pings."""
+def travel_times(telemetry: DataFrame, is_dealt: bool = False) -> DataFrame:
+    """Cell-to-next-cell transitions per courier: count and mean seconds between pings.
+    ``is_dealt``: the pings come from ``dealt`` by courier and load date."""
     order = ["load_date", "status", "latitude", "longitude", "speed_kmh", "bearing_deg", "h3_res7", "h3_res9"]
     seq = sequence_features(telemetry.withColumn("_t", F.unix_micros(F.col("load_date").cast("timestamp"))),
-                            "hk_courier_id", order, lead=["h3_res7", "_t"])
+                            "hk_courier_id", order, lead=["h3_res7", "_t"], is_dealt=is_dealt)
     moves = seq.filter(F.col("next_h3_res7").isNotNull())
     return moves.groupBy(F.col("h3_res7").alias("from_cell"), F.col("next_h3_res7").alias("to_cell")).agg(
         F.count(F.lit(1)).alias("transitions"),

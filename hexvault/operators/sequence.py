@@ -2,11 +2,12 @@
 
 A ``Window.partitionBy(key)`` puts every row of a key into one task; a key that
 holds a third of the data then becomes a third of the job in a single task.
-``sequence_features`` instead cuts each key into ordered *chunks* – time buckets
+``sequence_features`` instead cuts each large key into ordered *chunks* – time buckets
 of the leading order column (an hour by default, a day for dates, narrower for a key
 that is hot inside one) – computes the features inside
 each chunk with a window over ``(key, chunk)``, and carries the state across
-chunk boundaries from a small per-chunk summary (one row per key and bucket):
+chunk boundaries from a small per-chunk summary (one row per large key and bucket).
+A key of at most ``MAX_KEY_ROWS`` rows is one chunk and needs no summary:
 
 * ``lag``    – value of the immediately preceding row of the key (null for the first);
 * ``lead``   – value of the immediately following row;
@@ -31,6 +32,9 @@ HOUR_MS, DAY_MS = 3_600_000, 86_400_000
 #: Rows of a key in one chunk beyond which the key gets narrower chunks, and those chunks.
 MAX_CHUNK_ROWS = 500_000
 NARROW_MS = (60_000, 1_000, 1)
+#: Rows up to which a key stays whole, and its only chunk.
+MAX_KEY_ROWS = 50_000
+WHOLE = -2 ** 63
 #: Keys with narrower chunks up to which their widths are broadcast.
 BROADCAST_KEYS = 10_000
 
@@ -74,44 +78,90 @@ def narrow_widths(df: DataFrame, key: str, column: str, bucket_ms: int, max_rows
     return found
 
 
-def chunked(df: DataFrame, key: str, column: str, bucket_ms: int = HOUR_MS,
-            max_rows: int = MAX_CHUNK_ROWS) -> DataFrame:
-    """``df`` with ``_chunk``: the time bucket of each row, narrower for keys that are hot inside one bucket."""
-    widths = narrow_widths(df, key, column, bucket_ms, max_rows)
-    if widths is None:
-        return df.withColumn("_chunk", time_bucket(df, column, bucket_ms))
-    widths = cut_lineage(widths)
+def key_widths(df: DataFrame, key: str, column: str, bucket_ms: int = HOUR_MS,
+               max_rows: int = MAX_CHUNK_ROWS) -> DataFrame | None:
+    """``_w_key, _width``: chunk width (ms) of every key that is cut into chunks; None without any.
+
+    Keys of over ``MAX_KEY_ROWS`` rows are cut. They are found by counting rows by key, combined
+    before the shuffle, and only their rows are looked at for narrower chunks.
+    """
+    rows = df.select(F.col(key).alias(key), column)
+    large = cut_lineage(rows.groupBy(F.col(key).alias("_l_key")).count()
+                        .filter(F.col("count") > min(MAX_KEY_ROWS, max_rows)).select("_l_key"))
+    if large.isEmpty():
+        return None
+    narrow = narrow_widths(rows.join(large, F.col(key).eqNullSafe(F.col("_l_key")), "left_semi"), key, column,
+                           bucket_ms, max_rows)
+    if narrow is None:
+        return large.select(F.col("_l_key").alias("_w_key"), F.lit(bucket_ms).cast("long").alias("_width"))
+    return cut_lineage(large.join(narrow, F.col("_l_key").eqNullSafe(F.col("_w_key")), "left").select(
+        F.col("_l_key").alias("_w_key"), F.coalesce("_width", F.lit(bucket_ms).cast("long")).alias("_width")))
+
+
+def with_chunks(df: DataFrame, key: str, column: str, widths: DataFrame) -> DataFrame:
+    """``df`` with ``_chunk``: the time bucket of a row of the given keys, ``WHOLE`` for any other key."""
     if widths.count() <= BROADCAST_KEYS:
         widths = F.broadcast(widths)
     x = df.join(widths, df[key].eqNullSafe(F.col("_w_key")), "left")
-    return x.withColumn("_chunk", time_bucket(df, column, F.coalesce("_width", F.lit(bucket_ms)))).drop(
-        "_w_key", "_width")
+    return x.withColumn("_chunk", F.when(F.col("_width").isNull(), F.lit(WHOLE)).otherwise(
+        time_bucket(df, column, F.col("_width")))).drop("_w_key", "_width")
+
+
+def chunked(df: DataFrame, key: str, column: str, bucket_ms: int = HOUR_MS,
+            max_rows: int = MAX_CHUNK_ROWS) -> DataFrame:
+    """``df`` with ``_chunk``: the time bucket of each row of a large key, narrower where the key is hot."""
+    widths = key_widths(df, key, column, bucket_ms, max_rows)
+    return df.withColumn("_chunk", F.lit(WHOLE)) if widths is None else with_chunks(df, key, column, widths)
+
+
+def dealt(df: DataFrame, key: str, column: str, bucket_ms: int = HOUR_MS,
+          max_rows: int = MAX_CHUNK_ROWS) -> DataFrame:
+    """``df`` dealt out by key and chunk: a DISTINCT and ``sequence_features`` on it share this one shuffle.
+
+    Has ``_chunk`` if there is any large key.
+    """
+    widths = key_widths(df, key, column, bucket_ms, max_rows)
+    if widths is None:
+        return df.repartition(key)
+    return with_chunks(df, key, column, widths).repartition(key, "_chunk")
 
 
 def sequence_features(df: DataFrame, key: str, order: list[str], lag: list[str] = (),
                       lead: list[str] = (), ffill: list[str] = (), cumsum: list[str] = (),
                       bucket: Column | None = None, bucket_ms: int = HOUR_MS,
-                      max_rows: int = MAX_CHUNK_ROWS) -> DataFrame:
+                      max_rows: int = MAX_CHUNK_ROWS, is_dealt: bool = False) -> DataFrame:
     """Add ``prev_<c>``, ``next_<c>``, ``ffill_<c>``, ``cum_<c>`` columns (see module doc).
 
     ``bucket`` must be non-decreasing in the order; by default it is the
-    ``bucket_ms`` bucket of the leading order column, narrower for keys with more than
-    ``max_rows`` rows in one (found by one small job first).
+    ``bucket_ms`` bucket of the leading order column for large keys, narrower for keys with
+    more than ``max_rows`` rows in one (found by one small job first). ``is_dealt``: ``df``
+    comes from ``dealt`` by the same key and leading order column.
     """
     lag, lead, ffill, cumsum = list(lag), list(lead), list(ffill), list(cumsum)
-    x = df.withColumn("_chunk", bucket) if bucket is not None else chunked(df, key, order[0], bucket_ms, max_rows)
+    columns = [c for c in df.columns if c != "_chunk"]
+    if bucket is not None:
+        x = df.withColumn("_chunk", bucket)
+    elif is_dealt:
+        x = df
+    else:
+        widths = key_widths(df, key, order[0], bucket_ms, max_rows)
+        x = df if widths is None else with_chunks(df, key, order[0], widths)
+    whole = "_chunk" not in x.columns
     asc = [F.col(c).asc_nulls_first() for c in order]
-    desc = [F.col(c).desc_nulls_last() for c in order]
-    w = Window.partitionBy(key, "_chunk").orderBy(*asc)
-    w_desc = Window.partitionBy(key, "_chunk").orderBy(*desc)
+    w = (Window.partitionBy(key) if whole else Window.partitionBy(key, "_chunk")).orderBy(*asc)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cols = [F.row_number().over(w).alias("_first")] if lag else []
-    cols += [F.row_number().over(w_desc).alias("_last")] if lead else []
+    cols += [F.lead(F.lit(1)).over(w).isNull().alias("_last")] if lead else []
     cols += [F.lag(c).over(w).alias(f"_lag_{c}") for c in lag]
     cols += [F.lead(c).over(w).alias(f"_lead_{c}") for c in lead]
     cols += [F.last(c, ignorenulls=True).over(upto).alias(f"_ff_{c}") for c in ffill]
     cols += [F.sum(c).over(upto).alias(f"_cs_{c}") for c in cumsum]
     x = x.select("*", *cols)
+    if whole:  # every key is one chunk
+        return x.select(*columns, *[F.col(f"_lag_{c}").alias(f"prev_{c}") for c in lag],
+                        *[F.col(f"_lead_{c}").alias(f"next_{c}") for c in lead],
+                        *[F.col(f"_ff_{c}").alias(f"ffill_{c}") for c in ffill],
+                        *[F.col(f"_cs_{c}").alias(f"cum_{c}") for c in cumsum])
 
     # one row per chunk: its first/last row values, last non-null values, totals
     order_key = F.struct(*[F.col(c) for c in order])
@@ -124,7 +174,8 @@ def sequence_features(df: DataFrame, key: str, order: list[str], lag: list[str]
         aggs.append(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order_key)).alias(f"_lnn_{c}"))
     for c in cumsum:
         aggs.append(F.sum(c).alias(f"_tot_{c}"))
-    summary = x.groupBy(key, "_chunk").agg(*aggs)
+    cut = x.filter(F.col("_chunk").isNull() | (F.col("_chunk") != WHOLE))
+    summary = cut.groupBy(key, "_chunk").agg(*aggs)
     ws = Window.partitionBy(key).orderBy("_chunk")
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
     carry: list[Column] = []
@@ -141,10 +192,10 @@ def sequence_features(df: DataFrame, key: str, order: list[str], lag: list[str]
     # Null keys and null times form chunks of their own and carry state like any other.
     summary = summary.withColumnsRenamed({key: "_s_key", "_chunk": "_s_chunk"})
     y = x.join(summary, x[key].eqNullSafe(F.col("_s_key")) & x["_chunk"].eqNullSafe(F.col("_s_chunk")), "left")
-    out = [F.col(c) for c in df.columns]
+    out = [F.col(c) for c in columns]
     out += [F.when(F.col("_first") == 1, F.col(f"_c_tail.{c}")).otherwise(F.col(f"_lag_{c}")).alias(f"prev_{c}")
             for c in lag]
-    out += [F.when(F.col("_last") == 1, F.col(f"_c_head.{c}")).otherwise(F.col(f"_lead_{c}")).alias(f"next_{c}")
+    out += [F.when(F.col("_last"), F.col(f"_c_head.{c}")).otherwise(F.col(f"_lead_{c}")).alias(f"next_{c}")
             for c in lead]
     out += [F.coalesce(F.col(f"_ff_{c}"), F.col(f"_c_ff_{c}")).alias(f"ffill_{c}") for c in ffill]
     out += [(F.col(f"_cs_{c}") + F.coalesce(F.col(f"_c_cs_{c}"), F.lit(0))).alias(f"cum_{c}")

@@ -46,4 +46,5 @@ def stg_interactions(sat: DataFrame) -> DataFrame:
 
 
 def stg_courier_telemetry(sat: DataFrame) -> DataFrame:
-    return sat.select(*TELEMETRY_COLUMNS).distinct()
+    """Whole-row DISTINCT; the chunk of rows that are ``dealt`` stays, so equal rows lie together already."""
+    return sat.select(*TELEMETRY_COLUMNS, *[c for c in sat.columns if c == "_chunk"]).distinct()

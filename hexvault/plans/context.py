@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hexvault.operators import staging
+from hexvault.operators.sequence import dealt
 from hexvault.operators.serving import ServingSource
 from hexvault.operators.vault import Vault, with_event_time
 from hexvault.plans.models import Models
@@ -51,6 +53,12 @@ class Context:
     def models(self) -> Models:
         return Models(self.vault)
 
+    @cached_property
+    def telemetry_in_order(self) -> DataFrame:
+        """Staged telemetry, dealt out by courier (and time chunk of a large one) before its DISTINCT."""
+        sat = self.vault["sat_courier_telemetry_spatial"].select(*staging.TELEMETRY_COLUMNS)
+        return staging.stg_courier_telemetry(dealt(sat, "hk_courier_id", "load_date"))
+
     def build_models(self) -> Models:
         """Write the vault and every model into a fresh folder under the shared checkpoint dir.
 

@@ -51,7 +51,7 @@ _TIE = ["status", "latitude", "longitude", "speed_kmh", "bearing_deg", "h3_res7"
         WHERE prev IS NULL OR prev <> hash_diff"""))
 def _r(c: Context):
     """Historised courier status satellite: a row only when the status hash diff changes."""
-    h = D.historize(c.models["stg_courier_telemetry"], "hk_courier_id", "load_date", ["status"], _TIE)
+    h = D.historize(c.telemetry_in_order, "hk_courier_id", "load_date", ["status"], _TIE, is_dealt=True)
     return h.select("hk_courier_id", "load_date", "status", "hash_diff")
 
 
@@ -246,7 +246,7 @@ def _r(c: Context):
         WHERE nxt IS NOT NULL GROUP BY 1, 2"""))
 def _r(c: Context):
     """Cell-to-cell transitions of consecutive courier pings and their mean duration."""
-    return round_doubles(D.travel_times(c.models["stg_courier_telemetry"]), 6)
+    return round_doubles(D.travel_times(c.telemetry_in_order, is_dealt=True), 6)
 
 
 @register("d_psi_drift", _q(
@@ -409,7 +409,7 @@ def _r(c: Context):
         WHERE rn = 1"""))
 def _r(c: Context):
     """Current-satellite view of the historised courier status satellite."""
-    h = D.historize(c.models["stg_courier_telemetry"], "hk_courier_id", "load_date", ["status"], _TIE)
+    h = D.historize(c.telemetry_in_order, "hk_courier_id", "load_date", ["status"], _TIE, is_dealt=True)
     h = h.select("hk_courier_id", "load_date", "status", "hash_diff")
     return VX.current_view(h, "hk_courier_id", "load_date", ["status", "hash_diff"])
 
