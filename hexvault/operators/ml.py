@@ -28,7 +28,7 @@ def courier_profiles(telemetry: DataFrame) -> DataFrame:
 
 
 def courier_clusters(telemetry: DataFrame, k: int = 3) -> DataFrame:
-    prof = courier_profiles(telemetry)
+    prof = cut_lineage(courier_profiles(telemetry))  # one row a courier, read by every step of the fit
     pipe = Pipeline(stages=[VectorAssembler(inputCols=["mean_speed", "pings", "cells"], outputCol="raw"),
                             StandardScaler(inputCol="raw", outputCol="features", withMean=True),
                             KMeans(k=k, seed=SEED, featuresCol="features", predictionCol="cluster")])
