@@ -61,31 +61,37 @@ def mmr(candidates: DataFrame, vectors: DataFrame, key: str = "user_id", item: s
                              & ~F.isnan(F.col(score).cast("double")))
     best = top_k_per_key(rows.select(key, item, score), key, [F.desc(score), F.asc(item)], limit)
     known = best.join(vectors.select(item, F.col(vector).cast("array<double>").alias("_vector")), item, "left")
-    lists = known.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(
-        F.col("rank"), F.col(item).alias("item"), F.col(score).cast("double").alias("score"),
-        F.col("_vector").alias("vector")))).alias("list"))  # at most `limit` structs
+    # A list is the rows of a key in turn; a task holds one batch of rows, whatever the lists hold.
+    rows = known.select(key, item, F.col(score).cast("double").alias(score), "rank", "_vector")
+    lists = rows.repartition(key).sortWithinPartitions(key, "rank", item, score, "_vector")
+    schema = T.StructType([rows.schema[key], rows.schema[item], T.StructField(score, T.DoubleType()),
+                           T.StructField("rank", T.IntegerType()), T.StructField("position", T.IntegerType())])
+
+    def placed(table: pa.Table, starts: list[int]) -> pa.Table:
+        order: list[int] = []
+        scores = table.column(score).to_numpy()
+        for begin, end in zip(starts, starts[1:]):
+            found = table.column("_vector").slice(begin, end - begin).to_pylist()
+            widths = [len(v) for v in found if v]
+            units = unit_rows(found, widths[0] if widths else 1)
+            top = np.abs(scores[begin:end]).max(initial=0.0)
+            share = scores[begin:end] / top if top > 0 else scores[begin:end]
+            order += [begin + i for i in mmr_order(share, units, weight)]
+        places = [i + 1 for begin, end in zip(starts, starts[1:]) for i in range(end - begin)]
+        return table.drop_columns("_vector").take(pa.array(order, pa.int64())).append_column(
+            "position", pa.array(places, pa.int32()))
 
     def run(batches):
+        held = None
         for batch in batches:
-            out: list = [[], [], []]
-            for entries in batch.column("list").to_pylist():
-                widths = [len(e["vector"]) for e in entries if e["vector"]]
-                units = unit_rows([e["vector"] for e in entries], widths[0] if widths else 1)
-                scores = np.array([e["score"] for e in entries])
-                top = np.abs(scores).max(initial=0.0)
-                order = mmr_order(scores / top if top > 0 else scores, units, weight)
-                out[0].append([entries[i]["item"] for i in order])
-                out[1].append([entries[i]["score"] for i in order])
-                out[2].append([entries[i]["rank"] for i in order])
-            kind = batch.schema.field("list").type.value_type
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(key), pa.array(out[0], pa.list_(kind.field("item").type)),
-                 pa.array(out[1], pa.list_(pa.float64())), pa.array(out[2], pa.list_(pa.int32()))],
-                [key, "items", "scores", "ranks"])
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table]).combine_chunks()
+            keys = held.column(key).to_pylist()
+            starts = [i for i, k in enumerate(keys) if i == 0 or k != keys[i - 1]]
+            if len(starts) > 1:  # the last list may go on in the next batch
+                yield from placed(held, starts).to_batches()
+                held = held.slice(starts[-1])
+        if held is not None and held.num_rows:
+            yield from placed(held, [0, held.num_rows]).to_batches()
 
-    schema = T.StructType([rows.schema[key], T.StructField("items", T.ArrayType(rows.schema[item].dataType)),
-                           T.StructField("scores", T.ArrayType(T.DoubleType())),
-                           T.StructField("ranks", T.ArrayType(T.IntegerType()))])
-    placed = lists.mapInArrow(run, schema).select(key, F.posexplode(F.arrays_zip("items", "scores", "ranks")))
-    return placed.select(key, F.col("col.items").alias(item), F.col("col.scores").alias(score),
-                         F.col("col.ranks").alias("rank"), (F.col("pos") + 1).alias("position"))
+    return lists.mapInArrow(run, schema).select(key, item, score, "rank", "position")

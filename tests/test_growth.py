@@ -36,3 +36,150 @@ def test_unpacked_reasons_parse_a_message_once(spark):
     reasons = checked.select(F.explode("reasons").alias("reason"))
     assert _optimized(reasons).count("parsejson") == 1
     assert [r[0] for r in reasons.collect()] == ["unknown:a", "unknown:b", "wrong_type:event_type"]
+
+
+def test_a_slice_is_one_batch_of_many_files(spark, workdir):
+    import __spark_entry__  # noqa: F401  (registers the queries in order)
+    from hexvault.plans import streaming_queries as SQ
+    seen = []
+
+    class Held:
+        pass
+
+    c = Held()
+    c.spark = spark
+    slices = [spark.range(k * 100, k * 100 + 100, 1, 4).select(F.col("id").alias("n")) for k in range(3)]
+    SQ._in_order(c, workdir, slices, lambda source: source.writeStream.foreachBatch(
+        lambda b, i: seen.append((b.rdd.getNumPartitions(), sorted(r.n for r in b.collect()))))
+        .option("checkpointLocation", f"{workdir}/ck").trigger(availableNow=True).start())
+    assert [rows for _, rows in seen] == [list(range(k * 100, k * 100 + 100)) for k in range(3)]
+    written = [n for n in __import__("os").listdir(f"{workdir}/events") if n.startswith("part-")]
+    assert len(written) == 12 and all(parts > 1 for parts, _ in seen)
+
+
+def test_state_holds_one_entry_a_key_and_batch(spark):
+    import pandas as pd
+    from pyspark.sql import types as T
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from hexvault.streaming import state as ST
+
+    class Kept(list):
+        def appendValue(self, v):
+            self.append(v)
+
+        def put(self, v):
+            self[:] = v
+
+        def get(self):
+            return iter(list(self))
+
+    class Last:
+        value = None
+        exists = lambda self: self.value is not None
+        get = lambda self: self.value
+
+        def update(self, v):
+            self.value = v
+
+    class Handle:
+        getValueState = lambda self, *a: Last()
+        getListState = lambda self, *a: Kept()
+        registerTimer = lambda self, ms: None
+
+    class At:
+        def __init__(self, ms):
+            self.ms = ms
+
+        def getCurrentWatermarkInMs(self):
+            return self.ms
+
+    schema = to_arrow_schema(T.StructType().add("ts_us", "long").add("h", "long").add("status", "string")
+                             .add("hash_diff", "string"))
+    step = ST._Changes("k", ["ts_us", "status", "h"], schema, ["ts_us", "status", "hash_diff"])
+    step.init(Handle())
+    rows = lambda *r: iter([pd.DataFrame(r, columns=["ts_us", "h", "status", "hash_diff"])])
+    list(step.handleInputRows(("a",), rows((3000, None, "x", "1"), (1000, 2 ** 60 + 1, None, "0"), (2000, 3, "x", "1")), At(0)))
+    list(step.handleInputRows(("a",), rows((9000, 5, "y", "2"), (2500, 4, "z", "3")), At(0)))
+    assert len(step.pending) == 2
+    found = [f.values.tolist() for f in step.handleExpiredTimer(("a",), At(4), None)]
+    assert found == [[["a", 1000, None, "0"], ["a", 2000, "x", "1"], ["a", 2500, "z", "3"], ["a", 3000, "x", "1"]]]
+    assert len(step.pending) == 1 and not list(step.handleExpiredTimer(("a",), At(8), None))
+    assert [f.values.tolist() for f in step.handleExpiredTimer(("a",), At(9), None)] == [[["a", 9000, "y", "2"]]]
+
+
+def _exchanges(df) -> int:
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.split("== Initial Plan ==")[0].count("Exchange hashpartitioning")
+
+
+def _pings(spark, n=400):
+    import datetime as dt
+    import random
+    rnd = random.Random(4)
+    day = dt.datetime(2024, 1, 1)
+    rows = [(f"c{rnd.randint(0, 6)}" if i % 3 else None, day + dt.timedelta(minutes=rnd.randint(0, 9000)),
+             1.0 * rnd.randint(0, 3), 2.0, 3.0, 4, rnd.choice(["idle", "delivering", None]), rnd.randint(5, 7), 9)
+            for i in range(n)]
+    schema = ("hk_courier_id string, load_date timestamp_ntz, latitude double, longitude double, speed_kmh double, "
+              "bearing_deg int, status string, h3_res7 long, h3_res9 long")
+    return spark.createDataFrame(rows + rows[::5], schema)
+
+
+def test_history_and_travel_times_deal_rows_out_once(spark, monkeypatch):
+    from hexvault.operators import features as D
+    from hexvault.operators import sequence as Q
+    from hexvault.operators import staging
+    tie = ["status", "latitude", "longitude", "speed_kmh", "bearing_deg", "h3_res7", "h3_res9"]
+    sat = _pings(spark)
+    staged = staging.stg_courier_telemetry(sat)
+    rows = lambda df: sorted(map(str, df.collect()))
+    whole = (rows(D.historize(staged, "hk_courier_id", "load_date", ["status"], tie)), rows(D.travel_times(staged)))
+    for limit in (Q.MAX_KEY_ROWS, 30):  # no large key; large keys that are cut by the hour
+        monkeypatch.setattr(Q, "MAX_KEY_ROWS", limit)
+        in_order = lambda: staging.stg_courier_telemetry(Q.dealt(sat, "hk_courier_id", "load_date"))
+        history = D.historize(in_order(), "hk_courier_id", "load_date", ["status"], tie, is_dealt=True)
+        assert rows(history) == whole[0]
+        assert rows(D.travel_times(in_order(), is_dealt=True)) == whole[1]
+        if limit > 30:
+            assert _exchanges(history) == 1
+
+
+def test_keys_of_few_rows_stay_whole(spark):
+    from hexvault.operators import sequence as Q
+    df = spark.createDataFrame([(f"k{i % 9}", i * 3_600_000, i) for i in range(90)], "k string, t long, n int")
+    assert Q.key_widths(df, "k", "t") is None
+    out = Q.sequence_features(df, "k", ["t"], lag=["n"])
+    assert _exchanges(out) == 1 and {r["prev_n"] for r in out.collect() if r["n"] >= 9} == set(range(81))
+
+
+def test_clusters_compute_profiles_once(spark):
+    from hexvault.operators import ml as ML
+    sat = _pings(spark)
+    out = ML.courier_clusters(sat)
+    assert "Scan ExistingRDD" in out._jdf.queryExecution().executedPlan().toString()
+    assert _exchanges(out) == 0 and out.count() == 8
+
+
+def test_marginal_relevance_holds_a_batch_of_rows(spark):
+    from hexvault.operators import rerank as R
+    seen = spark.createDataFrame([(f"u{u}", f"i{i}", float((i * 7 + u) % 11)) for u in range(9) for i in range(12)],
+                                 "user_id string, item_id string, score double")
+    vectors = spark.createDataFrame([(f"i{i}", [float(i % 3), float(i % 4), 1.0]) for i in range(11)],
+                                    "item_id string, embedding array<double>")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 5)  # a list spans batches
+    try:
+        out = R.mmr(seen, vectors, limit=8)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        got = {}
+        for r in out.orderBy("user_id", "position").collect():
+            got.setdefault(r["user_id"], []).append((r["position"], r["rank"], r["item_id"]))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "collect_list" not in plan and len(got) == 9
+    known = {r["item_id"]: r["embedding"] for r in vectors.collect()}
+    for u in range(9):
+        best = sorted(((float((i * 7 + u) % 11), f"i{i}") for i in range(12)), key=lambda x: (-x[0], x[1]))[:8]
+        units = R.unit_rows([known.get(i) for _, i in best], 3)
+        order = R.mmr_order(__import__("numpy").array([s for s, _ in best]) / best[0][0], units, R.MMR_LAMBDA)
+        assert got[f"u{u}"] == [(p + 1, o + 1, best[o][1]) for p, o in enumerate(order)]
