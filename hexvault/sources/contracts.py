@@ -116,9 +116,11 @@ def computed_once(df: DataFrame, columns: dict[str, Column], keep: list[str] | N
 
 
 def validate_messages(messages: DataFrame, topic: str, value_col: str = "value",
-                      domains: dict[str, list[str]] | None = None) -> DataFrame:
+                      domains: dict[str, list[str]] | None = None, parsed: bool = False) -> DataFrame:
     """Add ``reasons`` (array<string>, empty = valid) and ``valid`` to a frame of JSON text.
 
+    ``parsed`` keeps the VARIANT as ``_v`` for ``typed_columns`` (null, if it is no JSON).
+
     The message is parsed once (``try_parse_json``) in its own projection; each
     field's JSON type is read once from the VARIANT (so a string "123" is not
     mistaken for a number); the reasons are assembled in a last projection. Each of
@@ -162,7 +164,7 @@ def validate_messages(messages: DataFrame, topic: str, value_col: str = "value",
     reasons = F.when(F.col("_v").isNull() | keys.isNull(), F.array(F.lit("parse_error"))) \
                .when((F.col("_found") == "") & (F.size("_extra") == 0), none) \
                .otherwise(F.array_sort(F.concat(per_field, unknown)))
-    return computed_once(st, {"reasons": reasons}, base).withColumn("valid", F.size("reasons") == 0)
+    return computed_once(st, {"reasons": reasons}, [*base, *(["_v"] if parsed else [])]).withColumn("valid", F.size("reasons") == 0)
 
 
 def typed_columns(topic: str, variant_col: str = "_v") -> list[Column]:
@@ -181,11 +183,9 @@ def split_messages(messages: DataFrame, topic: str, value_col: str = "value",
     Callers that write both outputs should persist the validated frame (as the
     streaming sink does per micro-batch) so the messages are parsed once.
     """
-    checked = validate_messages(messages, topic, value_col, domains)
+    checked = validate_messages(messages, topic, value_col, domains, parsed=True)
     extra = [c for c in messages.columns if c != value_col]
-    valid = (checked.filter("valid")
-             .select(*extra, F.try_parse_json(F.col(value_col)).alias("_v"))
-             .select(*extra, *typed_columns(topic, "_v")))
+    valid = checked.filter("valid").select(*extra, *typed_columns(topic, "_v"))
     rejects = checked.filter(~F.col("valid")).select(*messages.columns, "reasons")
     return valid, rejects
 

@@ -25,11 +25,18 @@ def test_filter_on_validity_parses_a_message_once(spark):
     messages = _messages(spark, [CLICK, {**CLICK, "user_id": None, "more": 1}])
     valid, rejects = C.split_messages(messages, "events.clickstream")
     assert _optimized(rejects).count("parsejson") == 1
-    assert _optimized(valid).count("parsejson") == 2  # validated, then read as typed columns
+    assert _optimized(valid).count("parsejson") == 1
     assert [r["reasons"] for r in rejects.collect()] == [["null:user_id", "unknown:more"]]
     assert [r["user_id"] for r in valid.collect()] == ["u1"]
 
 
+def test_typed_stream_reads_columns_from_the_validated_parse(spark):
+    from hexvault.streaming import ingest as I
+    typed = I.typed_stream(_messages(spark, [CLICK, {**CLICK, "user_id": 5}]), "events.clickstream")
+    assert _optimized(typed).count("parsejson") == 1
+    assert [(r["valid"], r["user_id"], r["event_ts_ms"]) for r in typed.collect()] == [(True, "u1", 1), (False, "5", 1)]
+
+
 def test_unpacked_reasons_parse_a_message_once(spark):
     checked = C.validate_messages(_messages(spark, [CLICK, {**CLICK, "event_type": 3, "b": 1, "a": 2}]),
                                   "events.clickstream")
