@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hexvault.llm.common import salted_lookup
-from hexvault.session import cut_lineage
+from hexvault.session import cut_lineage, narrowed
 
 
 def _with_minimum(edges: DataFrame) -> DataFrame:
@@ -36,11 +36,11 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``node, root`` for every node of ``links(a, b)``; root is the smallest node reachable.
 
-    Each round is checkpointed to the shared folder. The rounds end when the edge set
+    Each round is checkpointed to the shared folder, in few files as an edge is two numbers. The rounds end when the edge set
     is unchanged; they raise rather than return an unfinished result.
     """
-    edges = cut_lineage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                        .filter("u <> v").distinct())
+    edges = cut_lineage(narrowed(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+                                 .filter("u <> v").distinct()))
 
     def mark(e: DataFrame):
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
@@ -49,7 +49,7 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if not last[0]:
             break
-        edges = cut_lineage(_small_star(_large_star(edges)))
+        edges = cut_lineage(narrowed(_small_star(_large_star(edges))))
         now = mark(edges)
         if now == last:
             break

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hexvault.llm.common import by_key, keyed, salted_lookup, stored, text_key, unpack, words_of
+from hexvault.session import narrowed
 
 #: Bisection levels, and how many of them one job decides (it sees all their midpoints).
 LEVELS, LEVELS_PER_JOB = 24, 4
@@ -42,8 +43,8 @@ def measured(docs: DataFrame, text: str = "text", source: str = "source", id_col
 
 
 def source_sizes(rows: DataFrame) -> DataFrame:
-    return stored(rows.groupBy("source").agg(F.sum("tokens").alias("size"),
-                                             F.count("*").alias("documents")), "mixing-sources")
+    return stored(narrowed(rows.groupBy("source").agg(F.sum("tokens").alias("size"),
+                                                      F.count("*").alias("documents"))), "mixing-sources")
 
 
 def _moments(sizes: DataFrame, total: float, exponents: list[float]) -> list[tuple[float, float]]:
@@ -184,7 +185,7 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source", id_col: s
     """
     rows = measured(docs, text, source, id_col)
     together = rows.groupBy("id", "source", "identity").agg(F.min("row").alias("row"), F.sum("tokens").alias("tokens"))
-    together = stored(together, "mixing-keys")
+    together = stored(narrowed(together), "mixing-keys")
     readings = (schedule(together, **options).select("row", "epoch")
                 .join(together, "row").groupBy("id", "source", "identity").agg(F.count("*").alias("times"))
                 .select(F.col("id").alias("k0"), F.col("source").alias("k1"), F.col("identity").alias("k2"), "times"))

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from hexvault.llm.common import by_key, keyed, salted_lookup, stored, text_key, unpack
 from hexvault.llm.components import connected_components
+from hexvault.session import narrowed
 
 BITS = 64
 SEED = 42
@@ -354,7 +355,7 @@ def links(fps: DataFrame, max_bits: int = 3, parts: int = 4, block: int = BLOCK)
 
 def _grouped(marked: DataFrame, max_bits: int, parts: int) -> DataFrame:
     """``fp, root``: the component of every fingerprint of ``marked`` that has a link."""
-    distinct = stored(marked.select("fp").distinct(), "simhash-fps")
+    distinct = stored(narrowed(marked.select("fp").distinct()), "simhash-fps")
     return connected_components(links(distinct, max_bits, parts))
 
 

@@ -191,3 +191,24 @@ def test_marginal_relevance_holds_a_batch_of_rows(spark):
         units = R.unit_rows([known.get(i) for _, i in best], 3)
         order = R.mmr_order(__import__("numpy").array([s for s, _ in best]) / best[0][0], units, R.MMR_LAMBDA)
         assert got[f"u{u}"] == [(p + 1, o + 1, best[o][1]) for p, o in enumerate(order)]
+
+
+def test_rounds_of_components_write_few_files(spark):
+    import glob
+    from hexvault.llm.components import connected_components
+    from hexvault.session import ensure_checkpoint_dir
+    files = lambda: set(glob.glob(f"{ensure_checkpoint_dir(spark)}/**/rdd-*/part-*", recursive=True))
+    links = spark.createDataFrame([(k, k + 1) for k in range(1, 40)] + [(100, 101), (None, 7)], "a long, b long")
+    before, kept = files(), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 64)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.node: r.root for r in connected_components(links).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == {**{k: 1 for k in range(1, 41)}, 100: 100, 101: 100}
+    of = {}
+    for path in files() - before:
+        of.setdefault(path.rsplit("/", 2)[1], []).append(path)
+    assert of and max(map(len, of.values())) == 8  # 64 / 8, not one file a shuffle partition
