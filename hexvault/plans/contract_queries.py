@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hexvault import oracle as O
+from hexvault.operators.vault import with_event_time
 from hexvault.schemas import COURIER_STATUSES, EVENT_TYPES
 from hexvault.sources import contracts as C
+from hexvault.sources.tables import clickstream_from_events, replayed_clickstream, telemetry_from_lineitem
 from hexvault.plans.context import Context
 from hexvault.plans.registry import register
 
@@ -56,6 +59,23 @@ def _violations_sql() -> str:
                         f"GROUP BY topic, reason")
 
 
+def _dealt(frame: DataFrame) -> DataFrame:
+    """``frame`` in a task for each core: a table in few files may be few row groups, which are not cut for tasks."""
+    spark = frame.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if len(frame.inputFiles()) >= cores:
+        return frame
+    return frame.repartition(max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def _clicks(c: Context) -> DataFrame:
+    return with_event_time(replayed_clickstream(clickstream_from_events(_dealt(c.table("events")))))
+
+
+def _pings(c: Context) -> DataFrame:
+    return with_event_time(telemetry_from_lineitem(_dealt(c.table("lineitem"))))
+
+
 @register("contract_violations", _violations_sql())
 def _q(c: Context):
     """Delivered events re-serialised as JSON messages and validated against their contracts.
@@ -63,7 +83,7 @@ def _q(c: Context):
     Result: rejection reasons with message counts (the dead-letter summary).
     """
     parts = []
-    for topic, frame in (("events.clickstream", c.clicks), ("events.telemetry", c.pings)):
+    for topic, frame in (("events.clickstream", _clicks(c)), ("events.telemetry", _pings(c))):
         checked = C.validate_messages(C.to_messages(frame, topic), topic, domains=DOMAINS[topic])
         parts.append(checked.select(F.lit(topic).alias("topic"), F.explode("reasons").alias("reason")))
     return parts[0].unionByName(parts[1]).groupBy("topic", "reason").agg(
@@ -81,7 +101,7 @@ def _q(c: Context):
     """Messages of which some lost their user: typed valid rows and rejects are counted apart, none is lost."""
     topic = "events.clickstream"
     lost = F.when(F.col("event_id").cast("bigint") % _LOST != 0, F.col("user_id"))
-    valid, rejects = C.split_messages(C.to_messages(c.clicks.withColumn("user_id", lost), topic), topic)
+    valid, rejects = C.split_messages(C.to_messages(_clicks(c).withColumn("user_id", lost), topic), topic)
     counted = valid.select(F.lit(1).alias("v"), F.lit(0).alias("r")).unionByName(
         rejects.select(F.lit(0).alias("v"), F.lit(1).alias("r")))
     return counted.agg(F.sum("v").alias("n_valid"), F.sum("r").alias("n_rejected")).select(

@@ -115,54 +115,73 @@ def computed_once(df: DataFrame, columns: dict[str, Column], keep: list[str] | N
     return made.select(*kept, F.inline(F.array(F.struct(*[F.col(f"_made_{n}").alias(n) for n in columns]))))
 
 
+#: Types of the fields of an object as ``schema_of_variant`` writes them, as patterns.
+_WRITTEN = {"DECIMAL": r"DECIMAL\([0-9]+,[0-9]+\)"}
+
+
+def _plain_shape(topic: str) -> str:
+    """Pattern of ``schema_of_variant`` of a message that has the fields of the contract in their types and no others.
+
+    The fields of an object stand in the order of their names; a name that is no plain
+    identifier stands in quotes, so none can pass for a field and its type.
+    """
+    fields = ""
+    for name, typ, optional in sorted(contract(topic)):
+        kinds = [_WRITTEN.get(k, k) for k in _ACCEPTS[typ]] + ["VOID"] * optional
+        fields += f"(?:{name}: (?:{'|'.join(kinds)})(?:, |>$)){'?' if optional else ''}"
+    return f"^OBJECT<{fields}(?<=>)$"
+
+
 def validate_messages(messages: DataFrame, topic: str, value_col: str = "value",
                       domains: dict[str, list[str]] | None = None, parsed: bool = False) -> DataFrame:
     """Add ``reasons`` (array<string>, empty = valid) and ``valid`` to a frame of JSON text.
 
     ``parsed`` keeps the VARIANT as ``_v`` for ``typed_columns`` (null, if it is no JSON).
 
-    The message is parsed once (``try_parse_json``) in its own projection; each
-    field's JSON type is read once from the VARIANT (so a string "123" is not
-    mistaken for a number); the reasons are assembled in a last projection. Each of
-    these steps is ``computed_once``: a filter on the reasons would otherwise be moved
-    below them and parse the message again wherever a field is looked at.
+    The message is parsed once (``try_parse_json``). The types of all its fields, read
+    at once, tell most valid messages apart; only the others have their keys listed and
+    each field's type looked at (so a string "123" is not mistaken for a number). The
+    reasons are ``computed_once``: a filter on them would otherwise be moved below the
+    parse and repeat it wherever a field is looked at.
     """
     fields = contract(topic)
     domains = domains or {}
     base = messages.columns
-    st = computed_once(messages, {"_v": F.try_parse_json(F.col(value_col)),
-                                  "_keys": F.json_object_keys(F.col(value_col))})
-    cols = {}
-    for name, typ, _ in fields:
-        cols[f"_t_{name}"] = F.schema_of_variant(F.expr(f"_v:`{name}`"))
-        if typ == "int":
-            cols[f"_n_{name}"] = F.expr(f"try_variant_get(_v, '$.{name}', 'bigint')")
-        if domains.get(name):
-            cols[f"_s_{name}"] = F.expr(f"try_variant_get(_v, '$.{name}', 'string')")
-    st = computed_once(st, cols)
-    keys = F.col("_keys")
+    st = messages.withColumn("_v", F.try_parse_json(F.col(value_col)))
+    read = lambda name, kind: F.expr(f"try_variant_get(_v, '$.{name}', '{kind}')")
+    numbers = {name: read(name, "bigint") for name, typ, _ in fields if typ == "int"}
+    texts = {name: read(name, "string") for name, _, _ in fields if domains.get(name)}
+    plain = reduce(Column.__and__, [F.schema_of_variant("_v").rlike(_plain_shape(topic)),
+                                    *[n.between(*INT32) for n in numbers.values()],
+                                    *[t.isin(domains[name]) for name, t in texts.items()]])
+    st = st.withColumn("_plain", F.coalesce(plain, F.lit(False)))
+    st = st.withColumns({"_odd": F.when(~F.col("_plain"), F.col("_v")),
+                         "_keys": F.json_object_keys(F.when(~F.col("_plain"), F.col(value_col)))})
+    st = st.withColumns({f"_t_{name}": F.schema_of_variant(F.expr(f"_odd:`{name}`")) for name, _, _ in fields})
     checks: list[Column] = []
     for name, typ, optional in fields:
-        kind = F.col(f"_t_{name}")
-        present = F.array_contains(keys, F.lit(name))
+        kind = F.col(f"_t_{name}")  # null, if there is no such field
         ok_type = _is_kind(kind, _ACCEPTS[typ])
         if typ == "int":
-            ok_type = ok_type & F.col(f"_n_{name}").between(*INT32)
-        if not optional:
-            checks.append(F.when(~present, F.lit(f"missing:{name}")))
-            checks.append(F.when(present & (kind == "VOID"), F.lit(f"null:{name}")))
-        checks.append(F.when(present & (kind != "VOID") & ~ok_type, F.lit(f"wrong_type:{name}")))
+            ok_type = ok_type & numbers[name].between(*INT32)
+        if optional:
+            found = F.when(kind.isNull() | (kind == "VOID"), F.lit(None))
+        else:
+            found = F.when(kind.isNull(), F.lit(f"missing:{name}")).when(kind == "VOID", F.lit(f"null:{name}"))
+        found = found.when(~ok_type, F.lit(f"wrong_type:{name}"))
         if domains.get(name):
-            checks.append(F.when(present & ok_type & ~F.col(f"_s_{name}").isin(domains[name]),
-                                 F.lit(f"invalid_value:{name}")))
+            found = found.when(~texts[name].isin(domains[name]), F.lit(f"invalid_value:{name}"))
+        checks.append(found)
     known = F.array(*[F.lit(n) for n, _, _ in fields])
     none = F.array().cast("array<string>")
-    st = computed_once(st, {"_found": F.concat_ws(_BETWEEN, *checks),
-                            "_extra": F.array_except(F.coalesce(keys, none), known)}, [*base, "_v", "_keys"])
+    odd = F.col("_odd").isNotNull() & F.col("_keys").isNotNull()
+    st = st.withColumns({"_found": F.when(odd, F.concat_ws(_BETWEEN, *checks)),
+                         "_extra": F.when(odd, F.array_except("_keys", known))})
     unknown = F.transform("_extra", lambda k: F.concat(F.lit("unknown:"), k))
     per_field = F.when(F.col("_found") == "", none).otherwise(F.split("_found", _BETWEEN))
-    reasons = F.when(F.col("_v").isNull() | keys.isNull(), F.array(F.lit("parse_error"))) \
+    reasons = F.when(F.col("_plain"), none).when(F.col("_found").isNull(), F.array(F.lit("parse_error"))) \
                .when((F.col("_found") == "") & (F.size("_extra") == 0), none) \
+               .when(F.size("_extra") == 0, F.array_sort(per_field)) \
                .otherwise(F.array_sort(F.concat(per_field, unknown)))
     return computed_once(st, {"reasons": reasons}, [*base, *(["_v"] if parsed else [])]).withColumn("valid", F.size("reasons") == 0)
 

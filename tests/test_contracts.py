@@ -98,3 +98,44 @@ def test_topic_routing(spark):
                                "t string, f string")
     got = [r[0] for r in df.select(C.route_topic(F.col("t"), F.col("f"))).collect()]
     assert got == ["cdc.users.avro.v1", "cdc.users", None, None]
+
+
+def test_plain_messages_are_told_apart_exactly(spark):
+    """Messages that only nearly look valid are looked at field by field, with the reasons they had before."""
+    text = json.dumps(GOOD)
+    t = {"telemetry_id": "t", "courier_id": "c", "latitude": 1, "longitude": 2.5, "speed_kmh": 1e300,
+         "bearing_deg": -4, "status": "idle", "event_ts_ms": 5}
+    domains = {"status": ["idle"]}
+    rows = [(text, []), (text[:-1] + ', "zzz": "a"}', ["unknown:zzz"]), (text[:-1] + ', "a: STRING, b": 1}', ["unknown:a: STRING, b"]),
+            (json.dumps({**GOOD, "user_id": "STRING, x: y>"}), []), (json.dumps(dict(reversed(GOOD.items()))), []),
+            (json.dumps({**GOOD, "event_ts_ms": 10 ** 30}), ["wrong_type:event_ts_ms"]),
+            (json.dumps({**GOOD, "latitude": 10 ** 30, "longitude": -0.0}), []),
+            (json.dumps({**GOOD, "item_id": {"item_id": "i"}, "merchant_id": ["m"]}), ["wrong_type:item_id", "wrong_type:merchant_id"]),
+            (json.dumps({**GOOD, "User_id": "u"}), ["unknown:User_id"]),
+            (text[:-1] + ', "user_id": "again"}', ["parse_error"]), (text + " x", []), ("", ["parse_error"]),
+            ("[1]", ["parse_error"]), ("{}", sorted(f"missing:{n}" for n in GOOD)), (None, ["parse_error"])]
+    frame = spark.createDataFrame([(i, m) for i, (m, _) in enumerate(rows)], "i int, value string")
+    got = {r["i"]: (r["reasons"], r["valid"]) for r in C.validate_messages(frame, "events.clickstream").collect()}
+    assert got == {i: (w, not w) for i, (_, w) in enumerate(rows)}
+    pings = [({**t}, []), ({**t, "order_id": None, "bearing_deg": 2 ** 31}, ["wrong_type:bearing_deg"]),
+             ({**t, "order_id": "o", "status": "gone"}, ["invalid_value:status"]),
+             ({**t, "order_id": 5, "bearing_deg": 1.0, "status": None},
+              ["null:status", "wrong_type:bearing_deg", "wrong_type:order_id"])]
+    frame = spark.createDataFrame([(i, json.dumps(m)) for i, (m, _) in enumerate(pings)], "i int, value string")
+    got = {r["i"]: r["reasons"] for r in C.validate_messages(frame, "events.telemetry", domains=domains).collect()}
+    assert got == {i: w for i, (_, w) in enumerate(pings)}
+    plan = C.validate_messages(frame, "events.telemetry")._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_contains" not in plan and "_plain" in plan  # a valid message has no keys listed and no field looked at
+
+
+def test_a_table_in_one_row_group_is_validated_by_all_cores(spark, workdir):
+    import __spark_entry__  # noqa: F401  (registers the queries in order)
+    from hexvault.plans import contract_queries as Q
+    spark.range(50).coalesce(1).write.parquet(f"{workdir}/one")
+    one = spark.read.parquet(f"{workdir}/one")
+    dealt = Q._dealt(one)
+    assert dealt.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert sorted(r.id for r in dealt.collect()) == list(range(50))
+    spark.range(50).repartition(9).write.parquet(f"{workdir}/many")
+    many = spark.read.parquet(f"{workdir}/many")
+    assert Q._dealt(many) is many
