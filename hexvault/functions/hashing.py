@@ -14,8 +14,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 # The characters Python's str.strip() removes (str.isspace() is True):
 # U+0009..U+000D, U+001C..U+001F, U+0020, U+0085, U+00A0, U+1680, U+2000..U+200A,
@@ -73,3 +74,33 @@ def hash_key_std(columns: Iterable[str]) -> Column:
 def hash_diff(columns: Iterable[str]) -> Column:
     """Hash diff over all descriptive attributes; same rules as ``hash_key_std``."""
     return hash_key_std(columns)
+
+
+#: Stands before a text that is no hash, so that it is longer than a packed hash.
+_NO_HASH = bytes(17)
+
+
+def packed_hash(c) -> Column:
+    """An upper-case MD5 text as its 16 bytes, any other text as longer bytes: half the size wherever it is shuffled."""
+    c = _col(c)
+    return F.when((F.length(c) == 32) & (F.hex(F.unhex(c)) == c), F.unhex(c)).otherwise(
+        F.concat(F.lit(_NO_HASH), c.cast("binary")))
+
+
+def unpacked_hash(c) -> Column:
+    """The text that ``packed_hash`` was given."""
+    c = _col(c)
+    return F.when(F.octet_length(c) == 16, F.hex(c)).otherwise(
+        F.substring(c, len(_NO_HASH) + 1, 2 ** 31 - 1).cast("string"))
+
+
+def with_packed_hashes(df: DataFrame) -> DataFrame:
+    """``df`` with its ``hk_`` texts packed; equal texts stay equal, null stays null."""
+    keys = [f.name for f in df.schema if f.name.startswith("hk_") and isinstance(f.dataType, StringType)]
+    return df.withColumns({k: packed_hash(k) for k in keys})
+
+
+def with_hashes(df: DataFrame) -> DataFrame:
+    """``df`` with its packed ``hk_`` columns as texts again."""
+    keys = [f.name for f in df.schema if f.name.startswith("hk_") and isinstance(f.dataType, BinaryType)]
+    return df.withColumns({k: unpacked_hash(k) for k in keys})

@@ -19,6 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hexvault.functions.hashing import packed_hash, with_packed_hashes
 from hexvault.schemas import (COURIER_STATUSES, EVENT_TYPES, RESOLUTIONS, SOURCE_TYPE_RULES,
                               sql_type_name)
 
@@ -262,7 +263,8 @@ def key_results(models, tests: list[Test]) -> DataFrame:
     Every table is read once for all its key columns. Keys of all tables are counted in
     one grouping by (domain, key), with one count per table and column: a key that stands
     twice in a column is a duplicate, one that the parent column lacks is an orphan. Keys
-    combine before the shuffle, so a hot key arrives as one row per task. Null keys pass.
+    combine before the shuffle, so a hot key arrives as one row per task, and hashes go
+    through it packed. Null keys pass.
     """
     slots = sorted({(t.model, t.column) for t in tests}
                    | {(t.args["to"], t.args["field"]) for t in tests if t.kind == "relationships"})
@@ -270,7 +272,7 @@ def key_results(models, tests: list[Test]) -> DataFrame:
     reads = []
     for table in dict.fromkeys(m for m, _ in slots):
         keys = [F.struct(F.lit(domain[s]).alias("domain"), F.lit(i).alias("slot"),
-                         F.col(s[1]).cast("string").alias("key")) for i, s in enumerate(slots) if s[0] == table]
+                         packed_hash(F.col(s[1]).cast("string")).alias("key")) for i, s in enumerate(slots) if s[0] == table]
         reads.append(models[table].select(F.explode(F.array(*keys)).alias("k")).select("k.*"))
     counted = (reduce(DataFrame.unionAll, reads).filter(F.col("key").isNotNull()).groupBy("domain", "key")
                .agg(*[F.count(F.when(F.col("slot") == i, 1)).alias(f"n{i}") for i in range(len(slots))]))
@@ -293,6 +295,16 @@ def _test_rows(wide: DataFrame, tests: list[Test]) -> DataFrame:
     return wide.select(rows.alias("r")).select("r.*")
 
 
+class _Packed:
+    """Tables with short hash keys, for violations that are only counted."""
+
+    def __init__(self, models):
+        self.models = models
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return with_packed_hashes(self.models[name])
+
+
 def gate_results(models, tests: list[Test] | None = None) -> DataFrame:
     """All declared tests → ``(test_name, kind, model, violations)``.
 
@@ -327,7 +339,7 @@ def gate_results(models, tests: list[Test] | None = None) -> DataFrame:
                   for i, t in enumerate(typed)]
         parts.append(_test_rows(spark.range(0, 1, 1, 1).select(*counts), typed))
     for t in alone:
-        v = violations(t, models).agg(F.count(F.lit(1)).alias("violations"))
+        v = violations(t, _Packed(models)).agg(F.count(F.lit(1)).alias("violations"))
         parts.append(v.select(F.lit(t.name).alias("test_name"), F.lit(t.kind).alias("kind"),
                               F.lit(t.model).alias("model"), "violations"))
     return reduce(DataFrame.unionByName, parts)

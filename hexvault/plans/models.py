@@ -13,7 +13,9 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
+from hexvault.functions.hashing import with_hashes, with_packed_hashes
 from hexvault.operators import marts, staging
+from hexvault.operators.sequence import dealt
 from hexvault.operators.vault import Vault
 
 # name → (dependencies, builder); dependencies are vault tables or other models.
@@ -34,6 +36,13 @@ MODEL_GRAPH: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] = {
     "mart_user_merchant_affinity": (("fct_interactions",), marts.mart_user_merchant_affinity),
 }
 
+# Models whose rows are built by key (and time chunk of a large one): columns, key and time. Rows of a
+# key then share its bytes in the shuffle and its tasks in every grouping of the written table.
+DEALT_BY = {"stg_courier_telemetry": (staging.TELEMETRY_COLUMNS, "hk_courier_id", "load_date")}
+
+#: Of built tables: hash texts are most of their bytes, and take little more than half of those of the default.
+COMPRESSION = "zstd"
+
 # Output clustering key per model (rows are sorted on it within each written file).
 DISTRIBUTED_BY = {
     "stg_users": "hk_user_id", "stg_merchants": "hk_merchant_id", "stg_couriers": "hk_courier_id",
@@ -102,10 +111,16 @@ class Models:
 
         def write(name: str) -> None:
             deps, fn = MODEL_GRAPH[name]
-            df = fn(*[built[d] if d in built else self[d] for d in deps])
+            # Hash keys are half as long while the models are grouped and joined.
+            inputs = [with_packed_hashes(built[d] if d in built else self[d]) for d in deps]
+            if name in DEALT_BY:
+                columns, key, time = DEALT_BY[name]
+                inputs = [dealt(i.select(*columns), key, time) for i in inputs]
+            df = with_hashes(fn(*inputs).drop("_chunk"))
             # Cluster rows by the distribution key inside each file (row-group min/max
             # pruning) without a hash repartition: a hot key must not become one task.
-            df.sortWithinPartitions(DISTRIBUTED_BY[name]).write.mode("overwrite").parquet(os.path.join(root, name))
+            (df.sortWithinPartitions(DISTRIBUTED_BY[name]).write.mode("overwrite")
+             .option("compression", COMPRESSION).parquet(os.path.join(root, name)))
 
         for level in levels(todo):
             with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(level)))) as pool:
@@ -127,7 +142,8 @@ def materialize_vault(vault: Vault, root: str, drop: tuple[str, ...] = ("geom_wk
 
     def write(name: str) -> None:
         df = vault[name]
-        df.drop(*[c for c in drop if c in df.columns]).write.mode("overwrite").parquet(os.path.join(root, name))
+        (df.drop(*[c for c in drop if c in df.columns]).write.mode("overwrite")
+         .option("compression", COMPRESSION).parquet(os.path.join(root, name)))
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         list(pool.map(write, Vault.NAMES))

@@ -212,3 +212,51 @@ def test_rounds_of_components_write_few_files(spark):
     for path in files() - before:
         of.setdefault(path.rsplit("/", 2)[1], []).append(path)
     assert of and max(map(len, of.values())) == 8  # 64 / 8, not one file a shuffle partition
+
+
+def test_packed_hashes_come_back(spark):
+    from hexvault.functions import hashing as H
+    texts = [None, "", "c1", "A" * 32, "a" * 32, "0123456789ABCDEF" * 2, "0123456789abcdef" * 2, "G" * 32, "\0" * 15, "\0" * 17, "é" * 32]
+    df = spark.createDataFrame([(i, t, t) for i, t in enumerate(texts)], "i int, hk_a string, b string")
+    packed = H.with_packed_hashes(df)
+    assert packed.schema["hk_a"].dataType.simpleString() == "binary" and packed.schema["b"] == df.schema["b"]
+    assert packed.select("hk_a").distinct().count() == len(texts)
+    assert packed.filter(F.octet_length("hk_a") == 16).count() == 2
+    assert sorted(H.with_hashes(packed).collect()) == sorted(df.collect())
+
+
+def test_built_telemetry_keeps_a_courier_in_one_file(spark, workdir, monkeypatch):
+    import glob
+    from hexvault.operators import sequence as Q
+    from hexvault.operators import staging
+    from hexvault.operators.vault import Vault
+    from hexvault.plans.models import Models
+    sat = _pings(spark).repartition(4)
+    vault = Vault({n: sat for n in Vault.NAMES})
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for limit, at in ((Q.MAX_KEY_ROWS, "whole"), (30, "cut")):  # no large key; large keys that are cut by the hour
+            monkeypatch.setattr(Q, "MAX_KEY_ROWS", limit)
+            Models(vault).build(f"{workdir}/{at}", ["stg_courier_telemetry"])
+            built = spark.read.parquet(f"{workdir}/{at}/stg_courier_telemetry")
+            assert built.columns == staging.TELEMETRY_COLUMNS
+            rows = lambda df: sorted(map(str, df.collect()))
+            assert rows(built) == rows(staging.stg_courier_telemetry(sat))
+            files = built.select("hk_courier_id", F.input_file_name().alias("f")).distinct().groupBy("hk_courier_id").count()
+            assert at == "cut" or files.agg(F.max("count")).first()[0] == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    names = glob.glob(f"{workdir}/whole/stg_courier_telemetry/part-*")
+    assert len(names) > 1 and all(".zstd." in n for n in names)
+
+
+def test_gate_groups_packed_hashes(spark):
+    from hexvault.operators import quality as Q
+    tests = [Q.Test("unique", "a", "hk_x"), Q.Test("unique_combination", "a", None, {"columns": ["hk_x", "n"]}),
+             Q.Test("relationships", "a", "hk_x", {"to": "p", "field": "id"})]
+    key = "0123456789ABCDEF" * 2
+    models = {"a": spark.createDataFrame([(key, 1), (key, 1), (key.lower(), 1), ("u", 2), (None, 3), (None, 3)], "hk_x string, n int"),
+              "p": spark.createDataFrame([(key,), ("v",)], "id string")}
+    out = Q.gate_results(models, tests)
+    assert {r["kind"]: r["violations"] for r in out.collect()} == {"unique": 1, "unique_combination": 2, "relationships": 2}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("unhex") >= 2
