@@ -260,3 +260,30 @@ def test_gate_groups_packed_hashes(spark):
     out = Q.gate_results(models, tests)
     assert {r["kind"]: r["violations"] for r in out.collect()} == {"unique": 1, "unique_combination": 2, "relationships": 2}
     assert out._jdf.queryExecution().optimizedPlan().toString().count("unhex") >= 2
+
+
+def _joins(df) -> tuple[int, int]:
+    """(merged joins, broadcasts) of the plan that ran."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return plan.count("SortMergeJoin"), plan.count("Broadcast")
+
+
+def test_audit_lookups_are_not_broadcast_with_their_repeats(spark, workdir):
+    from hexvault.llm import filter_audit as A
+    path = f"{workdir}/labels"  # a file of few bytes a row, as the table of labels is
+    spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"),
+                             (F.col("id") % 3 == 0).cast("int").alias("toxic")).write.parquet(path)
+    rows = spark.range(4000).select(F.col("id").alias("row"), F.when(F.col("id") % 7 > 0, F.col("id")).alias("id"),
+                                    F.sha2((F.col("id") % 1500).cast("string"), 256).cast("binary").alias("identity"))
+    marks = A.labelled(rows, spark.read.parquet(path))
+    assert _joins(marks) == (1, 0)
+    assert {tuple(r) for r in marks.collect()} == {
+        (k, k % 2, int(k % 3 == 0)) for k in range(3000) if k % 7 and (k % 2 or k % 3 == 0)}
+    again = A.repeated(rows)
+    assert _joins(again) == (1, 0)
+    least = {}
+    for k in range(4000):
+        if k % 7:
+            least[k % 1500] = min(k, least.get(k % 1500, k))
+    assert {r["row"] for r in again.collect()} == {k for k in range(4000) if k % 7 and k > least[k % 1500]}
