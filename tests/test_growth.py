@@ -287,3 +287,19 @@ def test_audit_lookups_are_not_broadcast_with_their_repeats(spark, workdir):
         if k % 7:
             least[k % 1500] = min(k, least.get(k % 1500, k))
     assert {r["row"] for r in again.collect()} == {k for k in range(4000) if k % 7 and k > least[k % 1500]}
+
+
+def test_repeated_strings_are_looked_up_without_a_broadcast(spark, monkeypatch):
+    import random
+    from hexvault.llm import common
+    from hexvault.llm import suffix_dedup as S
+    rnd = random.Random(8)
+    prose = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage = prose(90)
+    docs = spark.createDataFrame([(i, f"{prose(60)}{passage if i % 2 else ''}{prose(60)}") for i in range(40)],
+                                 "doc_id long, text string").repartition(3)
+    seen, joined = [], common.salted_lookup
+    monkeypatch.setattr(S, "salted_lookup", lambda *a, **k: seen.append(joined(*a, **k)) or seen[-1])
+    got = {r.doc_id: r.n_removed for r in S.deduplicated(docs, length=40, span=20, hot=1).collect()}
+    assert all((got[i] >= 90) == bool(i % 2) for i in range(40))
+    assert [_joins(df) for df in seen] == [(1, 0)] * 3  # of the hashes, of the hot strings, of the runs
