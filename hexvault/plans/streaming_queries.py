@@ -98,6 +98,8 @@ def _in_order(c: Context, work: str, slices: list, start):
 
 #: Key of a row that only moves the watermark.
 CLOCK = "~"
+#: Delivered rows of a state bucket, over all slices; buckets for each state partition at least.
+STATE_ROWS, PARTITION_BUCKETS = 500_000, 4
 
 
 @register("stream_sat_history", ORACLES["d_sat_history"])
@@ -120,11 +122,14 @@ def _q(c: Context):
     frames.append(c.spark.range(1).select(
         F.lit(CLOCK).alias("hk_courier_id"), (F.lit(last) + F.expr("INTERVAL 400 DAYS")).alias("load_date"),
         *[F.lit(None).cast(rows.schema[t].dataType).alias(t) for t in sinks.LIVE_TIE_BREAK]))
+    buckets = max(PARTITION_BUCKETS * int(c.spark.conf.get("spark.sql.shuffle.partitions")),
+                  -(-delivered.count() // STATE_ROWS))
     schema = None
 
     def start(source):
         nonlocal schema
-        out = state.history_stream(source, "hk_courier_id", "load_date", ["status"], sinks.LIVE_TIE_BREAK, "60 days")
+        out = state.history_stream(source, "hk_courier_id", "load_date", ["status"], sinks.LIVE_TIE_BREAK, "60 days",
+                                   buckets)
         schema = out.schema
         return (out.writeStream.foreachBatch(lambda b, i: sinks.append_batch(b, work, "history", i) and None)
                 .option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start())

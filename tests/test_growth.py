@@ -303,3 +303,44 @@ def test_repeated_strings_are_looked_up_without_a_broadcast(spark, monkeypatch):
     got = {r.doc_id: r.n_removed for r in S.deduplicated(docs, length=40, span=20, hot=1).collect()}
     assert all((got[i] >= 90) == bool(i % 2) for i in range(40))
     assert [_joins(df) for df in seen] == [(1, 0)] * 3  # of the hashes, of the hot strings, of the runs
+
+
+def test_state_of_a_history_follows_the_buckets_not_the_keys(spark, workdir):
+    import datetime as dt
+    import os
+    from hexvault.streaming import state as ST
+    day = lambda d: dt.datetime(2024, 1, 1) + dt.timedelta(days=d)
+    calls = []
+
+    class Counted(ST._BucketChanges):
+        def emitted(self, key, ready):
+            with open(f"{workdir}/calls", "a") as f:
+                f.write("x\n")
+            yield from super().emitted(key, ready)
+
+    schema = "k string, at timestamp, status string, n long"
+    keys = [None, *[f"k{i}" for i in range(60)]]
+    slices = [[(k, day(d), s, n) for k in keys for d, s, n in part] for part in (
+        [(0, "x", 1), (4, "x", None), (4, "w", 2 ** 60)], [(2, "y", 1), (0, "x", 1), (3, None, 1), (3, None, 2)],
+        [(20, "z", 1)], [(1, "late", 1), (4, "x", None)], [(21, "z", 1)])] + [[("~", day(90), "x", 1)]]
+    found = []
+    before, ST._BucketChanges = ST._BucketChanges, Counted
+    try:
+        for name, buckets in (("by_key", None), ("by_bucket", 3)):
+            for rows in slices:
+                spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{workdir}/{name}")
+            stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(f"{workdir}/{name}")
+            out, got = ST.history_stream(stream, "k", "at", ["status"], ["n"], "5 days", buckets), {}
+            with ST.OnState(spark):
+                q = (out.writeStream.foreachBatch(lambda b, i: [got.setdefault(r.k, []).append((r.at.timetuple().tm_yday, r.status))
+                                                                for r in b.collect()] and None)
+                     .option("checkpointLocation", f"{workdir}/{name}-ck").trigger(availableNow=True).start())
+            q.awaitTermination()
+            assert q.exception() is None
+            assert set(got) == set(keys)
+            found.append({k: sorted(v, key=str) for k, v in got.items()})
+    finally:
+        ST._BucketChanges = before
+    assert found[0] == found[1] and {(3, "y"), (4, None), (5, "w"), (21, "z")} < set(found[1][None])
+    calls = open(f"{workdir}/calls").read().split()
+    assert 3 <= len(calls) <= 3 * len(slices) < len(keys)  # not one a key
