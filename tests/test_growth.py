@@ -344,3 +344,25 @@ def test_state_of_a_history_follows_the_buckets_not_the_keys(spark, workdir):
     assert found[0] == found[1] and {(3, "y"), (4, None), (5, "w"), (21, "z")} < set(found[1][None])
     calls = open(f"{workdir}/calls").read().split()
     assert 3 <= len(calls) <= 3 * len(slices) < len(keys)  # not one a key
+
+
+def test_messages_of_a_query_are_stored_packed(spark, monkeypatch):
+    import os
+    import __spark_entry__  # noqa: F401  (registers the queries in order)
+    from hexvault.operators.vault import with_event_time
+    from hexvault.plans import streaming_queries as SQ
+    from hexvault.streaming import ingest as I
+    monkeypatch.setattr(SQ, "FILE_MESSAGES", 10, raising=False)
+
+    class Held:
+        pass
+
+    c = Held()
+    c.spark = spark
+    c.clicks = with_event_time(spark.createDataFrame(
+        [{**CLICK, "event_id": f"e{i}", "event_ts_ms": i} for i in range(95)], C.contract_schema("events.clickstream")).coalesce(1))
+    root = SQ._run_stream(c, "events.clickstream")
+    names = [n for n in os.listdir(f"{os.path.dirname(root)}/messages") if n.startswith("part-")]
+    assert len(names) == 10 and all(n.endswith(".gz") for n in names)
+    assert len(I.snapshot(spark, root, (I.CLICKS,))[I.CLICKS]) == 4
+    assert sorted(r.event_ts_ms for r in I.read_log(spark, root).collect()) == list(range(95))
