@@ -92,7 +92,7 @@ def typed_stream(messages: DataFrame, topic: str) -> DataFrame:
     typed columns; the sink routes them by ``valid``.
     """
     checked = C.validate_messages(messages, topic, parsed=True)
-    typed = checked.select("value", "reasons", "valid", *C.typed_columns(topic, "_v"))
+    typed = C.with_typed(checked, topic).select("value", "reasons", "valid", *[n for n, _, _ in C.contract(topic)])
     # the watermark needs an instant (TIMESTAMP); the vault keeps the UTC wall clock (NTZ)
     return (V.with_event_time(typed)
             .withColumn("event_time_ltz", F.timestamp_millis("event_ts_ms"))
@@ -111,10 +111,16 @@ class VaultSink:
     def tables(self) -> dict:
         return V.CLICK_SINKS if self.topic == "events.clickstream" else V.TELEMETRY_SINKS
 
+    def held(self, batch: DataFrame) -> DataFrame:
+        """What the sinks read of a batch: the message and its reasons of bad rows only, no derived times."""
+        bad = ~F.col("valid")
+        return batch.select(*[F.when(bad, F.col(c)).alias(c) for c in ("value", "reasons")], "valid",
+                            *[n for n, _, _ in C.contract(self.topic)])
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         """Route one micro-batch of ``typed_stream`` rows; the batch is computed once."""
         spark = batch.sparkSession
-        batch = batch.persist()
+        batch = self.held(batch).persist()
         try:
             bad = batch.filter(~F.col("valid"))
             if bad.limit(1).count():
@@ -124,7 +130,7 @@ class VaultSink:
                 sinks.append_batch(bad.select(F.lit(self.topic).alias("topic"), "value", "reasons",
                                               F.current_timestamp().alias("rejected_at")),
                                    self.root, DLQ_TABLE, batch_id)
-            events = batch.filter("valid").drop("value", "reasons", "valid", "event_time_ltz")
+            events = batch.filter("valid").drop("value", "reasons", "valid")
             for name, fn in self.tables().items():
                 rows = fn(events)
                 if name == "courier_telemetry_live":

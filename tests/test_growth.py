@@ -346,6 +346,40 @@ def test_state_of_a_history_follows_the_buckets_not_the_keys(spark, workdir):
     assert 3 <= len(calls) <= 3 * len(slices) < len(keys)  # not one a key
 
 
+def test_typed_columns_read_at_once_equal_those_of_the_variant(spark):
+    odd = [json.dumps({**CLICK, **more}) for more in (
+        {}, {"latitude": 0, "longitude": -5}, {"latitude": 0.1 + 0.2, "longitude": 1e-320}, {"dwell_time_ms": 2 ** 63 - 1},
+        {"dwell_time_ms": 2 ** 63}, {"dwell_time_ms": 1.0}, {"dwell_time_ms": "7"}, {"latitude": "7"}, {"latitude": 2 ** 80},
+        {"user_id": 5}, {"user_id": None}, {"user_id": "é\U0001f600\n\"\\ "}, {"user_id": ""}, {"extra": 1}, {"latitude": float("nan")})]
+    plain = json.dumps(CLICK)
+    odd += [plain.replace("10.7", x) for x in ("-0.0", "-0", "-0e0", "0.0", "1e400", "1E2", "123456789012345678901234567890.5")]
+    odd += [plain + " x", plain[:-1], plain.replace('"u1"', "'u1'"), plain.replace('"u1"', '"\\ud800"'), "[]", "", None,
+            plain[:-1] + ', "user_id": "u2"}', plain.replace('{"event_id"', ' {\t"event_id"')]
+    pings = [json.dumps({"telemetry_id": "t", "courier_id": "c", "latitude": 1, "longitude": 2.5, "speed_kmh": 0.0,
+                         "status": "idle", "event_ts_ms": 5, **more})
+             for more in ({"bearing_deg": 7}, {"bearing_deg": 2 ** 31}, {"bearing_deg": 7, "order_id": None}, {"bearing_deg": 7, "order_id": "o"})]
+    for topic, texts in (("events.clickstream", odd), ("events.telemetry", pings)):
+        messages = spark.createDataFrame([(t,) for t in texts], "value string").repartition(2)
+        checked = C.validate_messages(messages, topic, parsed=True)
+        asked = checked.select("value", "reasons", "valid", *C.typed_columns(topic, "_v"))
+        read = C.with_typed(checked, topic)
+        assert read.columns == asked.columns and read.dtypes == asked.dtypes
+        assert sorted(map(repr, read.collect())) == sorted(map(repr, asked.collect()))
+        assert 2 < read.filter("valid").count() < len(texts) or topic == "events.telemetry"
+
+
+def test_a_batch_holds_the_text_of_bad_messages_only(spark, workdir):
+    from hexvault.streaming import ingest as I
+    typed = I.typed_stream(_messages(spark, [CLICK, {**CLICK, "user_id": 5}]), "events.clickstream")
+    sink = I.VaultSink(workdir, "events.clickstream", quarantine=True)
+    held = {r.valid: r for r in sink.held(typed).collect()}
+    assert held[True].value is None and held[True].reasons is None and held[True].user_id == "u1"
+    assert json.loads(held[False].value)["user_id"] == 5 and held[False].reasons == ["wrong_type:user_id"]
+    sink(typed, 0)
+    assert [r.reasons for r in I.read_dead_letters(spark, workdir).collect()] == [["wrong_type:user_id"]]
+    assert [(r.user_id, r.event_ts_ms) for r in I.read_log(spark, workdir).collect()] == [("u1", 1)]
+
+
 def test_messages_of_a_query_are_stored_packed(spark, monkeypatch):
     import os
     import __spark_entry__  # noqa: F401  (registers the queries in order)
